@@ -23,7 +23,7 @@ def parsed(spark, sf):
 
 
 def assigned(spark, sf):
-    return B.assign_batches(tb.valid_log(spark, sf), SPEC)
+    return B.assign_batches(tb.stored_log(spark, sf), SPEC)
 
 
 @query(
@@ -171,7 +171,7 @@ SELECT logline_id, subnet_id, CAST((row_number() OVER (PARTITION BY subnet_id OR
 FROM valid_log""",
 )
 def size_batches(spark, sf):
-    return B.size_batches(tb.valid_log(spark, sf), 40, slot_seconds=86_400).select("logline_id", "subnet_id", "batch_no")
+    return B.size_batches(tb.stored_log(spark, sf), 40, slot_seconds=86_400).select("logline_id", "subnet_id", "batch_no")
 
 
 @query(

@@ -103,3 +103,62 @@ def entropy(text: str) -> str:
 
 def with_(*parts: str) -> str:
     return "WITH " + ",\n".join(p.strip() for p in parts)
+
+
+def series(mode: str = "sum", where: str = "TRUE") -> str:
+    """Messages, their steps and the dense series (half-hour steps)."""
+    counted = {
+        "sum": """counted AS (
+  SELECT batch_id, step, count(*) AS n, CAST(sum(bytes) AS BIGINT) AS bytes FROM in_range GROUP BY batch_id, step)""",
+        "compat": """by_time AS (
+  SELECT batch_id, step, ts, count(*) AS n, CAST(sum(bytes) AS BIGINT) AS bytes FROM in_range GROUP BY batch_id, step, ts),
+counted AS (SELECT batch_id, step, arg_max(n, ts) AS n, arg_max(bytes, ts) AS bytes FROM by_time GROUP BY batch_id, step)""",
+    }[mode]
+    return f"""
+messages AS (
+  SELECT s.*, b.begin_ts, b.end_ts FROM sent_lines s JOIN bounds b ON s.batch_id = b.batch_id WHERE {where}
+),
+placed AS (
+  SELECT *, CAST(trunc((epoch_us(ts) - epoch_us(begin_ts)) / 1800000000.0) AS BIGINT) AS step,
+    CAST(ceil((epoch_us(end_ts) - epoch_us(begin_ts)) / 1800000000.0) AS BIGINT) + 1 AS n_steps,
+    CAST(replace(size, 'b', '') AS BIGINT) AS bytes
+  FROM messages
+),
+in_range AS (SELECT * FROM placed WHERE step >= 0 AND step < n_steps),
+{counted},
+axis AS (
+  SELECT batch_id, subnet_id, flush_no, part, unnest(range(n_steps)) AS step
+  FROM (SELECT DISTINCT batch_id, subnet_id, flush_no, part, n_steps FROM placed)
+),
+series AS (
+  SELECT a.batch_id, a.subnet_id, a.flush_no, a.part, a.step, CAST(coalesce(c.n, 0) AS DOUBLE) AS n,
+    CASE WHEN c.n > 0 THEN c.bytes / c.n ELSE 0.0 END AS mean_size
+  FROM axis a LEFT JOIN counted c ON a.batch_id = c.batch_id AND a.step = c.step
+),
+framed AS (
+  SELECT *, count(*) OVER w AS c, sum(n) OVER w AS s1, sum(n * n) OVER w AS s2, list(n) OVER w AS frame
+  FROM series WINDOW w AS (PARTITION BY subnet_id ORDER BY flush_no, part, step ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)
+),
+medians AS (
+  SELECT *, list_aggregate(frame, 'median') AS med,
+    list_aggregate(list_transform(frame, lambda v: abs(v - list_aggregate(frame, 'median'))), 'median') AS mad FROM framed
+),
+scored AS (
+  SELECT *,
+    CASE WHEN c < 10 THEN NULL WHEN c * s2 = s1 * s1 THEN 0.0 ELSE abs(n - s1 / c) / sqrt(s2 / c - (s1 / c) * (s1 / c)) END AS z,
+    CASE WHEN c < 10 THEN NULL WHEN mad > 0 THEN abs(n - med) / mad ELSE 0.0 END AS m
+  FROM medians
+)"""
+
+
+def verdicts(score: str = "z", score_threshold: float = 0.5, anomaly_threshold: float = 0.1) -> str:
+    return f"""
+verdicts AS (
+  SELECT batch_id, count(*) AS n_steps, count(*) FILTER (WHERE coalesce({score}, 0) >= {score_threshold}) AS n_anomalies,
+    count(*) FILTER (WHERE coalesce({score}, 0) >= {score_threshold}) / count(*) > {anomaly_threshold} AS is_suspicious
+  FROM scored GROUP BY batch_id
+),
+suspicious AS (
+  SELECT m.*, sha256(m.batch_id || '|' || m.src_ip) AS suspicious_batch_id
+  FROM messages m JOIN verdicts v ON m.batch_id = v.batch_id WHERE v.is_suspicious
+)"""

@@ -10,6 +10,7 @@ from functools import lru_cache
 from itertools import combinations
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Metric order a model is trained on, and the prefix boost.
@@ -101,9 +102,13 @@ def window_metrics(texts) -> tuple[float, ...]:
     return tuple(sum(column) / len(pairs) for column in zip(*pairs, strict=True))
 
 
-@F.pandas_udf(", ".join(f"{m} double" for m in METRICS))
-def window_similarity(windows: pd.Series) -> pd.DataFrame:
-    """Struct of the seven metrics of a window of at least two strings."""
+def _metrics_of_windows(windows: pd.Series) -> pd.DataFrame:
     none = (None,) * len(METRICS)
     rows = [none if w is None or len(w) < 2 else window_metrics(tuple(w)) for w in windows]
     return pd.DataFrame(rows, columns=list(METRICS), dtype="float64")
+
+
+def window_similarity(windows: Column) -> Column:
+    """Struct of the seven metrics of each window; null below two strings."""
+    schema = ", ".join(f"{m} double" for m in METRICS)
+    return F.pandas_udf(_metrics_of_windows, schema, F.PandasUDFType.SCALAR)(windows)

@@ -98,8 +98,9 @@ def _successor() -> Column:
 def carry_over(assigned: DataFrame, spec: BatchSpec) -> DataFrame:
     """Rows of every sent batch: its buffer rows, then its own rows.
 
-    Adds ``is_buffer`` and ``position`` (1-based, buffer first, each part in
-    time order). A group holds at most two batches.
+    Adds ``is_buffer``, ``position`` (1-based, buffer first, each part in time
+    order) and the batch's ``begin_ts`` and ``end_ts``. A group holds at most
+    two batches, and one shuffle serves all of it.
     """
     own = F.struct(F.col("flush_no").alias("f"), F.col("part").alias("p"), F.lit(False).alias("b"))
     succ = _successor()
@@ -117,6 +118,11 @@ def carry_over(assigned: DataFrame, spec: BatchSpec) -> DataFrame:
         rows.withColumn("_new", F.max(~F.col("is_buffer")).over(group))
         .filter("_new")
         .withColumn("is_buffer_last", ~F.col("is_buffer"))
+        .withColumn(
+            "begin_ts",
+            F.coalesce(F.min(F.when(F.col("is_buffer"), F.col("ts"))).over(group), F.min("ts").over(group)),
+        )
+        .withColumn("end_ts", F.max(F.when(~F.col("is_buffer"), F.col("ts"))).over(group))
         .withColumn("position", F.row_number().over(ordered))
         .withColumn("batch_id", batch_key(spec.key, F.col("flush_no"), F.col("part")))
         .drop("_new", "is_buffer_last")

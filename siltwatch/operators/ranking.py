@@ -8,7 +8,7 @@ row per slot, ever meet in one task per key.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,7 +28,7 @@ def _slot_starts(
     return sums.select(
         *keys,
         "_slot",
-        F.coalesce(F.sum("_in_slot").over(before), F.lit(0)).alias("_start"),
+        F.coalesce(F.sum("_in_slot").over(before), F.lit(0)).alias("_slot_start"),
         *([F.sum("_in_slot").over(Window.partitionBy(*keys)).alias(total)] if total else []),
     )
 
@@ -50,10 +50,10 @@ def keyed_rank(
     starts = _slot_starts(slotted, keys, F.lit(1), total)
     local = Window.partitionBy(*keys, "_slot").orderBy(*order)
     return (
-        slotted.withColumn("_local", F.row_number().over(local))
+        slotted.withColumn("_slot_local", F.row_number().over(local))
         .join(starts, [*keys, "_slot"])
-        .withColumn(name, F.col("_start") + F.col("_local"))
-        .drop("_slot", "_local", "_start")
+        .withColumn(name, F.col("_slot_start") + F.col("_slot_local"))
+        .drop("_slot", "_slot_local", "_slot_start")
     )
 
 
@@ -65,10 +65,10 @@ def keyed_offset(
     starts = _slot_starts(slotted, keys, F.col(value))
     local = Window.partitionBy(*keys, "_slot").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        slotted.withColumn("_local", F.coalesce(F.sum(value).over(local), F.lit(0)))
+        slotted.withColumn("_slot_local", F.coalesce(F.sum(value).over(local), F.lit(0)))
         .join(starts, [*keys, "_slot"])
-        .withColumn(name, F.col("_start") + F.col("_local"))
-        .drop("_slot", "_local", "_start")
+        .withColumn(name, F.col("_slot_start") + F.col("_slot_local"))
+        .drop("_slot", "_slot_local", "_slot_start")
     )
 
 
@@ -91,15 +91,16 @@ def trailing_frames(
     df: DataFrame,
     keys: Sequence[str],
     rank: str,
-    columns: dict[str, Column],
+    columns: Callable[[Callable[[Column], Column]], dict[str, Column]],
     size: int,
     chunk: int = 20_000,
 ) -> DataFrame:
-    """Add window columns over the last ``size`` rows of each ranked key.
+    """Add columns over the last ``size`` rows of each ranked key.
 
-    ``columns`` maps a name to an aggregate that is evaluated over the frame.
+    ``columns`` gets ``over``, which evaluates an aggregate over the frame, and
+    returns the named columns to add.
     """
     frame = Window.partitionBy(*keys, "chunk").orderBy(rank).rowsBetween(-(size - 1), 0)
     out = with_halo(df, rank, size - 1, max(chunk, size))
-    out = out.select("*", *[agg.over(frame).alias(name) for name, agg in columns.items()])
-    return out.filter(~F.col("is_halo")).drop("chunk", "is_halo")
+    made = columns(lambda aggregate: aggregate.over(frame))
+    return out.select("*", *[c.alias(n) for n, c in made.items()]).filter(~F.col("is_halo")).drop("chunk", "is_halo")

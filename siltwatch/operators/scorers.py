@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 
 from siltwatch.operators.ranking import keyed_offset, trailing_frames
 
-# A scorer maps (value column, trailing array column, window length) to a score.
-Scorer = Callable[[str, int], Column]
+# Evaluates an aggregate over the trailing window of the current row.
+Over = Callable[[Column], Column]
+# A scorer maps (over, value columns, window length) to a score column.
+Scorer = Callable[[Over, Sequence[Column], int], Column]
 UNIVARIATE: dict[str, Scorer] = {}
 MULTIVARIATE: dict[str, Scorer] = {}
 ENSEMBLES: dict[str, Callable[..., Column]] = {}
@@ -25,7 +27,7 @@ MODES = ("univariate", "multivariate", "ensemble")
 
 
 def univariate(name: str):
-    """Register ``(frame column, window length) -> score`` over a double array."""
+    """Register a scorer of one value per step."""
 
     def add(fn: Scorer) -> Scorer:
         UNIVARIATE[name] = fn
@@ -35,7 +37,7 @@ def univariate(name: str):
 
 
 def multivariate(name: str):
-    """Register a scorer over an array of double arrays."""
+    """Register a scorer of several values per step."""
 
     def add(fn: Scorer) -> Scorer:
         MULTIVARIATE[name] = fn
@@ -52,71 +54,76 @@ def ensemble(name: str):
     return add
 
 
-def _full(frame: str, w: int, score: Column) -> Column:
-    return F.when(F.size(frame) >= w, score)
+def _per_window(score: Callable[..., np.ndarray], over: Over, values: Sequence[Column], w: int) -> Column:
+    """Score whole windows in Arrow batches.
 
+    ``score`` gets one (rows x w) matrix per value and returns a score per row;
+    windows that are not full yet stay null.
+    """
 
-def _mean(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda a, x: a + x) / F.size(values)
-
+    def run(*frames: pd.Series) -> pd.Series:
+        out = np.full(len(frames[0]), np.nan)
+        full = frames[0].notna().to_numpy()
+        if full.any():
+            out[full] = score(*[np.stack(f[full].to_numpy()) for f in frames])
+        return pd.Series(out)
 
-def _median(values: Column) -> Column:
-    ordered = F.array_sort(values)
-    n = F.size(values)
-    lo, hi = F.floor((n + 1) / 2).cast("int"), F.floor((n + 2) / 2).cast("int")
-    return (F.element_at(ordered, lo) + F.element_at(ordered, hi)) / 2
+    scored = F.pandas_udf(run, "double", F.PandasUDFType.SCALAR)
+    windows = [F.when(over(F.count(F.lit(1))) >= w, over(F.collect_list(v))) for v in values]
+    return scored(*windows)
 
 
 @univariate("ZScoreDetector")
-def z_score(frame: str, w: int) -> Column:
+def z_score(over: Over, values: Sequence[Column], w: int) -> Column:
     """Distance from the window mean in population standard deviations."""
-    values, x = F.col(frame), F.element_at(frame, -1)
-    mean = _mean(values)
-    sd = F.sqrt(_mean(F.transform(values, lambda v: (v - mean) * (v - mean))))
-    return _full(frame, w, F.when(sd > 1e-12, F.abs(x - mean) / sd).otherwise(F.lit(0.0)))
+    (x,) = values
+    sd = over(F.stddev_pop(x))
+    score = F.when(sd > 1e-12, F.abs(x - over(F.avg(x))) / sd).otherwise(F.lit(0.0))
+    return F.when(over(F.count(F.lit(1))) >= w, score)
 
 
 @univariate("MadDetector")
-def mad_score(frame: str, w: int) -> Column:
+def mad_score(over: Over, values: Sequence[Column], w: int) -> Column:
     """Distance from the window median in median absolute deviations."""
-    values, x = F.col(frame), F.element_at(frame, -1)
-    med = _median(values)
-    mad = _median(F.transform(values, lambda v: F.abs(v - med)))
-    return _full(frame, w, F.when(mad > 0, F.abs(x - med) / mad).otherwise(F.lit(0.0)))
+
+    def score(x: np.ndarray) -> np.ndarray:
+        off = np.abs(x - np.median(x, axis=1, keepdims=True))
+        mad = np.median(off, axis=1)
+        return np.divide(off[:, -1], mad, out=np.zeros(len(x)), where=mad > 0)
+
+    return _per_window(score, over, values, w)
 
 
 @univariate("KNNDetector")
-def knn_score(frame: str, w: int, k: int = 3) -> Column:
+def knn_score(over: Over, values: Sequence[Column], w: int, k: int = 3) -> Column:
     """Mean distance to the ``k`` nearest earlier points of the window."""
-    x = F.element_at(frame, -1)
-    others = F.slice(F.col(frame), 1, F.greatest(F.size(frame) - 1, F.lit(0)))
-    nearest = F.slice(F.array_sort(F.transform(others, lambda v: F.abs(v - x))), 1, k)
-    return _full(frame, w, _mean(nearest))
 
+    def score(x: np.ndarray) -> np.ndarray:
+        return np.sort(np.abs(x[:, :-1] - x[:, -1:]), axis=1)[:, :k].mean(axis=1)
 
-@F.pandas_udf("double")
-def _residual_of_last(frames: pd.Series) -> pd.Series:
-    def one(values):
-        spectrum = np.fft.fft(np.asarray(values, dtype=float))
-        log_amp = np.log(np.abs(spectrum) + 1e-8)
-        smooth = np.convolve(log_amp, np.ones(3) / 3, mode="same")
-        saliency = np.abs(np.fft.ifft(np.exp(log_amp - smooth + 1j * np.angle(spectrum))))
-        mean = saliency.mean()
-        return float(abs(saliency[-1] - mean) / (mean + 1e-8))
-
-    return frames.map(lambda v: None if v is None else one(v))
+    return _per_window(score, over, values, w)
 
 
 @univariate("SRDetector")
-def spectral_residual(frame: str, w: int) -> Column:
+def spectral_residual(over: Over, values: Sequence[Column], w: int) -> Column:
     """Saliency of the newest point in the spectral residual of its window."""
-    return _residual_of_last(_full(frame, w, F.col(frame)))
 
+    def score(x: np.ndarray) -> np.ndarray:
+        spectrum = np.fft.fft(x, axis=1)
+        log_amp = np.log(np.abs(spectrum) + 1e-8)
+        wide = np.pad(log_amp, ((0, 0), (1, 1)))
+        smooth = (wide[:, :-2] + wide[:, 1:-1] + wide[:, 2:]) / 3
+        saliency = np.abs(np.fft.ifft(np.exp(log_amp - smooth + 1j * np.angle(spectrum)), axis=1))
+        mean = saliency.mean(axis=1)
+        return np.abs(saliency[:, -1] - mean) / (mean + 1e-8)
 
-def _projections(dims: int, count: int, seed: int) -> np.ndarray:
+    return _per_window(score, over, values, w)
+
+
+def _directions(dims: int, count: int, seed: int) -> np.ndarray:
     """Sparse random directions: about sqrt(dims) non-zero weights each."""
     rng = np.random.default_rng(seed)
-    used = max(1, int(round(dims**0.5)))
+    used = max(1, round(dims**0.5))
     out = np.zeros((count, dims))
     for row in out:
         row[rng.choice(dims, used, replace=False)] = rng.standard_normal(used)
@@ -124,27 +131,22 @@ def _projections(dims: int, count: int, seed: int) -> np.ndarray:
 
 
 @multivariate("LodaDetector")
-def loda_score(frame: str, w: int, count: int = 16, bins: int = 8, seed: int = 108) -> Column:
+def loda_score(over: Over, values: Sequence[Column], w: int, count: int = 16, bins: int = 8, seed: int = 108) -> Column:
     """Mean negative log density of the newest point over random 1-d histograms."""
+    directions = _directions(len(values), count, seed)
 
-    @F.pandas_udf("double")
-    def score(frames: pd.Series) -> pd.Series:
-        def one(points):
-            x = np.stack([np.asarray(p, dtype=float) for p in points])
-            z = x @ _projections(x.shape[1], count, seed).T
-            total = 0.0
-            for col in z.T:
-                lo, hi = col.min(), col.max()
-                if hi - lo < 1e-12:
-                    continue
-                hist, edges = np.histogram(col, bins=bins, range=(lo, hi))
-                at = min(int((col[-1] - lo) / (hi - lo) * bins), bins - 1)
-                total -= np.log(hist[at] / len(col))
-            return float(total / count)
-
-        return frames.map(lambda v: None if v is None else one(v))
+    def score(*dims: np.ndarray) -> np.ndarray:
+        total = np.zeros(len(dims[0]))
+        for weights in directions:
+            z = sum(weight * d for weight, d in zip(weights, dims, strict=True))
+            low = z.min(axis=1, keepdims=True)
+            span = z.max(axis=1, keepdims=True) - low
+            place = np.divide(z - low, span, out=np.zeros_like(z), where=span > 1e-12)
+            cell = np.minimum((place * bins).astype(int), bins - 1)
+            total -= np.log((cell == cell[:, -1:]).mean(axis=1))
+        return total / count
 
-    return score(_full(frame, w, F.col(frame)))
+    return _per_window(score, over, values, w)
 
 
 @ensemble("WeightEnsemble")
@@ -207,15 +209,14 @@ def score_series(
 ) -> DataFrame:
     """Add ``score`` to every step; only an ensemble uses more than its first model."""
     check_models(mode, models, ensemble_model)
-    point = F.array(F.col("mean_size"), F.col("n")) if mode == "multivariate" else F.col("n")
-    framed = trailing_frames(
-        positioned, keys, "position", {"_frame": F.collect_list(point)}, window, chunk
-    )
+    values = [F.col("mean_size"), F.col("n")] if mode == "multivariate" else [F.col("n")]
     known = MULTIVARIATE if mode == "multivariate" else UNIVARIATE
-    if mode == "ensemble":
-        framed = framed.select("*", *[known[m]("_frame", window).alias(f"_s{i}") for i, m in enumerate(models)])
-        combined = ENSEMBLES[ensemble_model]([F.col(f"_s{i}") for i in range(len(models))], **ensemble_args)
-        framed = framed.withColumn("score", combined).drop(*[f"_s{i}" for i in range(len(models))])
-    else:
-        framed = framed.withColumn("score", known[models[0]]("_frame", window))
-    return framed.drop("_frame")
+    used = models if mode == "ensemble" else models[:1]
+
+    def scores(over):
+        return {f"_score_{i}": known[m](over, values, window) for i, m in enumerate(used)}
+
+    scored = trailing_frames(positioned, keys, "position", scores, window, chunk)
+    columns = [F.col(f"_score_{i}") for i in range(len(used))]
+    combined = ENSEMBLES[ensemble_model](columns, **ensemble_args) if mode == "ensemble" else columns[0]
+    return scored.withColumn("score", combined).drop(*[f"_score_{i}" for i in range(len(used))])

@@ -35,7 +35,7 @@ def tunnel_windows(
         split, list(keys), time_slot(F.col("ts"), slot_seconds), [F.col("ts"), F.col("logline_id")], "arrival"
     )
     entry = F.struct(request_entry(_server_id(lines)).alias("request"), F.col("thirdleveldomain").alias("sub"))
-    framed = trailing_frames(ranked, list(keys), "arrival", {"_frame": F.collect_list(entry)}, size, chunk)
+    framed = trailing_frames(ranked, list(keys), "arrival", lambda over: {"_frame": over(F.collect_list(entry))}, size, chunk)
     return (
         framed.filter(F.size("_frame") >= fewest)
         .withColumn("request", F.transform("_frame", lambda e: e["request"]).cast(REQUEST))

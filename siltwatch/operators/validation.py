@@ -23,25 +23,36 @@ def parse_lines(df: DataFrame, fmt: LogFormat, raw: str = "raw") -> DataFrame:
     (empty = valid, ``['json']`` = not a JSON object). A missing required field
     counts as invalid, whatever its class.
     """
-    schema = f"{fmt.schema()}, `{_BROKEN}` string"
-    parsed = df.withColumn("fields", F.from_json(raw, schema, {"columnNameOfCorruptRecord": _BROKEN}))
-    broken = F.col("fields").isNull() | F.col(f"fields.`{_BROKEN}`").isNotNull()
+    parsed = _parsed_once(df, fmt, raw)
     failed = fmt.failed_fields(lambda name: F.col(f"fields.`{name}`"))
-    return parsed.withColumn("failed_fields", F.when(broken, F.array(F.lit("json"))).otherwise(failed))
+    return parsed.withColumn("failed_fields", F.when(_is_broken(), F.array(F.lit("json"))).otherwise(failed))
+
+
+def _parsed_once(df: DataFrame, fmt: LogFormat, raw: str) -> DataFrame:
+    """Parse in a generator: filters on the fields then stay above it.
+
+    As a plain projection the parser would be copied into every predicate and
+    into join conditions below, and run once per rule.
+    """
+    schema = f"{fmt.schema()}, `{_BROKEN}` string"
+    fields = F.from_json(raw, schema, {"columnNameOfCorruptRecord": _BROKEN})
+    return df.select("*", F.explode(F.array(fields)).alias("fields"))
+
+
+def _is_broken() -> Column:
+    return F.col("fields").isNull() | F.col(f"fields.`{_BROKEN}`").isNotNull()
 
 
-def valid_lines(parsed: DataFrame, fmt: LogFormat) -> DataFrame:
+def valid_lines(df: DataFrame, fmt: LogFormat, raw: str = "raw") -> DataFrame:
     """Valid lines with one column per configured field and a parsed ``ts``."""
+    parsed = _parsed_once(df, fmt, raw)
     ts_rule = fmt.rule("ts")
-    keep = [c for c in parsed.columns if c not in ("fields", "failed_fields", *fmt.names)]
     ts = ts_rule.parse(F.col("fields.ts")) if isinstance(ts_rule, Timestamp) else F.to_timestamp("fields.ts")
-    return (
-        parsed.filter(F.size("failed_fields") == 0)
-        .select(
-            *keep,
-            ts.alias("ts"),
-            *[F.col(f"fields.`{n}`").alias(n) for n in fmt.names if n != "ts"],
-        )
+    keep = [c for c in df.columns if c not in fmt.names]
+    return parsed.filter(~_is_broken() & fmt.all_valid(lambda name: F.col(f"fields.`{name}`"))).select(
+        *keep,
+        ts.alias("ts"),
+        *[F.col(f"fields.`{n}`").alias(n) for n in fmt.names if n != "ts"],
     )
 
 

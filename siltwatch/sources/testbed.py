@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from siltwatch.functions.network import subnet_v4
 from siltwatch.functions.rules import LogFormat
-from siltwatch.operators.validation import additional_fields, parse_lines, valid_lines
+from siltwatch.operators.validation import additional_fields, valid_lines
 from siltwatch.session import prepare
+from siltwatch.sources.staging import spread, staged
 
 TIME_FORMAT = "%Y-%m-%dT%H:%M:%S.%f"
 
@@ -73,7 +74,7 @@ def dns_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(text(F.floor("value").cast("bigint")), F.when(eid % 11 == 0, "b").otherwise("")).alias("size"),
     )
     fields = [F.col("ts_text").alias("ts"), "status_code", "src_ip", "dns_server_ip", "domain_name", "record_type", "size"]
-    return lines.withColumn("raw", F.to_json(F.struct(*fields)))
+    return spread(lines, events, "logline_id").withColumn("raw", F.to_json(F.struct(*fields)))
 
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,10 +84,15 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def valid_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Valid lines with their subnet, parsed back from the JSON text."""
-    lines = valid_lines(parse_lines(raw_lines(spark, sf_dir), DNS_FORMAT), DNS_FORMAT)
+    lines = valid_lines(raw_lines(spark, sf_dir), DNS_FORMAT)
     return lines.withColumn("subnet_id", subnet_v4(F.col("src_ip"))).drop("raw")
 
 
+def stored_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid lines as a written table, for plans that read them more than once."""
+    return staged(valid_log(spark, sf_dir), "loglines")
+
+
 def server_logs(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("message_id"), F.col("o_orderdate").alias("timestamp_in")
