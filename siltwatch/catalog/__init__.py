@@ -6,7 +6,7 @@ from importlib import import_module
 
 from siltwatch.catalog.registry import QUERIES, SQL, Query
 
-MODULES = ("ingest", "inspection")
+MODULES = ("ingest", "inspection", "detection")
 
 
 def _load() -> None:

@@ -80,9 +80,20 @@ bounds AS (
 )"""
 
 
-DOMAINS = r"""
+# Lines whose names carry a hashed label, as a tunnel's would.
+TUNNEL_LOG = r"""
+tunnel_log AS (
+  SELECT * REPLACE (CASE WHEN logline_id % 3 = 0
+    THEN substr(md5(CAST(logline_id AS VARCHAR)), 1, CAST(4 + logline_id % 9 AS INTEGER)) || '.' || domain_name ELSE domain_name END AS domain_name)
+  FROM valid_log
+)"""
+
+
+def domains(source: str = "valid_log") -> str:
+    """Name parts of every line of a source."""
+    return rf"""
 names AS (
-  SELECT *, trim(domain_name, '.') AS fqdn, string_split(trim(domain_name, '.'), '.') AS labels FROM valid_log
+  SELECT *, trim(domain_name, '.') AS fqdn, string_split(trim(domain_name, '.'), '.') AS labels FROM {source}
 ),
 split_names AS (
   SELECT *,
@@ -95,7 +106,7 @@ split_names AS (
 def entropy(text: str) -> str:
     """Shannon entropy of a text expression."""
     return (
-        f"CASE WHEN length({text}) = 0 THEN 0.0 ELSE -list_sum(list_transform(list_distinct(string_split({text}, '')), "
+        f"CASE WHEN length({text}) = 0 THEN 0.0 ELSE 0.0 - list_sum(list_transform(list_distinct(string_split({text}, '')), "
         f"lambda c: ((length({text}) - length(replace({text}, c, ''))) / length({text})::DOUBLE) "
         f"* log2((length({text}) - length(replace({text}, c, ''))) / length({text})::DOUBLE))) END"
     )
@@ -162,3 +173,38 @@ suspicious AS (
   SELECT m.*, sha256(m.batch_id || '|' || m.src_ip) AS suspicious_batch_id
   FROM messages m JOIN verdicts v ON m.batch_id = v.batch_id WHERE v.is_suspicious
 )"""
+
+
+# Trailing windows per second-level label, and the Jaro family over their pairs.
+TUNNEL = r"""
+tunnel AS (
+  SELECT *, row_number() OVER w AS arrival, list(thirdleveldomain) OVER f AS subs, list(CAST(logline_id AS VARCHAR)) OVER f AS ids,
+    list(domain_name) OVER f AS window_names
+  FROM split_names
+  WINDOW w AS (PARTITION BY secondleveldomain ORDER BY ts, logline_id),
+    f AS (PARTITION BY secondleveldomain ORDER BY ts, logline_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)
+),
+windows AS (SELECT * FROM tunnel WHERE len(subs) >= 3),
+places AS (SELECT i, j FROM range(1, 11) x(i), range(1, 11) y(j) WHERE i < j),
+window_pairs AS (SELECT w.logline_id, w.subs[p.i] AS a, w.subs[p.j] AS b FROM windows w JOIN places p ON p.j <= len(w.subs)),
+pair_jaro AS (
+  SELECT *,
+    CASE WHEN a = '' AND b = '' THEN 1.0 WHEN a = '' OR b = '' THEN 0.0 ELSE jaro_similarity(a, b) END AS j,
+    CASE WHEN a = '' AND b = '' THEN 1.0 WHEN a = '' OR b = '' THEN 0.0 ELSE jaro_similarity(reverse(a), reverse(b)) END AS r,
+    CASE WHEN least(length(a), length(b)) >= 4 AND left(a, 4) = left(b, 4) THEN 4
+         WHEN least(length(a), length(b)) >= 3 AND left(a, 3) = left(b, 3) THEN 3
+         WHEN least(length(a), length(b)) >= 2 AND left(a, 2) = left(b, 2) THEN 2
+         WHEN least(length(a), length(b)) >= 1 AND left(a, 1) = left(b, 1) THEN 1 ELSE 0 END AS head,
+    CASE WHEN least(length(a), length(b)) >= 4 AND right(a, 4) = right(b, 4) THEN 4
+         WHEN least(length(a), length(b)) >= 3 AND right(a, 3) = right(b, 3) THEN 3
+         WHEN least(length(a), length(b)) >= 2 AND right(a, 2) = right(b, 2) THEN 2
+         WHEN least(length(a), length(b)) >= 1 AND right(a, 1) = right(b, 1) THEN 1 ELSE 0 END AS tail
+  FROM window_pairs
+),
+window_jaro AS (
+  SELECT logline_id, avg(j) AS jaro, avg(r) AS jaro_reversed,
+    avg(CASE WHEN j > 0.7 THEN j + head * 0.2 * (1 - j) ELSE j END) AS jaro_winkler,
+    avg(CASE WHEN r > 0.7 THEN r + tail * 0.2 * (1 - r) ELSE r END) AS jaro_winkler_reversed
+  FROM pair_jaro GROUP BY logline_id
+),
+window_scores AS (SELECT w.*, j.* EXCLUDE (logline_id) FROM windows w JOIN window_jaro j ON w.logline_id = j.logline_id)"""

@@ -14,7 +14,7 @@ STAGE = "data_analysis.detector"
 # Classes that never raise a warning.
 LEGITIMATE = ("benign", "legit", "legitimate", "legitimate_legitimate")
 
-REQUEST = "array<struct<logline_id:string,server_message_id:string,domain_name:string>>"
+REQUEST = "array<struct<logline_id:string,server_message_id:string,domain_name:string,ts:timestamp>>"
 ATTRIBUTES = "array<struct<attribute:string,probability:double>>"
 WARNING_COLUMNS = (
     "suspicious_batch_id", "src_ip", "name", "sha256", "probability", "predicted_class", "attributes", "request",
@@ -32,12 +32,14 @@ def detector(name: str):
     return add
 
 
-def request_entry(server_id: Column | None = None) -> Column:
-    """The part of a line a warning keeps."""
+def request_entry(lines: DataFrame) -> Column:
+    """The part of a line a warning keeps; not every source has message ids."""
+    server_id = F.col("server_message_id") if "server_message_id" in lines.columns else F.lit(None)
     return F.struct(
         F.col("logline_id").cast("string").alias("logline_id"),
-        (server_id if server_id is not None else F.lit(None)).cast("string").alias("server_message_id"),
+        server_id.cast("string").alias("server_message_id"),
         F.col("domain_name"),
+        F.col("ts"),
     )
 
 
@@ -71,7 +73,7 @@ def binary_warnings(
     A tie at one half is not malicious. ``always`` warns on every row.
     """
     wins = F.lit(True) if always else F.col("probability") > max(0.5, threshold)
-    one = F.array(request_entry()) if request is None else request
+    one = F.array(request_entry(scored)) if request is None else request
     return _warning(
         scored.filter(wins), name, sha256, F.lit(None).cast("string"), F.lit(None).cast(ATTRIBUTES), one
     )

@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 GENERIC_ALERTER = "generic"
+MAX_ROUTES = 10_000
 
 
 def route_table(spark: SparkSession, routes: Sequence[tuple[str, str]]) -> DataFrame:
-    """Configured (source, target) pairs; as many rows as the configuration has."""
+    """Configured (source, target) pairs, few enough to be broadcast."""
+    if len(routes) > MAX_ROUTES:
+        raise ValueError(f"{len(routes)} routes; at most {MAX_ROUTES} are supported")
     return spark.createDataFrame(list(routes), "source string, target string")
 
 

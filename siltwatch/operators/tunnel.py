@@ -22,6 +22,7 @@ def tunnel_windows(
     keys: Sequence[str] = ("secondleveldomain",),
     size: int = WINDOW,
     fewest: int = FEWEST,
+    order: Sequence[str] = ("ts", "logline_id"),
     slot_seconds: int = 3600,
     chunk: int = 20_000,
 ) -> DataFrame:
@@ -31,10 +32,9 @@ def tunnel_windows(
     apart. A popular label is numbered slot by slot and framed chunk by chunk.
     """
     split = with_domain_parts(lines) if "secondleveldomain" not in lines.columns else lines
-    ranked = keyed_rank(
-        split, list(keys), time_slot(F.col("ts"), slot_seconds), [F.col("ts"), F.col("logline_id")], "arrival"
-    )
-    entry = F.struct(request_entry(_server_id(lines)).alias("request"), F.col("thirdleveldomain").alias("sub"))
+    slot = time_slot(F.col(order[0]), slot_seconds)
+    ranked = keyed_rank(split, list(keys), slot, [F.col(c) for c in order], "arrival")
+    entry = F.struct(request_entry(lines).alias("request"), F.col("thirdleveldomain").alias("sub"))
     framed = trailing_frames(ranked, list(keys), "arrival", lambda over: {"_frame": over(F.collect_list(entry))}, size, chunk)
     return (
         framed.filter(F.size("_frame") >= fewest)
@@ -44,25 +44,31 @@ def tunnel_windows(
     )
 
 
-def _server_id(lines: DataFrame) -> Column | None:
-    return F.col("server_message_id") if "server_message_id" in lines.columns else None
-
-
 def with_similarity(windows: DataFrame, subdomains: str = "subdomains") -> DataFrame:
     """Add the seven mean pairwise similarities of each window."""
     scored = windows.withColumn("_m", window_similarity(F.col(subdomains)))
     return scored.select("*", *[F.col(f"_m.{m}").alias(m) for m in METRICS]).drop("_m")
 
 
+# Order of messages that come from upstream warnings.
+CHAINED_ORDER = ("arrived_at", "trigger", "place")
+
+
 def from_requests(warnings: DataFrame) -> DataFrame:
     """Messages of upstream warnings, one row each; nested windows become rows.
 
     The same message can sit in many upstream windows; it arrives once per
-    window, as it does from an upstream detector.
+    window, as it does from an upstream detector. A window arrives with its
+    newest message.
     """
+    newest = F.element_at("request", -1)
     return warnings.select(
-        "suspicious_batch_id", "src_ip", F.posexplode("request").alias("place", "m")
-    ).select("suspicious_batch_id", "src_ip", "place", "m.logline_id", "m.server_message_id", "m.domain_name")
+        "suspicious_batch_id",
+        "src_ip",
+        newest["ts"].alias("arrived_at"),
+        newest["logline_id"].alias("trigger"),
+        F.posexplode("request").alias("place", "m"),
+    ).select("suspicious_batch_id", "src_ip", *CHAINED_ORDER, "m.*")
 
 
 @detector("DomainatorDetector")

@@ -71,16 +71,16 @@ def inspect(messages: DataFrame, spec: InspectSpec) -> DataFrame:
     return INSPECTORS[spec.inspector](messages, message_bounds(messages, spec.step), spec=spec)
 
 
-def detect(lines: DataFrame, name: str, include_buffer: bool = False, **settings) -> DataFrame:
+def detect(lines: DataFrame, detector: str, include_buffer: bool = False, **settings) -> DataFrame:
     """Warnings of a registered detector.
 
     Carried-over rows were new rows of the batch before; they are scored again
     only with ``include_buffer``.
     """
-    if name not in DETECTORS:
-        raise NotImplementedError(f"detector {name!r} is not registered")
+    if detector not in DETECTORS:
+        raise NotImplementedError(f"detector {detector!r} is not registered")
     rows = lines if include_buffer else lines.filter(~F.col("is_buffer"))
-    return DETECTORS[name](rows, **settings)
+    return DETECTORS[detector](rows, **settings)
 
 
 def alerts_of(

@@ -93,6 +93,14 @@ def stored_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staged(valid_log(spark, sf_dir), "loglines")
 
 
+def tunnel_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored lines, every third with a hashed label in front, as a tunnel sends."""
+    lid = F.col("logline_id")
+    hashed = F.substring(F.md5(text(lid)), F.lit(1), (lid % 9 + 4).cast("int"))
+    name = F.when(lid % 3 == 0, F.concat(hashed, F.lit("."), F.col("domain_name"))).otherwise(F.col("domain_name"))
+    return stored_log(spark, sf_dir).withColumn("domain_name", name)
+
+
 def server_logs(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("message_id"), F.col("o_orderdate").alias("timestamp_in")
