@@ -111,4 +111,4 @@ def _metrics_of_windows(windows: pd.Series) -> pd.DataFrame:
 def window_similarity(windows: Column) -> Column:
     """Struct of the seven metrics of each window; null below two strings."""
     schema = ", ".join(f"{m} double" for m in METRICS)
-    return F.pandas_udf(_metrics_of_windows, schema, F.PandasUDFType.SCALAR)(windows)
+    return F.pandas_udf(_metrics_of_windows, schema)(windows)

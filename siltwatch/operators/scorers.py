@@ -68,7 +68,7 @@ def _per_window(score: Callable[..., np.ndarray], over: Over, values: Sequence[C
             out[full] = score(*[np.stack(f[full].to_numpy()) for f in frames])
         return pd.Series(out)
 
-    scored = F.pandas_udf(run, "double", F.PandasUDFType.SCALAR)
+    scored = F.pandas_udf(run, "double")
     windows = [F.when(over(F.count(F.lit(1))) >= w, over(F.collect_list(v))) for v in values]
     return scored(*windows)
 

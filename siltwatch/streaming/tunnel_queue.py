@@ -1,0 +1,55 @@
+"""Last queries per domain as keyed state of a stream."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from siltwatch.functions.domains import with_domain_parts
+from siltwatch.operators.tunnel import FEWEST, WINDOW
+
+ENTRY = "logline_id string, domain_name string, sub string"
+OUTPUT = (
+    "secondleveldomain string, logline_id string, "
+    "request array<struct<logline_id:string,domain_name:string>>, subdomains array<string>"
+)
+
+
+class TunnelQueue(StatefulProcessor):
+    """Keeps the last nine queries of a domain and emits the window at every arrival.
+
+    Rows of a micro-batch pass through in chunks, each in time order; only the
+    queue is held. Scoring comes after, spread over all tasks.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.queue = handle.getListState("queue", ENTRY)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:  # noqa: N802
+        held = [tuple(entry) for entry in self.queue.get()] if self.queue.exists() else []
+        for chunk in rows:
+            out = []
+            ordered = chunk.sort_values(["ts", "logline_id"])
+            for lid, name, sub in zip(ordered.logline_id, ordered.domain_name, ordered.thirdleveldomain, strict=True):
+                held = [*held[-(WINDOW - 1) :], (lid, name, sub)]
+                if len(held) >= FEWEST:
+                    request = [{"logline_id": e[0], "domain_name": e[1]} for e in held]
+                    out.append((key[0], lid, request, [e[2] for e in held]))
+            yield pd.DataFrame(out, columns=["secondleveldomain", "logline_id", "request", "subdomains"])
+        self.queue.put(held[-(WINDOW - 1) :])
+
+    def close(self) -> None:
+        pass
+
+
+def tunnel_window_stream(lines: DataFrame) -> DataFrame:
+    """Windows of a stream of lines (``logline_id, ts, domain_name``)."""
+    parts = with_domain_parts(lines.withColumn("logline_id", F.col("logline_id").cast("string")))
+    columns = parts.select("secondleveldomain", "logline_id", "ts", "domain_name", "thirdleveldomain")
+    return columns.groupBy("secondleveldomain").transformWithStateInPandas(
+        TunnelQueue(), outputStructType=OUTPUT, outputMode="Append", timeMode="None"
+    )
