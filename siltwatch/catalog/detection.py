@@ -21,7 +21,7 @@ from siltwatch.plans import flow
 from siltwatch.sources import testbed as tb
 
 NAMES = with_(DNS, domains())
-AT = F.lit(dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc))
+AT = dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc)
 AT_SQL = "TIMESTAMP '2024-02-01 00:00:00'"
 
 
@@ -248,7 +248,7 @@ def dga_warned(spark, sf, include_buffer=False):
 
 
 def dga_alerts(spark, sf):
-    return A.build_alerts(dga_warned(spark, sf), "dga", AT, A.compact_warning())
+    return A.build_alerts(dga_warned(spark, sf), "dga", F.lit(AT), A.compact_warning())
 
 
 @query(
@@ -440,7 +440,7 @@ SELECT server_message_id AS message_id, 'alerting.alerter' AS stage, 'processed'
 FROM (SELECT DISTINCT suspicious_batch_id, server_message_id FROM warned WHERE server_message_id NOT LIKE 'line-%')""",
 )
 def processed(spark, sf):
-    return A.processed_events(dga_alerts(spark, sf), AT)
+    return A.processed_events(dga_alerts(spark, sf), F.lit(AT))
 
 
 @query(
@@ -451,7 +451,7 @@ FROM window_scores WHERE 1 - jaro > 0.5 GROUP BY 1, 2""",
 )
 def tunnel_end_to_end(spark, sf):
     """Lines to per-client tunnel alerts."""
-    found = A.build_alerts(tunnel_warned(spark, sf), "tunnel", AT, A.compact_warning())
+    found = A.build_alerts(tunnel_warned(spark, sf), "tunnel", F.lit(AT), A.compact_warning())
     return found.select(
         F.col("suspicious_batch_id").alias("subnet_id"),
         "src_ip",

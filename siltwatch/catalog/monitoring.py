@@ -12,6 +12,7 @@ from siltwatch.plans import dashboards as P
 from siltwatch.plans import latency as L
 from siltwatch.plans import retention, rollups
 from siltwatch.sources import testbed as tb
+from siltwatch.sources.staging import staged
 
 
 def last_event(spark, sf, **plus):
@@ -317,13 +318,17 @@ latency_history AS (
 
 
 def history(spark, sf, values=None):
-    as_of = last_ship(spark, sf, hours=12)
     values = values if values is not None else all_values(spark, sf)
-    tables = {}
-    for tier in L.LATENCY_TIERS:
-        near = L.age_between("end_timestamp", as_of, 0, tier.to_days + 1)
-        tables[tier.name] = L.latency_snapshot(values.filter(near), tier.name, as_of, exact=True)
-    return L.latency_history(tables, as_of)
+    return L.latency_history_from_values(values, last_ship(spark, sf, hours=12), exact=True)
+
+
+@query("h17_stored_snapshots", with_(LATENCIES + _TIERS) + " SELECT * FROM latency_history")
+def stored_snapshots(spark, sf):
+    """The same history, read from stored snapshots of the three resolutions."""
+    as_of = last_ship(spark, sf, hours=12)
+    values = staged(all_values(spark, sf), "latency-values")
+    tables = {t.name: L.latency_snapshot(values, t.name, as_of, exact=True) for t in L.LATENCY_TIERS}
+    return _rounded(L.latency_history(tables, as_of))
 
 
 @query("h17_latency_history", with_(LATENCIES + _TIERS) + " SELECT * FROM latency_history")

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltwatch.plans.rollups import TIERS, Tier, age_between, bucket, tiered
+from siltwatch.plans.rollups import TIERS, Tier, age_between, bucket, tiered, with_tier_buckets
 
 # Statuses that end a stage, per kind of entity.
 LINE_ENDS = ("finished", "batched", "filtered_out", "detected")
@@ -198,22 +198,22 @@ def latency_snapshot(
     closed = values.filter(F.col("end_timestamp") < bucket(F.lit(as_of), minutes))
     if look_back is not None:
         closed = closed.filter(F.col("end_timestamp") >= F.lit(as_of - look_back))
-    return (
-        closed.groupBy(bucket("end_timestamp", minutes).alias("time_bucket"), "family", "stage")
-        .agg(*_statistics(exact))
-        .select(
-            "time_bucket",
-            "family",
-            "stage",
-            "sample_count",
-            "min_latency_us",
-            "avg_latency_us",
-            F.col("_q")[0].cast("double").alias("p50_latency_us"),
-            F.col("_q")[1].cast("double").alias("p95_latency_us"),
-            F.col("_q")[2].cast("double").alias("p99_latency_us"),
-            "max_latency_us",
-            F.lit(as_of).alias("snapshot_version"),
-        )
+    grouped = closed.groupBy(bucket("end_timestamp", minutes).alias("time_bucket"), "family", "stage").agg(*_statistics(exact))
+    return _with_quantiles(grouped).withColumn("snapshot_version", F.lit(as_of))
+
+
+def _with_quantiles(grouped: DataFrame) -> DataFrame:
+    return grouped.select(
+        "time_bucket",
+        "family",
+        "stage",
+        "sample_count",
+        "min_latency_us",
+        "avg_latency_us",
+        F.col("_q")[0].cast("double").alias("p50_latency_us"),
+        F.col("_q")[1].cast("double").alias("p95_latency_us"),
+        F.col("_q")[2].cast("double").alias("p99_latency_us"),
+        "max_latency_us",
     )
 
 
@@ -230,6 +230,13 @@ def latency_history(snapshots: Mapping[str, DataFrame], as_of: dt.datetime) -> D
     return tiered({n: newest_version(df) for n, df in snapshots.items()}, as_of, LATENCY_TIERS).drop("snapshot_version")
 
 
+def latency_history_from_values(values: DataFrame, as_of: dt.datetime, exact: bool = False) -> DataFrame:
+    """The tiered history straight from values, for a first fill without snapshots."""
+    placed = with_tier_buckets(values, "end_timestamp", as_of, LATENCY_TIERS)
+    grouped = placed.groupBy("tier", "time_bucket", "family", "stage").agg(*_statistics(exact))
+    return _with_quantiles(grouped)
+
+
 def recent_and_typical(values: DataFrame, history: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Exact values of the last day, then each older bucket's median."""
     recent = values.filter(age_between("end_timestamp", as_of, 0, 1))

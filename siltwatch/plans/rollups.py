@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -90,10 +90,12 @@ def finish_fill_states(states: DataFrame) -> DataFrame:
 
 def fill_rollup(levels: DataFrame, minutes: int) -> DataFrame:
     """Exact min, average, max and median per bucket, stage and entry type."""
+    return levels.groupBy(bucket("timestamp", minutes).alias("time_bucket"), "stage", "entry_type").agg(*_fill_statistics())
+
+
+def _fill_statistics() -> list[Column]:
     c = F.col("entry_count")
-    return levels.groupBy(bucket("timestamp", minutes).alias("time_bucket"), "stage", "entry_type").agg(
-        F.min(c).alias("min_count"), F.avg(c).alias("avg_count"), F.max(c).alias("max_count"), F.median(c).alias("median_count")
-    )
+    return [F.min(c).alias("min_count"), F.avg(c).alias("avg_count"), F.max(c).alias("max_count"), F.median(c).alias("median_count")]
 
 
 def age_between(time: str, as_of: dt.datetime, from_days: int, to_days: int) -> Column:
@@ -108,30 +110,36 @@ def tiered(tables: dict[str, DataFrame], as_of: dt.datetime, tiers: Sequence[Tie
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def alerts_history(alerts: DataFrame, as_of: dt.datetime) -> DataFrame:
-    """Tiered history from raw alerts.
+def with_tier_buckets(rows: DataFrame, time: str, as_of: dt.datetime, tiers: Sequence[Tier] = TIERS) -> DataFrame:
+    """Raw rows with ``tier`` and ``time_bucket``, for a history straight from raw rows.
 
-    Each raw row is needed by one tier only, or by two where a coarse bucket
-    crosses the border, so the age filters reach the scan.
+    A row counts in the tier whose age range holds its bucket; near a border
+    that can be two tiers or none. One pass serves all tiers, and the oldest
+    age still reaches the scan as a filter.
     """
-    tables = {t.name: alert_rollup(_source(alerts, "alert_timestamp", t, as_of), t.minutes) for t in TIERS}
-    return tiered(tables, as_of)
+    low = F.lit(as_of - dt.timedelta(days=max(t.to_days for t in tiers)))
+    places = []
+    for t in tiers:
+        start = bucket(time, t.minutes)
+        inside = (start >= F.lit(as_of - dt.timedelta(days=t.to_days)))
+        if t.from_days:
+            inside = inside & (start < F.lit(as_of - dt.timedelta(days=t.from_days)))
+        places.append(F.when(inside, F.struct(F.lit(t.name).alias("tier"), start.alias("time_bucket"))))
+    placed = rows.filter(F.col(time) >= low).withColumn("_t", F.explode(F.array_compact(F.array(*places))))
+    return placed.select(*rows.columns, "_t.tier", "_t.time_bucket")
 
 
-def fill_levels_history(levels: DataFrame, as_of: dt.datetime, exact: bool = True) -> DataFrame:
-    """Tiered history of fill levels; ``exact`` computes medians without sketches."""
-    make: Callable = fill_rollup if exact else (lambda df, m: finish_fill_states(fill_state(df, m)))
-    tables = {t.name: make(_source(levels, "timestamp", t, as_of), t.minutes) for t in TIERS}
-    return tiered(tables, as_of)
+def alerts_history(alerts: DataFrame, as_of: dt.datetime) -> DataFrame:
+    """Tiered history of alerts, straight from raw alerts."""
+    placed = with_tier_buckets(alerts.select("src_ip", "alert_timestamp"), "alert_timestamp", as_of)
+    counted = placed.groupBy("tier", "time_bucket", "src_ip").agg(F.count(F.lit(1)).alias("alert_count"))
+    return counted.drop("tier")
 
 
-def _source(df: DataFrame, time: str, tier: Tier, as_of: dt.datetime) -> DataFrame:
-    """Raw rows that can fall in the tier's buckets."""
-    slack = dt.timedelta(minutes=tier.minutes)
-    rows = df.filter(F.col(time) >= F.lit(as_of - dt.timedelta(days=tier.to_days)))
-    if tier.from_days:
-        rows = rows.filter(F.col(time) < F.lit(as_of - dt.timedelta(days=tier.from_days) + slack))
-    return rows
+def fill_levels_history(levels: DataFrame, as_of: dt.datetime) -> DataFrame:
+    """Tiered history of fill levels with exact medians, straight from raw rows."""
+    placed = with_tier_buckets(levels, "timestamp", as_of)
+    return placed.groupBy("tier", *FILL_KEYS).agg(*_fill_statistics()).drop("tier")
 
 
 def backfill_rows(raw: DataFrame, target: DataFrame | None, time: str, as_of: dt.datetime, days: int) -> DataFrame | None:

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+_shipped: set[str] = set()
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings every plan assumes.
@@ -16,9 +20,28 @@ def prepare(spark: SparkSession) -> SparkSession:
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.parquet.inferTimestampNTZ.enabled", "false")
+    _ship_package(spark)
     return spark
 
 
+def _ship_package(spark: SparkSession) -> None:
+    """Give the workers this package once per application.
+
+    Column functions in Python refer to it by name, and a worker need not share
+    the driver's folder or search path.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="siltwatch-package-")) / "siltwatch.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for source in sorted(package.rglob("*.py")):
+            archive.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(target))
+    _shipped.add(context.applicationId)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for written intermediate tables and stream checkpoints.
 
@@ -42,6 +65,8 @@ def local_session(cores: str = "8", partitions: int = 8, memory: str = "8g") ->
         .appName("siltwatch")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        # Small test data: do not merge costly steps into one task.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "32k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
