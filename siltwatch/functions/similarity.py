@@ -88,6 +88,8 @@ def lcs_string(a: str, b: str) -> int:
 @lru_cache(maxsize=1 << 16)
 def pair_metrics(a: str, b: str) -> tuple[float, ...]:
     """The seven metrics of one pair; trailing windows ask for the same pairs again."""
+    if a == b:
+        return (1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0) if a else (1.0, 1.0, 1.0, 1.0, 1.0, 0.0, 0.0)
     plain, back = jaro(a, b), jaro(a[::-1], b[::-1])
     size = len(a) + len(b)
     seq = 2 * lcs_sequence(a, b) / size if a and b else 0.0

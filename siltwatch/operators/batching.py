@@ -47,7 +47,7 @@ def batch_key(key: str, window: Column, part: Column) -> Column:
     return F.concat_ws("#", F.col(key), window.cast("string"), part.cast("string"))
 
 
-def size_batches(df: DataFrame, size: int, key: str = "subnet_id", slot_seconds: int = 3600) -> DataFrame:
+def size_batches(df: DataFrame, size: int, key: str = "subnet_id", slot_seconds: int = 60) -> DataFrame:
     """Size trigger only: every ``size`` lines of a key, in time order."""
     ranked = keyed_rank(df, [key], time_slot(F.col("ts"), slot_seconds), [F.col("ts"), F.col("logline_id")])
     return ranked.withColumn("batch_no", F.floor((F.col("rank") - 1) / size).cast("bigint"))

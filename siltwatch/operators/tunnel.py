@@ -23,7 +23,7 @@ def tunnel_windows(
     size: int = WINDOW,
     fewest: int = FEWEST,
     order: Sequence[str] = ("ts", "logline_id"),
-    slot_seconds: int = 3600,
+    slot_seconds: int = 60,
     chunk: int = 20_000,
 ) -> DataFrame:
     """The last ``size`` queries of the domain at every arrival.

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siltwatch.sources.staging import small_side
+
 
 def _counts() -> list[Column]:
     y, p = F.col("y"), F.col("y_pred")
@@ -78,33 +80,58 @@ def long_form(df: DataFrame, side: Column, features: Sequence[str]) -> DataFrame
     return rows.filter(v.isNotNull() & ~F.isnan(v) & (F.abs(v) != F.lit(float("inf"))))
 
 
-def without_outliers(rows: DataFrame, percentile: float = 0.99) -> DataFrame:
-    """Values up to the percentile of their feature and side."""
-    cuts = rows.groupBy("feature", "side").agg(F.percentile("value", F.lit(percentile)).alias("cut"))
+def without_outliers(rows: DataFrame, percentile: float = 0.99, exact: bool = True) -> DataFrame:
+    """Values up to the percentile of their feature and side.
+
+    The exact percentile keeps every distinct value of a feature in one
+    aggregation buffer; for continuous features of huge tables use the sketch.
+    """
+    cut = F.percentile("value", F.lit(percentile)) if exact else F.percentile_approx("value", F.lit(percentile), 100_000)
+    cuts = small_side(rows.groupBy("feature", "side").agg(cut.alias("cut")), "cuts")
     return rows.join(cuts, ["feature", "side"]).filter(F.col("value") <= F.col("cut")).drop("cut")
 
 
-def distribution_distances(rows: DataFrame, percentile: float | None = 0.99) -> DataFrame:
+def distribution_distances(
+    rows: DataFrame, percentile: float | None = 0.99, exact: bool = True, slots: int = 4096
+) -> DataFrame:
     """Kolmogorov-Smirnov statistic, its asymptotic p-value, and earth mover's distance.
 
     ``side`` is true or false. Equal values are counted before anything is
-    ordered, so the running sums see each distinct value once.
+    ordered, and a feature's value range is cut into slots whose sums are
+    chained, so its values never all meet in one task.
     """
-    kept = without_outliers(rows, percentile) if percentile is not None else rows
+    kept = without_outliers(rows, percentile, exact) if percentile is not None else rows
     hit = F.col("side").cast("boolean")
     points = kept.groupBy("feature", "value").agg(F.count_if(hit).alias("n1"), F.count_if(~hit).alias("n2"))
-    sizes = points.groupBy("feature").agg(F.sum("n1").alias("size1"), F.sum("n2").alias("size2"))
-    along = Window.partitionBy("feature").orderBy("value")
-    upto = along.rowsBetween(Window.unboundedPreceding, 0)
-    running = points.select(
+    sizes = points.groupBy("feature").agg(
+        F.sum("n1").alias("size1"), F.sum("n2").alias("size2"), F.min("value").alias("lo"), F.max("value").alias("hi")
+    )
+    span = F.greatest(F.col("hi") - F.col("lo"), F.lit(1e-300))
+    slotted = points.join(small_side(sizes.filter("size1 > 0 AND size2 > 0"), "sizes"), "feature").withColumn(
+        "slot", F.floor((F.col("value") - F.col("lo")) / span * (slots - 1)).cast("bigint")
+    )
+    by_slot = slotted.groupBy("feature", "slot").agg(F.sum("n1").alias("m1"), F.sum("n2").alias("m2"), F.min("value").alias("first"))
+    slot_order = Window.partitionBy("feature").orderBy("slot")
+    before = slot_order.rowsBetween(Window.unboundedPreceding, -1)
+    starts = by_slot.select(
         "feature",
+        "slot",
+        F.coalesce(F.sum("m1").over(before), F.lit(0)).alias("s1"),
+        F.coalesce(F.sum("m2").over(before), F.lit(0)).alias("s2"),
+        F.lead("first").over(slot_order).alias("next_first"),
+    )
+    along = Window.partitionBy("feature", "slot").orderBy("value")
+    upto = along.rowsBetween(Window.unboundedPreceding, 0)
+    running = slotted.select(
+        "feature", "slot", "size1", "size2", "value",
         F.sum("n1").over(upto).alias("c1"),
         F.sum("n2").over(upto).alias("c2"),
-        (F.lead("value").over(along) - F.col("value")).alias("width"),
-    ).join(sizes.filter("size1 > 0 AND size2 > 0"), "feature")
-    gap = F.abs(F.col("c1") / F.col("size1") - F.col("c2") / F.col("size2"))
+        F.lead("value").over(along).alias("next"),
+    ).join(starts, ["feature", "slot"])
+    gap = F.abs((F.col("s1") + F.col("c1")) / F.col("size1") - (F.col("s2") + F.col("c2")) / F.col("size2"))
+    width = F.coalesce(F.col("next"), F.col("next_first")) - F.col("value")
     found = running.groupBy("feature", "size1", "size2").agg(
-        F.max(gap).alias("ks_statistic"), F.sum(gap * F.coalesce("width", F.lit(0.0))).alias("emd")
+        F.max(gap).alias("ks_statistic"), F.sum(gap * F.coalesce(width, F.lit(0.0))).alias("emd")
     )
     effective = F.sqrt(F.col("size1") * F.col("size2") / (F.col("size1") + F.col("size2")))
     return found.select(

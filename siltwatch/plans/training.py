@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from siltwatch.functions.domains import labels
 from siltwatch.functions.similarity import METRICS, window_similarity
 from siltwatch.operators.ranking import keyed_rank, time_slot
+from siltwatch.sources.staging import small_side
 
 # Seed, split fractions, window length and the rows a window must exceed.
 SEED = 108
@@ -43,7 +44,7 @@ def preprocess(df: DataFrame, keep_all: bool = False) -> DataFrame:
     )
 
 
-def training_windows(df: DataFrame, order: Sequence[str] = ("ts", "logline_id"), slot_seconds: int = 86_400) -> DataFrame:
+def training_windows(df: DataFrame, order: Sequence[str] = ("ts", "logline_id"), slot_seconds: int = 300) -> DataFrame:
     """Disjoint windows of ten queries per user and domain, more than three rows each.
 
     The class is the domain's smallest class over all users.
@@ -77,7 +78,7 @@ def label_codes(df: DataFrame, column: str = "class") -> DataFrame:
 
 
 def encode(df: DataFrame, codes: DataFrame, column: str = "class") -> DataFrame:
-    return df.join(codes.withColumnRenamed("class", column), column)
+    return df.join(small_side(codes.withColumnRenamed("class", column), "codes"), column)
 
 
 def binary_label(cls: Column) -> Column:
@@ -111,7 +112,7 @@ def draw(key: Column, seed: int = SEED) -> Column:
     return digest / float(1 << 48)
 
 
-def stratified_rank(df: DataFrame, key: str, label: str, seed: int = SEED, slots: int = 1024) -> DataFrame:
+def stratified_rank(df: DataFrame, key: str, label: str, seed: int = SEED, slots: int = 65_536) -> DataFrame:
     """Position of each row within its class in a fixed random order, and the class size.
 
     The random number itself cuts a class into slots, so a class that holds
@@ -148,7 +149,7 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 def balanced_weights(df: DataFrame, label: str) -> DataFrame:
     """Rows with the weight of their class."""
-    return df.join(class_weights(df, label).select(label, "weight"), label)
+    return df.join(small_side(class_weights(df, label).select(label, "weight"), "weights"), label)
 
 
 def positive_scale(df: DataFrame, label: str) -> DataFrame:

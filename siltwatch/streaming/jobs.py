@@ -80,9 +80,10 @@ class LateLines:
 
     def __call__(self, lines: DataFrame, batch_id: int) -> None:
         spark = lines.sparkSession
-        write_once(lines.agg(F.max("ts").alias("high")), f"{self.root}/high", batch_id)
-        highs = spark.read.parquet(f"{self.root}/high").filter(F.col("stream_batch") < batch_id)
-        high = highs.agg(F.max("high")).first()[0]
+        before = _read_if_there(spark, f"{self.root}/high/stream_batch={batch_id - 1}")
+        high = before.first()[0] if before is not None else None
+        reached = F.greatest(F.max("ts"), F.lit(high).cast("timestamp"))
+        write_once(lines.agg(reached.alias("high")), f"{self.root}/high", batch_id)
         if high is None:
             return self.on_time(lines, batch_id)
         limit = F.lit(high) - F.make_dt_interval(secs=F.lit(self.delay_seconds))

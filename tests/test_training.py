@@ -148,3 +148,16 @@ def test_detector_outputs_fall_back(spark):
     assert (rows[0].detector_name, rows[0].score, rows[0].class_output, rows[0].raw_detector_output) == ("n", 0.5124, '[{"a":1}]', '{"k":1}')
     assert (rows[1].detector_name, rows[1].score, rows[1].class_output) == ("", 0.0, "[1]")
     assert rows[1].raw_detector_output == '{"class_probabilities":[1]}'
+
+
+@pytest.mark.parametrize("slots", [2, 7, 4096])
+def test_slots_do_not_change_distances(spark, slots):
+    df = spark.range(400).select((F.col("id") % 3 == 0).alias("s"), (F.pow(F.col("id") % 97, F.lit(2)) + F.col("id") % 5).alias("x"))
+    long = E.long_form(df, F.col("s"), ["x"])
+    got = E.distribution_distances(long, None, slots=slots).first()
+    rows = [(r.s, r.x) for r in df.collect()]
+    a, b = sorted(x for s, x in rows if s), sorted(x for s, x in rows if not s)
+    grid = sorted(set(a + b))
+    gaps = [abs(sum(v <= g for v in a) / len(a) - sum(v <= g for v in b) / len(b)) for g in grid]
+    assert got.ks_statistic == pytest.approx(max(gaps))
+    assert got.emd == pytest.approx(sum(g * (hi - lo) for g, lo, hi in zip(gaps, grid, grid[1:])))
