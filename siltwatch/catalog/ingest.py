@@ -15,7 +15,7 @@ from siltwatch.sources import testbed as tb
 # Sparse test events: small batches over long windows.
 SPEC = B.BatchSpec(size=40, seconds=86_400, slot_seconds=3600)
 BATCHES = batches(40, 86_400)
-COLLECTORS = [("dns", "dga_collector"), ("dns", "domainator_collector"), ("http", "web_collector")]
+COLLECTORS = [("dns", "dga_collector"), ("dns", "tunnel_collector"), ("http", "web_collector")]
 
 
 def parsed(spark, sf):
@@ -51,7 +51,7 @@ def subnet_minute_health(spark, sf):
     "a3_protocol_fanout",
     """
 SELECT e.event_id AS logline_id, r.protocol, r.collector
-FROM events e JOIN (VALUES ('dns', 'dga_collector'), ('dns', 'domainator_collector'), ('http', 'web_collector')) r(protocol, collector)
+FROM events e JOIN (VALUES ('dns', 'dga_collector'), ('dns', 'tunnel_collector'), ('http', 'web_collector')) r(protocol, collector)
   ON r.protocol = CASE WHEN e.event_type IN ('click', 'view') THEN 'http' ELSE 'dns' END""",
 )
 def protocol_fanout(spark, sf):

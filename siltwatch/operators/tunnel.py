@@ -71,7 +71,7 @@ def from_requests(warnings: DataFrame) -> DataFrame:
     ).select("suspicious_batch_id", "src_ip", *CHAINED_ORDER, "m.*")
 
 
-@detector("DomainatorDetector")
+@detector("TunnelDetector")
 def tunnel_warnings(lines: DataFrame, name: str = "tunnel", threshold: float = 0.5, score=None) -> DataFrame:
     """Warn per window; the warning keeps a snapshot of the whole window."""
     windows = with_similarity(tunnel_windows(lines))

@@ -22,7 +22,7 @@ from siltwatch.sources.staging import staged
 class InspectSpec:
     """How batches are inspected; a model's state belongs to one subnet."""
 
-    inspector: str = "StreamADInspector"
+    inspector: str = "SeriesInspector"
     mode: str = "univariate"
     models: tuple[str, ...] = ("ZScoreDetector",)
     ensemble: str | None = None
@@ -58,7 +58,7 @@ def scored_steps(messages: DataFrame, bounds: DataFrame, spec: InspectSpec) -> D
     return score_series(positioned, ["subnet_id"], spec.mode, spec.models, spec.ensemble, spec.window)
 
 
-@inspector("StreamADInspector")
+@inspector("SeriesInspector")
 def inspect_series(messages: DataFrame, bounds: DataFrame, spec: InspectSpec) -> DataFrame:
     check_models(spec.mode, spec.models, spec.ensemble)
     return batch_verdicts(scored_steps(messages, bounds, spec), spec.score_threshold, spec.anomaly_threshold)

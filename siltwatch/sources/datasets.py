@@ -84,31 +84,43 @@ def read_evaluation(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(EVALUATION).json(path)
 
 
-Reader = Callable[[SparkSession, str], DataFrame]
-
-# Dataset name -> file layout below the base folder, and its reader.
+# A reader takes the session, the base folder and the dataset's place below it.
+Reader = Callable[[SparkSession, str, str], DataFrame]
+
+# Default place of each dataset below the base folder; commas separate files.
+LAYOUT = {
+    "dgta": "dgta/dgta-benchmark.parquet",
+    "bambenek": "bambenek_dga_domain.csv",
+    "dga": "360_dga_domain.csv",
+    "textlogs": "textlogs/*.txt",
+    "dgarchive": "dgarchive/*.csv",
+    "tunnel": "tunnel/combined.csv,tunnel/extra.csv",
+}
 DATASETS: dict[str, Reader] = {
-    "dgta": lambda s, b: preprocess(read_latin1_domains(s, f"{b}/dgta/dgta-benchmark.parquet")),
-    "bambenek": lambda s, b: preprocess(read_listed_domains(s, f"{b}/bambenek_dga_domain.csv")),
-    "dga": lambda s, b: preprocess(read_listed_domains(s, f"{b}/360_dga_domain.csv")),
-    "heicloud": lambda s, b: preprocess(read_text_logs(s, f"{b}/heicloud/*.txt")),
-    "dgarchive": lambda s, b: preprocess(read_family_files(s, f"{b}/dgarchive/*.csv")),
-    "domainator": lambda s, b: preprocess(
-        read_user_queries(s, [f"{b}/domainator/domainator_combined.csv", f"{b}/domainator/domainator_ziza.csv"]), keep_all=True
-    ),
+    "dgta": lambda s, b, p: preprocess(read_latin1_domains(s, f"{b}/{p}")),
+    "bambenek": lambda s, b, p: preprocess(read_listed_domains(s, f"{b}/{p}")),
+    "dga": lambda s, b, p: preprocess(read_listed_domains(s, f"{b}/{p}")),
+    "textlogs": lambda s, b, p: preprocess(read_text_logs(s, f"{b}/{p}")),
+    "dgarchive": lambda s, b, p: preprocess(read_family_files(s, f"{b}/{p}")),
+    "tunnel": lambda s, b, p: preprocess(read_user_queries(s, [f"{b}/{f}" for f in p.split(",")]), keep_all=True),
 }
 # Choices of the trainer.
 CHOICES: Mapping[str, Sequence[str]] = {
-    "combine": ("dgta", "bambenek", "dga", "heicloud", "dgarchive"),
+    "combine": ("dgta", "bambenek", "dga", "textlogs", "dgarchive"),
     "dgta": ("dgta",),
     "dgarchive": ("dgarchive",),
-    "domainator": ("domainator",),
+    "tunnel": ("tunnel",),
 }
 
 
-def load_dataset(spark: SparkSession, base: str, choice: str) -> DataFrame:
+def read_dataset(spark: SparkSession, base: str, name: str, layout: Mapping[str, str] | None = None) -> DataFrame:
+    """One named dataset, preprocessed; ``layout`` moves datasets to other places."""
+    return DATASETS[name](spark, base, {**LAYOUT, **(layout or {})}[name])
+
+
+def load_dataset(spark: SparkSession, base: str, choice: str, layout: Mapping[str, str] | None = None) -> DataFrame:
     """One choice as a single table with a ``dataset`` column."""
     if choice not in CHOICES:
         raise NotImplementedError(f"dataset {choice!r}; known: {sorted(CHOICES)}")
-    parts = [DATASETS[name](spark, base).withColumn("dataset", F.lit(name)) for name in CHOICES[choice]]
+    parts = [read_dataset(spark, base, name, layout).withColumn("dataset", F.lit(name)) for name in CHOICES[choice]]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

@@ -21,12 +21,12 @@ def base(tmp_path):
     (tmp_path / "dgarchive").mkdir()
     (tmp_path / "dgarchive" / "conficker_dga.csv").write_text("".join(f"d{i}.net,1,2\n" for i in range(5)))
     (tmp_path / "dgarchive" / "nymaim_x.csv").write_text("n1.net,1,2\n")
-    (tmp_path / "heicloud").mkdir()
-    (tmp_path / "heicloud" / "a.txt").write_text("2024-01-01T10:00:00.123Z NOERROR 1.2.3.4 10.0.0.1 www.uni.de A 1.1.1.1 120b\n")
-    (tmp_path / "heicloud" / "b.txt").write_text("bad NOERROR 1.2.3.4 10.0.0.1 mail.uni.de A 1.1.1.1 120b\n")
-    (tmp_path / "domainator").mkdir()
-    (tmp_path / "domainator" / "domainator_combined.csv").write_text("query,class\na.b.c,legit\na.b.c,legit\n")
-    (tmp_path / "domainator" / "domainator_ziza.csv").write_text("user,query,class\nu1,d.b.c,tun\n,e.b.c,tun\n")
+    (tmp_path / "textlogs").mkdir()
+    (tmp_path / "textlogs" / "a.txt").write_text("2024-01-01T10:00:00.123Z NOERROR 1.2.3.4 10.0.0.1 www.uni.de A 1.1.1.1 120b\n")
+    (tmp_path / "textlogs" / "b.txt").write_text("bad NOERROR 1.2.3.4 10.0.0.1 mail.uni.de A 1.1.1.1 120b\n")
+    (tmp_path / "users").mkdir()
+    (tmp_path / "users" / "one.csv").write_text("query,class\na.b.c,legit\na.b.c,legit\n")
+    (tmp_path / "users" / "two.csv").write_text("user,query,class\nu1,d.b.c,tun\n,e.b.c,tun\n")
     (tmp_path / "dgta").mkdir()
     frame = pd.DataFrame({"domain": ["b\xfccher.de".encode("latin-1"), b"abc.com"], "class": ["legit", "dga"], "__index_level_0__": [0, 1]})
     frame.to_parquet(tmp_path / "dgta" / "dgta-benchmark.parquet")
@@ -36,7 +36,7 @@ def base(tmp_path):
 def test_header_csv(spark, base):
     got = D.read_listed_domains(spark, f"{base}/360_dga_domain.csv")
     assert got.columns == ["query", "class"] and got.count() == 3
-    assert [r.query for r in D.DATASETS["dga"](spark, base).collect()] == ["abc.com"]
+    assert [r.query for r in D.read_dataset(spark, base, "dga").collect()] == ["abc.com"]
 
 
 def test_class_from_file_name_and_cap(spark, base):
@@ -47,9 +47,9 @@ def test_class_from_file_name_and_cap(spark, base):
 
 
 def test_space_separated_logs(spark, base):
-    got = D.read_text_logs(spark, f"{base}/heicloud/*.txt").orderBy("query").collect()
+    got = D.read_text_logs(spark, f"{base}/textlogs/*.txt").orderBy("query").collect()
     assert got == [("mail.uni.de", "legit"), ("www.uni.de", "legit")]
-    times = {r.query: r.timestamp for r in D.parsed_text_logs(spark, f"{base}/heicloud/*.txt").collect()}
+    times = {r.query: r.timestamp for r in D.parsed_text_logs(spark, f"{base}/textlogs/*.txt").collect()}
     assert times["mail.uni.de"] is None and times["www.uni.de"] is not None
 
 
@@ -60,13 +60,13 @@ def test_latin1_bytes(spark, base):
 
 
 def test_optional_user_column(spark, base):
-    rows = D.load_dataset(spark, base, "domainator").select("user", "query").collect()
+    rows = D.load_dataset(spark, base, "tunnel", {"tunnel": "users/one.csv,users/two.csv"}).select("user", "query").collect()
     assert sorted(rows) == [("testbed", "a.b.c"), ("testbed", "a.b.c"), ("testbed", "e.b.c"), ("u1", "d.b.c")]
 
 
 def test_combined_choice(spark, base):
     got = D.load_dataset(spark, base, "combine").groupBy("dataset").count().collect()
-    assert dict(map(tuple, got)) == {"dgta": 2, "bambenek": 1, "dga": 1, "heicloud": 2, "dgarchive": 6}
+    assert dict(map(tuple, got)) == {"dgta": 2, "bambenek": 1, "dga": 1, "textlogs": 2, "dgarchive": 6}
     with pytest.raises(NotImplementedError):
         D.load_dataset(spark, base, "absent")
 
