@@ -20,7 +20,7 @@ def kept_table_rows(df: DataFrame, table: str, as_of: dt.datetime) -> DataFrame:
 
 
 def expired_partitions(spark: SparkSession, path: str, column: str, before: dt.date) -> list[str]:
-    """Partition folders (``column=yyyy-MM-dd``) dated before a day; others are ignored."""
+    """Partition folders of a day or a month that ended before a day; others are ignored."""
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -31,15 +31,23 @@ def expired_partitions(spark: SparkSession, path: str, column: str, before: dt.d
         name, _, value = status.getPath().getName().partition("=")
         if name != column:
             continue
-        try:
-            day = dt.date.fromisoformat(value)
-        except ValueError:
-            continue
-        if day < before:
+        last = _last_day(value)
+        if last is not None and last < before:
             found.append(status.getPath().toString())
     return sorted(found)
 
 
+def _last_day(value: str) -> dt.date | None:
+    """The day ``yyyy-MM-dd``, or the last day of the month ``yyyy-MM``."""
+    try:
+        if len(value) == len("yyyy-MM"):
+            first = dt.date.fromisoformat(f"{value}-01")
+            return (first + dt.timedelta(days=31)).replace(day=1) - dt.timedelta(days=1)
+        return dt.date.fromisoformat(value)
+    except ValueError:
+        return None
+
+
 def drop_partitions(spark: SparkSession, paths: list[str]) -> int:
     """Delete partition folders; rows of kept days are never rewritten."""
     jvm = spark.sparkContext._jvm

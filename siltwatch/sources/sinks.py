@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltwatch.plans.retention import drop_partitions, expired_partitions
-from siltwatch.sources.schemas import conform, event_time
+from siltwatch.sources.schemas import RETENTION_DAYS, TABLES, conform, event_time
 
 # Days of alert files kept when the setting cannot be read, and the fewest.
 FALLBACK_DAYS = 7
@@ -26,13 +26,29 @@ def write_once(df: DataFrame, path: str, batch_id: int, partition_by: tuple[str,
 
 
 def append_events(df: DataFrame, table: str, root: str, batch_id: int) -> None:
-    """Append events to a monitoring table, laid out by micro-batch and month."""
+    """Append events to a monitoring table, laid out by month and micro-batch.
+
+    Only the micro-batch's own partitions are replaced, so a replay writes the
+    same rows again and nothing else.
+    """
     month = F.date_format(event_time(table), "yyyy-MM")
-    write_once(conform(df, table).withColumn("month", month), f"{root}/{table}", batch_id, ("month",))
+    rows = conform(df, table).withColumns({"month": month, "stream_batch": F.lit(batch_id)})
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("month", "stream_batch").parquet(f"{root}/{table}")
 
 
 def read_events(spark: SparkSession, table: str, root: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{table}")
+    return spark.read.schema(f"{TABLES[table]}, month string, stream_batch bigint").parquet(f"{root}/{table}")
+
+
+def expire_table(spark: SparkSession, root: str, table: str, as_of: dt.datetime) -> int:
+    """Drop months that ended before the table's time to live; returns how many.
+
+    A month that is only partly expired stays; readers cut it with
+    ``retention.kept_table_rows``.
+    """
+    before = (as_of - dt.timedelta(days=RETENTION_DAYS[table])).date()
+    return drop_partitions(spark, expired_partitions(spark, f"{root}/{table}", "month", before))
 
 
 def retention_days(setting) -> int | None:

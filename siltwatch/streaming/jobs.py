@@ -7,7 +7,7 @@ micro-batch number: a replay overwrites what the first try wrote.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -60,7 +60,8 @@ class BatchingJob:
 
     def sent(self, lines: DataFrame, batch_id: int) -> DataFrame:
         spark = lines.sparkSession
-        write_once(assign_flush(lines, self.spec, F.lit(batch_id).cast("bigint")), f"{self.root}/assigned", batch_id)
+        fine = replace(self.spec, slot_seconds=max(1, min(self.spec.slot_seconds, self.spec.seconds // 10)))
+        write_once(assign_flush(lines, fine, F.lit(batch_id).cast("bigint")), f"{self.root}/assigned", batch_id)
         current = spark.read.parquet(f"{self.root}/assigned/stream_batch={batch_id}")
         before = _read_if_there(spark, f"{self.root}/assigned/stream_batch={batch_id - 1}")
         rows = current

@@ -114,7 +114,10 @@ def test_replayed_micro_batches_replace_themselves(spark, tmp_path):
         sinks.append_events(df, "fill_levels", root, batch)
     got = sinks.read_events(spark, "fill_levels", root)
     assert got.count() == 6
-    assert {str(r.month) for r in got.select("month").distinct().collect()} == {"2024-01", "2024-02"}
+    assert {r.month for r in got.select("month").distinct().collect()} == {"2024-01", "2024-02"}
+    assert sinks.expire_table(spark, root, "fill_levels", T0 + dt.timedelta(days=1)) == 0
+    assert sinks.expire_table(spark, root, "fill_levels", T0 + dt.timedelta(days=2)) == 1
+    assert {r.month for r in sinks.read_events(spark, "fill_levels", root).collect()} == {"2024-02"}
 
 
 @pytest.mark.parametrize("setting,days", [(None, None), ("3", 3), (0, 1), (-4, 1), ("x", 7), ([], 7)])
