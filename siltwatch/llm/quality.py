@@ -110,10 +110,12 @@ class AttentionModel:
 
     def fit(self, bags: list[np.ndarray], labels: np.ndarray) -> AttentionModel:
         rng = np.random.default_rng(self.seed)
-        stacked = np.concatenate(bags) if bags else np.zeros((1, WIDTH), np.float32)
+        rows = max(1, sum(map(len, bags)))
+        mean = sum((b.sum(axis=0, dtype=np.float64) for b in bags), np.zeros(WIDTH)) / rows
+        square = sum(((b.astype(np.float32) ** 2).sum(axis=0, dtype=np.float64) for b in bags), np.zeros(WIDTH)) / rows
         init = lambda *s: rng.normal(0, 1 / np.sqrt(s[0]), s).astype(np.float32)
         self.weights = {
-            "mean": stacked.mean(axis=0), "scale": stacked.std(axis=0) + 1e-3, "enc": init(WIDTH, self.hidden),
+            "mean": mean.astype(np.float32), "scale": np.sqrt(np.maximum(square - mean**2, 0)).astype(np.float32) + np.float32(1e-3), "enc": init(WIDTH, self.hidden),
             "enc0": np.zeros(self.hidden, np.float32), "v": init(self.hidden, self.gate), "u": init(self.hidden, self.gate),
             "w": init(self.gate), "out": init(self.hidden), "out0": np.zeros(1, np.float32),
         }
@@ -134,7 +136,7 @@ class AttentionModel:
         return self
 
     def _gradients(self, bags: list[np.ndarray], labels: np.ndarray) -> dict[str, np.ndarray]:
-        w, x = self.weights, np.concatenate(bags)
+        w, x = self.weights, np.concatenate(bags).astype(np.float32)
         first = np.concatenate([[0], np.cumsum([len(b) for b in bags])])
         sizes, begin = np.diff(first), first[:-1]
         h, t, g, a, z, p = self._forward(x, first)
@@ -153,7 +155,7 @@ class AttentionModel:
 def _encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in slices(batches):
         x, first = passages(part.column("text"))
-        bags = [x[b:e].tobytes() for b, e in zip(first[:-1], first[1:], strict=True)]
+        bags = [x[b:e].astype(np.float16).tobytes() for b, e in zip(first[:-1], first[1:], strict=True)]
         yield pa.record_batch({"quality": part.column("quality"), "bag": pa.array(bags, pa.binary())})
 
 
@@ -170,13 +172,13 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = 6000, l
     rows = own.join(F.broadcast(wanted), "doc_id").select(F.col("quality").cast("int").alias("quality"), "text")
     rows = rows.mapInArrow(_encoded, "quality int, bag binary").toArrow()
     order = np.argsort([hash_bytes(b) for b in rows.column("bag").to_pylist()], kind="stable")
-    bags = [np.frombuffer(rows.column("bag")[i].as_buffer(), np.float32).reshape(-1, WIDTH) for i in order.tolist()]
+    bags = [np.frombuffer(rows.column("bag")[i].as_buffer(), np.float16).reshape(-1, WIDTH) for i in order.tolist()]
     return AttentionModel().fit(bags, rows.column("quality").to_numpy().astype(np.float32)[order])
 
 
 def hash_bytes(value: bytes) -> int:
     """Order of fitting rows that does not depend on the order of arrival."""
-    return int(np.frombuffer(value[: len(value) // 4 * 4], np.uint32).sum(dtype=np.uint64))
+    return int(np.frombuffer(value, np.uint16).sum(dtype=np.uint64))
 
 
 def quality_scores(docs: DataFrame, model: AttentionModel) -> DataFrame:

@@ -23,7 +23,8 @@ _LOWER[65:91] += 32
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[32, *range(9, 14)]] = True
 _BASE = 0x9E3779B97F4A7C15
-_BYTE_VALUES = np.random.default_rng(20).integers(1, 2**63, 256, dtype=np.uint64)[_LOWER]
+_EXACT_VALUES = np.random.default_rng(20).integers(1, 2**63, 256, dtype=np.uint64)
+_BYTE_VALUES = _EXACT_VALUES[_LOWER]
 _cache: dict[str, np.ndarray] = {}
 
 
@@ -93,7 +94,8 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = S
             yield batch.slice(start)
 
 
-def words_of(texts: Texts) -> Words:
+def words_of(texts: Texts, exact: bool = False) -> Words:
+    """Words of a slice; ``exact`` hashes tell A-Z from a-z."""
     data, offsets = texts.data, texts.offsets
     n = len(data)
     if not n:
@@ -112,7 +114,7 @@ def words_of(texts: Texts) -> Words:
     start, end = np.flatnonzero(opens), np.flatnonzero(closes) + 1
     up, down = _powers(n)
     sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(_BYTE_VALUES[data] * up, out=sums[1:])
+    np.cumsum((_EXACT_VALUES if exact else _BYTE_VALUES)[data] * up, out=sums[1:])
     hashes = mix((sums[end] - sums[start]) * down[start])
     first = np.searchsorted(start, offsets)
     row = np.repeat(np.arange(len(texts)), np.diff(first))
