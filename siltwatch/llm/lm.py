@@ -41,7 +41,7 @@ PACKED = "shard long, block long, kind int, a binary, b binary, c binary, d bina
 class LmSpec:
     prior: float = 20.0
     """M of the Dirichlet smoothing, in words."""
-    shard_bytes: int = 24 << 20
+    shard_bytes: int = 8 << 20
     """Text bytes for each shard; their number is the input's bytes by this."""
 
 
