@@ -9,7 +9,7 @@ documents travel to them as compressed columns:
 2. vocabulary shards (by word hash) sum the words' counts and give them numbers;
 3. blocks turn into (context, word) columns for the shard of the context;
 4. each shard builds its trie from the learning rows and scores all rows with it;
-   what is left per document is a sum.
+5. a block adds up what the shards say of its documents.
 
 A context so frequent that it would outgrow a shard is split by its next word; under this
 smoothing a split list of successors gives the same probabilities.
@@ -163,29 +163,14 @@ def _columns(shards: int, total: int, distinct: int, spec: LmSpec):
     return run
 
 
-SUMS = "block long, row int, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
 def _score(spec: LmSpec):
     def run(rows: pa.Table) -> pa.Table:
         """Build the shard's trie from learning rows, score all rows, add up by document."""
         kinds, blocks = np.asarray(rows.column("kind")), np.asarray(rows.column("block"))
-        out: list[pa.Table] = []
-
-        def add(block, row, facts=None) -> None:
-            n = len(row)
-            none = pa.nulls(n, pa.int64())
-            lengths, known, base, score, ids, held = facts
-            out.append(pa.table({"block": pa.array(np.full(n, block)), "row": pa.array(row.astype(np.int32)), "doc_id": ids if ids is not None else none,
-                                 "held_out": held if held is not None else pa.nulls(n, pa.bool_()), "n_tokens": lengths if lengths is not None else none,
-                                 "n_known": known if known is not None else none, "base_score": base if base is not None else pa.nulls(n, pa.float64()), "score": pa.array(score)}))
-
-        for i in np.flatnonzero(kinds == 4).tolist():
-            facts = unpack(rows.column("a")[i], np.int64).reshape(4, -1)
-            valid = unpack(rows.column("d")[i], np.uint8) == 1
-            ids = pa.array(unpack(rows.column("b")[i], np.int64), mask=~valid)
-            held = pa.array(unpack(rows.column("c")[i], np.uint8) == 0)
-            add(int(blocks[i]), np.arange(facts.shape[1]), (pa.array(facts[0]), pa.array(facts[1]), pa.array(facts[2].view(np.float64)), facts[3].view(np.float64), ids, held))
+        out = [tuple(rows.column(c)[i].as_py() for c in rows.column_names) for i in np.flatnonzero(kinds == 4).tolist()]
         mine = np.flatnonzero(kinds >= 5).tolist()
         kind = {5: np.uint32, 6: np.uint64}
         read = lambda i, c: unpack(rows.column(c)[i], kind[int(kinds[i])] if c in "ab" else {"c": np.int64, "d": np.uint16, "e": np.uint32}[c])
@@ -211,12 +196,26 @@ def _score(spec: LmSpec):
                 each = trie.score(read(i, "a").astype(np.uint64), read(i, "b").astype(np.uint64), restored(read(i, "d")))
                 sums, met = np.bincount(who, weights=each), np.bincount(who)
                 row = np.flatnonzero(met)
-                add(int(blocks[i]), row, (None, None, None, sums[row], None, None))
-        return pa.concat_tables(out)
+                out.append((-1, int(blocks[i]), 7, pack(row.astype(np.uint32)), pack(sums[row]), b"", b"", b""))
+        return _rows(out)
 
     return run
 
 
+def _documents(rows: pa.Table) -> pa.Table:
+    """A block's documents: the facts kept for them, and the sums of all shards."""
+    kinds = np.asarray(rows.column("kind"))
+    me = int(np.flatnonzero(kinds == 4)[0])
+    facts = unpack(rows.column("a")[me], np.int64).reshape(4, -1)
+    score = facts[3].view(np.float64).copy()
+    shards = sorted((unpack(rows.column("a")[i], np.uint32).tobytes(), unpack(rows.column("b")[i], np.float64).tobytes()) for i in np.flatnonzero(kinds == 7).tolist())
+    for row, sums in shards:  # in a fixed order, so that reruns agree to the last bit
+        score[np.frombuffer(row, np.uint32)] += np.frombuffer(sums)
+    ids = pa.array(unpack(rows.column("b")[me], np.int64), mask=unpack(rows.column("d")[me], np.uint8) == 0)
+    held = pa.array(unpack(rows.column("c")[me], np.uint8) == 0)
+    return pa.table({"doc_id": ids, "held_out": held, "n_tokens": facts[0], "n_known": facts[1], "base_score": facts[2].view(np.float64), "score": score})
+
+
 def lm_scores(docs: DataFrame, learn: Column, spec: LmSpec = LmSpec()) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -238,7 +237,6 @@ def lm_scores(docs: DataFrame, learn: Column, spec: LmSpec = LmSpec()) -> DataFr
         distinct, total = distinct + int(v), total + int(n)
     both = blocks.where("kind = 1").unionByName(named.where("kind = 2"))
     columns = both.groupBy("block").applyInArrow(_columns(shards, total, distinct, spec), PACKED)
-    parts = columns.groupBy("shard").applyInArrow(_score(spec), SUMS)
-    facts = [F.max(c).alias(c) for c in ("doc_id", "held_out", "n_tokens", "n_known", "base_score")]
-    sums = parts.groupBy("block", "row").agg(*facts, F.sum("score").alias("score"))
-    return sums.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
+    parts = columns.groupBy("shard").applyInArrow(_score(spec), PACKED)
+    scores = parts.groupBy("block").applyInArrow(_documents, SCORES)
+    return scores.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
