@@ -171,16 +171,12 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = 6000, l
     own = docs.select("doc_id", "text").where(F.coalesce(F.length("text"), F.lit(0)) <= longest)
     rows = own.join(F.broadcast(wanted), "doc_id").select(F.col("quality").cast("int").alias("quality"), "text")
     rows = rows.mapInArrow(_encoded, "quality int, bag binary").toArrow()
-    order = np.argsort([hash_bytes(b) for b in rows.column("bag").to_pylist()], kind="stable")
-    bags = [np.frombuffer(rows.column("bag")[i].as_buffer(), np.float16).reshape(-1, WIDTH) for i in order.tolist()]
+    bags = [np.frombuffer(b.as_buffer(), np.float16).reshape(-1, WIDTH) for b in rows.column("bag")]
+    order = np.argsort([int(b.view(np.uint16).sum(dtype=np.uint64)) for b in bags], kind="stable")
+    bags = [bags[i] for i in order.tolist()]  # an order that does not depend on that of arrival
     return AttentionModel().fit(bags, rows.column("quality").to_numpy().astype(np.float32)[order])
 
 
-def hash_bytes(value: bytes) -> int:
-    """Order of fitting rows that does not depend on the order of arrival."""
-    return int(np.frombuffer(value, np.uint16).sum(dtype=np.uint64))
-
-
 def quality_scores(docs: DataFrame, model: AttentionModel) -> DataFrame:
     """``docs`` with ``quality_score``, the chance of label 1; a null or blank text is scored as a passage of zeros."""
 
