@@ -314,4 +314,4 @@ def rules(spark, sf):
     """Rules of a small forest with their support and precision."""
     rows = model_rows(spark, sf)
     model = M.model_pipeline(M.classifier("rf", trees=5, depth=3)).fit(rows)
-    return M.score_rules(rows, M.tree_rules(model), limit=0)
+    return M.score_rules(rows, M.tree_rules(model))

@@ -63,27 +63,19 @@ def time_batches(df: DataFrame, seconds: int, key: str = "subnet_id") -> DataFra
 def assign_batches(df: DataFrame, spec: BatchSpec) -> DataFrame:
     """Add ``flush_no``, ``part``, ``batch_id`` and whether the part ends its window.
 
-    Size and window triggers together. Short windows are numbered whole, so a
-    busy subnet spreads over its windows; windows longer than ``slot_seconds``
-    are numbered slot by slot.
+    Size and window triggers together. A window is numbered slot by slot, so a
+    busy subnet's window is never in one task as a whole.
     """
-    whole = spec.seconds <= spec.slot_seconds
-    return assign_flush(df, spec, time_slot(F.col("ts"), spec.seconds), whole)
+    return assign_flush(df, spec, time_slot(F.col("ts"), spec.seconds))
 
 
-def assign_flush(df: DataFrame, spec: BatchSpec, flush: Column, whole: bool = False) -> DataFrame:
+def assign_flush(df: DataFrame, spec: BatchSpec, flush: Column) -> DataFrame:
     """As :func:`assign_batches`, with any number that tells which flush sends a line."""
     group = [spec.key, "flush_no"]
     order = [F.col(c) for c in spec.order]
     df = df.withColumn("flush_no", flush)
-    if whole:
-        window = Window.partitionBy(*group)
-        ranked = df.withColumn("_rn", F.row_number().over(window.orderBy(*order))).withColumn(
-            "_cnt", F.count(F.lit(1)).over(window)
-        )
-    else:
-        slot = time_slot(F.col("ts"), spec.slot_seconds)
-        ranked = keyed_rank(df, group, slot, order, name="_rn", total="_cnt")
+    slot = time_slot(F.col("ts"), min(spec.slot_seconds, max(1, spec.seconds // 8)))
+    ranked = keyed_rank(df, group, slot, order, name="_rn", total="_cnt")
     return (
         ranked.withColumn("part", F.floor((F.col("_rn") - 1) / spec.size).cast("bigint"))
         .withColumn("ends_window", F.col("part") == F.floor((F.col("_cnt") - 1) / spec.size))

@@ -47,7 +47,7 @@ def valid_lines(df: DataFrame, fmt: LogFormat, raw: str = "raw") -> DataFrame:
     """Valid lines with one column per configured field and a parsed ``ts``."""
     parsed = _parsed_once(df, fmt, raw)
     ts_rule = fmt.rule("ts")
-    ts = ts_rule.parse(F.col("fields.ts")) if isinstance(ts_rule, Timestamp) else F.to_timestamp("fields.ts")
+    ts = ts_rule.parse(F.col("fields.ts")) if isinstance(ts_rule, Timestamp) else F.try_to_timestamp("fields.ts")
     keep = [c for c in df.columns if c not in fmt.names]
     return parsed.filter(~_is_broken() & fmt.all_valid(lambda name: F.col(f"fields.`{name}`"))).select(
         *keep,

@@ -203,9 +203,9 @@ def _debug_paths(text: str) -> list[list[tuple[int, str, float]]]:
     return [c for c in found if c]
 
 
-def score_rules(rows: DataFrame, rules: Sequence[dict], label: str = "label", limit: int = 50) -> DataFrame:
-    """Support and precision of each rule over labelled rows, in one pass."""
-    listed = list(rules)[:limit] if limit else list(rules)
+def score_rules(rows: DataFrame, rules: Sequence[dict], label: str = "label") -> DataFrame:
+    """Support and precision of every rule over labelled rows, in one pass."""
+    listed = list(rules)
     if not listed:
         return rows.sparkSession.createDataFrame([], "rule string, support bigint, precision double")
 

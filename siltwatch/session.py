@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import zipfile
 from pathlib import Path
@@ -46,10 +47,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for written intermediate tables and stream checkpoints.
 
     The cluster names it in ``spark.checkpoint.dir``; only where that is unset
-    (tests, single machine) a fresh temporary folder is used.
+    (tests, single machine) a fresh temporary folder is used. Elsewhere an unset
+    folder is an error, since executors would write to their own disks.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="siltwatch-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -16,7 +16,6 @@ EVALUATION = (
     "query string, labels array<string>, tld string, fqdn string, secondleveldomain string, thirdleveldomain string, class int"
 )
 DEFAULT_USER = "testbed"
-DGA_FAMILY_ROWS = 10_000
 
 
 def _capped(df: DataFrame, rows: int) -> DataFrame:
@@ -41,8 +40,8 @@ def read_listed_domains(spark: SparkSession, path: str, cls: str = "malicious",
     return df.withColumn("class", F.lit(cls))
 
 
-def read_family_files(spark: SparkSession, path: str, rows_per_file: int = DGA_FAMILY_ROWS) -> DataFrame:
-    """CSV without a header: first column is the query, class is the file name up to '_'."""
+def read_family_files(spark: SparkSession, path: str, rows_per_file: int = -1) -> DataFrame:
+    """CSV without a header: first column is the query, class is the file name up to '_'. All rows, unless a cap is asked for."""
     df = _capped(_with_file(spark.read.csv(path)).select(F.col("_c0").alias("query"), "_file", "_at"), rows_per_file)
     name = F.regexp_replace(F.col("_file"), r"%20", " ")
     return df.select("query", F.substring_index(name, "_", 1).alias("class"))

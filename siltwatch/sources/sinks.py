@@ -25,20 +25,20 @@ def write_once(df: DataFrame, path: str, batch_id: int, partition_by: tuple[str,
     (writer.partitionBy(*partition_by) if partition_by else writer).save(f"{path}/stream_batch={batch_id}")
 
 
-def append_events(df: DataFrame, table: str, root: str, batch_id: int) -> None:
-    """Append events to a monitoring table, laid out by month and micro-batch.
+def append_events(df: DataFrame, table: str, root: str, batch_id: int, writer: str = "stream") -> None:
+    """Append events to a monitoring table, laid out by month, writing stage and micro-batch.
 
-    Only the micro-batch's own partitions are replaced, so a replay writes the
-    same rows again and nothing else.
+    Only the stage's own partitions of the micro-batch are replaced: a replay
+    writes the same rows again, and several stages can fill one table.
     """
     month = F.date_format(event_time(table), "yyyy-MM")
-    rows = conform(df, table).withColumns({"month": month, "stream_batch": F.lit(batch_id)})
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("month", "stream_batch").parquet(f"{root}/{table}")
+    rows = conform(df, table).withColumns({"month": month, "writer": F.lit(writer), "stream_batch": F.lit(batch_id)})
+    out = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    out.partitionBy("month", "writer", "stream_batch").parquet(f"{root}/{table}")
 
 
 def read_events(spark: SparkSession, table: str, root: str) -> DataFrame:
-    return spark.read.schema(f"{TABLES[table]}, month string, stream_batch bigint").parquet(f"{root}/{table}")
+    return spark.read.schema(f"{TABLES[table]}, month string, writer string, stream_batch bigint").parquet(f"{root}/{table}")
 
 
 def expire_table(spark: SparkSession, root: str, table: str, as_of: dt.datetime) -> int:
@@ -62,9 +62,18 @@ def retention_days(setting) -> int | None:
     return max(days, FEWEST_DAYS)
 
 
-def write_alert_files(alerts: DataFrame, path: str, mode: str = "append") -> None:
-    """JSON lines, one folder per day of the alert."""
-    alerts.withColumn("alert_date", F.to_date("alert_timestamp")).write.partitionBy("alert_date").mode(mode).json(path)
+def write_alert_files(alerts: DataFrame, path: str, batch_id: int | None = None) -> None:
+    """JSON lines, one folder per day of the alert.
+
+    A stream names its micro-batch: the day then has a folder for it, which a
+    replay replaces. Without one the files are added to the day.
+    """
+    rows = alerts.withColumn("alert_date", F.to_date("alert_timestamp"))
+    if batch_id is None:
+        rows.write.partitionBy("alert_date").mode("append").json(path)
+    else:
+        out = rows.withColumn("stream_batch", F.lit(batch_id)).write.mode("overwrite")
+        out.option("partitionOverwriteMode", "dynamic").partitionBy("alert_date", "stream_batch").json(path)
 
 
 def expire_alert_files(spark: SparkSession, path: str, setting, today: dt.date) -> int:

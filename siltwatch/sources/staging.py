@@ -5,7 +5,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from siltwatch.session import checkpoint_root
 
@@ -22,14 +21,13 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_side(df: DataFrame, name: str, limit: int = 100_000) -> DataFrame:
-    """Join side that is broadcast only when it is known to be small.
+def small_side(df: DataFrame, name: str) -> DataFrame:
+    """Join side that is usually small, written once.
 
-    The rows are written once and counted; above ``limit`` the join is left to
-    the usual shuffle, where adaptive execution splits hot keys.
+    The planner sees the written bytes and broadcasts below its own threshold;
+    above it the join is a shuffle, where adaptive execution splits hot keys.
     """
-    written = staged(df, name)
-    return F.broadcast(written) if written.count() <= limit else written
+    return staged(df, name)
 
 
 def spread(df: DataFrame, scan: DataFrame, key: str) -> DataFrame:

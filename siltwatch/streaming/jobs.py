@@ -133,14 +133,14 @@ class DetectionJob:
         spark, tables = received.sparkSession, f"{self.root}/tables"
         now = F.current_timestamp()
         failed = failed_lines(parse_lines(received.select("timestamp_in", "raw"), self.fmt))
-        append_events(failed.withColumn("timestamp_failed", now), "failed_loglines", tables, batch_id)
+        append_events(failed.withColumn("timestamp_failed", now), "failed_loglines", tables, batch_id, "prefilter")
 
         valid = valid_lines(received.select(F.col("message_id").alias("logline_id"), "raw"), self.fmt).drop("raw")
         typed = valid.withColumn("subnet_id", subnet_id(F.col("src_ip")))
         batching = BatchingJob(self.batch, f"{self.root}/batches")
         batching(typed, batch_id)
         sent = spark.read.parquet(f"{self.root}/batches/sent/stream_batch={batch_id}")
-        append_events(filtered_out_events(sent, self.method, self.fmt, now), "logline_timestamps", tables, batch_id)
+        append_events(filtered_out_events(sent, self.method, self.fmt, now), "logline_timestamps", tables, batch_id, "prefilter")
 
         messages = keep_relevant(sent, self.method, self.fmt)
         write_once(flow.inspect(messages, self.inspection), f"{self.root}/verdicts", batch_id)
@@ -153,6 +153,6 @@ class DetectionJob:
         write_once(A.process_alerts(made, self.hooks), f"{self.root}/alerts", batch_id)
         alerts = spark.read.parquet(f"{self.root}/alerts/stream_batch={batch_id}")
         stored = A.stored_alerts(alerts).withColumn("overall_score", F.col("overall_score").cast("float"))
-        append_events(stored, "alerts", tables, batch_id)
+        append_events(stored, "alerts", tables, batch_id, "alerter")
         for sink in self.alert_sinks:
             sink(alerts, batch_id)

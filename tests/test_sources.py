@@ -162,3 +162,24 @@ def test_envelope_elements(spark):
     batch = spark.createDataFrame([("r", "b", T0, T0, [("1", "x")])], f"batch_tree_row_id string, batch_id string, begin_timestamp timestamp, end_timestamp timestamp, data array<struct<logline_id:string,domain_name:string>>")
     back = sinks.from_envelope(sinks.to_envelope(batch), element).first()
     assert back.messages[0].domain_name == "x" and back.begin_timestamp == batch.first().begin_timestamp
+
+
+def test_two_stages_fill_one_table(spark, tmp_path):
+    root = str(tmp_path / "tables")
+    df = spark.createDataFrame([(T0, "s", "e", 1)], schemas.TABLES["fill_levels"])
+    for writer in ("prefilter", "inspector", "prefilter"):
+        sinks.append_events(df, "fill_levels", root, 0, writer)
+    assert sorted(r.writer for r in sinks.read_events(spark, "fill_levels", root).collect()) == ["inspector", "prefilter"]
+
+
+def test_replayed_alert_files(spark, tmp_path):
+    path = str(tmp_path / "alerts")
+    df = spark.createDataFrame([("192.0.2.1", T0)], "src_ip string, alert_timestamp timestamp")
+    for batch in (0, 1, 1):
+        sinks.write_alert_files(df, path, batch)
+    assert spark.read.json(path).count() == 2
+
+
+def test_family_files_are_read_whole(spark, tmp_path):
+    (tmp_path / "fam_dga.csv").write_text("\n".join(f"d{i}.example,x" for i in range(10_500)))
+    assert D.read_family_files(spark, str(tmp_path / "*.csv")).count() == 10_500
