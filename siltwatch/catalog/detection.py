@@ -399,7 +399,7 @@ def model_scores(spark, sf):
     """Lines scored by a forest fitted on the labelled domains."""
     from siltwatch.plans import models
 
-    model = models.fit_domain_model(tb.labelled_domains(spark, sf), trees=10, depth=4)
+    model = models.fit_domain_model(tb.labelled_domains(spark, sf))
     scored = models.score_lines(tb.valid_log(spark, sf), model)
     return scored.select("logline_id", "domain_name", F.round("probability", 6).alias("probability"))
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from siltwatch.catalog.registry import query
 from siltwatch.catalog.views import DNS, batches, with_
-from siltwatch.functions.network import is_ipv4, subnet_v4
+from siltwatch.functions.network import is_ipv4, subnet_v4, subnet_v6
 from siltwatch.operators import batching as B
 from siltwatch.operators import filtering, routing
 from siltwatch.operators import validation as V
@@ -146,6 +146,20 @@ def subnet_key(spark, sf):
     return tb.valid_log(spark, sf).select("logline_id", "src_ip", "subnet_id")
 
 
+@query(
+    "c2_subnet_v6",
+    """SELECT event_id, printf('2001:db8:%x:0:0:%x::1', event_id % 65535 + 1, user_id % 4095 + 1) AS address,
+  printf('2001:db8:%x::_64', event_id % 65535 + 1) AS net_64, printf('2001:db8:%x::%x:0:0_96', event_id % 65535 + 1, user_id % 4095 + 1) AS net_96
+FROM events""",
+)
+def subnet_key_v6(spark, sf):
+    """Networks of addresses made from the events' ids."""
+    wide = lambda c, n: F.lower(F.hex(F.col(c) % n + 1))
+    address = F.concat(F.lit("2001:db8:"), wide("event_id", 65535), F.lit(":0:0:"), wide("user_id", 4095), F.lit("::1"))
+    rows = tb.table(spark, sf, "events").select("event_id", address.alias("address"))
+    return rows.select("event_id", "address", subnet_v6(F.col("address"), 64).alias("net_64"), subnet_v6(F.col("address"), 96).alias("net_96"))
+
+
 @query(
     "c1_subnet_v4_prefix18",
     with_(DNS) + """

@@ -130,18 +130,16 @@ def binary_labels(spark, sf):
     return TR.encode(rows, TR.label_codes(rows)).select("query", TR.binarise(F.col("code")).alias("label"))
 
 
-_SCALED = ("label_length", "label_average", "fqdn_entropy")
-
-
 @query(
     "i6_standard_scale",
-    with_(LABELLED, parts_sql("labelled")) + ", f AS (SELECT query, " + ", ".join(f"{_TRAIN[c]} AS {c}" for c in _SCALED) + " FROM parts) SELECT query, "
-    + ", ".join(f"round(({c} - (SELECT avg({c}) FROM f)) / (SELECT stddev_pop({c}) FROM f), 8) AS {c}" for c in _SCALED) + " FROM f",
+    with_(LABELLED, parts_sql("labelled")) + ", f AS (SELECT query, " + ", ".join(f"{v} AS {c}" for c, v in _TRAIN.items()) + " FROM parts), m AS (SELECT "
+    + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in FEATURES) + " FROM f) SELECT query, "
+    + ", ".join(f"round(({c} - m_{c}) / CASE WHEN s_{c} = 0 THEN 1 ELSE s_{c} END, 8) + 0.0::DOUBLE AS {c}" for c in FEATURES) + " FROM f, m",
 )
 def standard_scale(spark, sf):
     rows = TR.preprocess(tb.labelled_domains(spark, sf).select("query", "class"))
-    made = rows.select("query", *feature_columns("query", "train")).select("query", *_SCALED)
-    return TR.standard_scaled(made, _SCALED).select("query", *[F.round(c, 8).alias(c) for c in _SCALED])
+    made = rows.select("query", *feature_columns("query", "train"))
+    return TR.standard_scaled(made, FEATURES).select("query", *[(F.round(c, 8) + F.lit(0.0)).alias(c) for c in FEATURES])
 
 
 @query(
@@ -187,7 +185,7 @@ def _fitted(name):
     def fitted(spark, sf):
         """Fit on the labelled domains, predict them."""
         rows = model_rows(spark, sf)
-        model = M.model_pipeline(M.classifier(name, trees=10, depth=4)).fit(rows)
+        model = M.model_pipeline(M.classifier(name)).fit(rows)
         return model.transform(rows).select("query", F.col("label").cast("int").alias("y"), F.col("prediction").cast("int").alias("y_pred"))
 
 
@@ -251,24 +249,21 @@ def per_dataset(spark, sf):
     return _rounded(E.discovery_metrics(pairs, ["dataset"]), "fdr", "fttar")
 
 
-def _line_features(spark, sf, columns):
+def _line_features(spark, sf):
     rows = TR.preprocess(tb.labelled_domains(spark, sf).select("query", "class"))
-    return rows.select("query", "class", *[c for c, n in zip(feature_columns("query", "train"), FEATURES, strict=True) if n in columns])
-
-
-_PLANE = ("label_average", "freq_a", "freq_e", "freq_t", "fqdn_entropy", "secondleveldomain_entropy")
+    return rows.select("query", "class", *feature_columns("query", "train"))
 
 
 @query("i16_components")
 def pca(spark, sf):
     """Coordinates on three components; signs are arbitrary."""
-    placed = M.project(_line_features(spark, sf, _PLANE), 3, ["query", "class"], _PLANE)
+    placed = M.project(_line_features(spark, sf), 3, ["query", "class"])
     return placed.select("query", "class", *[F.round(f"pc{i}", 6).alias(f"pc{i}") for i in (1, 2, 3)])
 
 
 @query("i16_explained_variance")
 def variance(spark, sf):
-    return M.explained_variance(_line_features(spark, sf, _PLANE), 3, _PLANE)
+    return M.explained_variance(_line_features(spark, sf), 3)
 
 
 @query("i17_label_distribution", with_(LINES) + " SELECT class, count(*) AS count FROM rows GROUP BY 1")
@@ -278,7 +273,8 @@ def distribution(spark, sf):
 
 _DIST = """, cells AS (
   SELECT side, feature, value FROM (SELECT toxic = 1 AS side, CAST(n_chars AS DOUBLE) AS n_chars, CAST(length(text) - length(replace(text, ' ', '')) AS DOUBLE) AS n_spaces
-    FROM documents d JOIN labels l ON d.doc_id = l.doc_id) UNPIVOT (value FOR feature IN (n_chars, n_spaces))),
+    FROM documents d JOIN labels l ON d.doc_id = l.doc_id) UNPIVOT (value FOR feature IN (n_chars, n_spaces)))"""
+_RUN = """,
 cuts AS (SELECT feature, side, quantile_cont(value, 0.99) AS cut FROM cells GROUP BY 1, 2),
 kept AS (SELECT c.* FROM cells c JOIN cuts k ON c.feature = k.feature AND c.side = k.side WHERE c.value <= k.cut),
 points AS (SELECT feature, value, count(*) FILTER (WHERE side) AS n1, count(*) FILTER (WHERE NOT side) AS n2 FROM kept GROUP BY 1, 2),
@@ -289,7 +285,7 @@ SELECT feature, round(max(abs(f1 - f2)), 8) AS ks_statistic, round(sum(abs(f1 -
   CAST(max(s1) AS BIGINT) AS n_condition1, CAST(max(s2) AS BIGINT) AS n_condition2 FROM run GROUP BY 1"""
 
 
-@query("i18_distribution_distances", "WITH dummy AS (SELECT 1)" + _DIST)
+@query("i18_distribution_distances", "WITH dummy AS (SELECT 1)" + _DIST + _RUN)
 def distances(spark, sf):
     """Document length and spaces, toxic against other documents."""
     labels = tb.table(spark, sf, "labels").select("doc_id", "toxic")
@@ -303,15 +299,37 @@ def distances(spark, sf):
     )
 
 
+_FEATURE_CELLS = ", cells AS (SELECT class = 'legit' AS side, feature, round(value, 9) AS value FROM (SELECT class, " + ", ".join(
+    f"{v} AS {c}" for c, v in _TRAIN.items()
+) + f" FROM parts) UNPIVOT (value FOR feature IN ({', '.join(FEATURES)})))"
+_P_VALUE = """, exact AS (SELECT feature, max(abs(f1 - f2)) * sqrt(max(s1)::DOUBLE * max(s2) / (max(s1) + max(s2))) AS x FROM run GROUP BY 1),
+tail AS (SELECT feature, CASE WHEN x < 0.2 THEN 1.0::DOUBLE ELSE round(least(1.0, greatest(0.0,
+  2 * list_sum(list_transform(range(1, 101), lambda k: (CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END)::DOUBLE * exp(-2.0 * k * k * x * x))))), 6) END AS ks_p_value FROM exact),
+found AS ("""
+
+
+@query(
+    "i18_feature_distances",
+    with_(LABELLED, parts_sql("labelled")) + _FEATURE_CELLS + _RUN.replace("SELECT feature, round", "{}SELECT feature, round").replace("\n{}", _P_VALUE)
+    + ") SELECT f.*, t.ks_p_value FROM found f JOIN tail t ON f.feature = t.feature",
+)
+def feature_distances(spark, sf):
+    """All features, legitimate against other domains."""
+    rows = _line_features(spark, sf).select("class", *[F.round(c, 9).alias(c) for c in FEATURES])
+    out = E.distribution_distances(E.long_form(rows, F.col("class") == "legit", FEATURES))
+    rounded = [F.round(c, n).alias(c) for c, n in (("ks_statistic", 8), ("ks_p_value", 6), ("emd", 6))]
+    return out.select("feature", *rounded, "n_condition1", "n_condition2")
+
+
 @query("i19_without_component")
 def without_component(spark, sf):
-    out = M.without_component(_line_features(spark, sf, _PLANE), 0, ["query"], _PLANE)
-    return out.select("query", *[F.round(F.col("values")[i], 6).alias(c) for i, c in enumerate(_PLANE)])
+    out = M.without_component(_line_features(spark, sf), 0, ["query"])
+    return out.select("query", *[F.round(F.col("values")[i], 6).alias(c) for i, c in enumerate(FEATURES)])
 
 
 @query("i20_rules")
 def rules(spark, sf):
-    """Rules of a small forest with their support and precision."""
+    """Rules of a forest with their support and precision."""
     rows = model_rows(spark, sf)
-    model = M.model_pipeline(M.classifier("rf", trees=5, depth=3)).fit(rows)
+    model = M.model_pipeline(M.classifier("rf")).fit(rows)
     return M.score_rules(rows, M.tree_rules(model))

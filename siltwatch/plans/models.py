@@ -168,7 +168,7 @@ def without_component(rows: DataFrame, component: int, keep: Sequence[str], colu
 
 
 def tree_rules(model: PipelineModel, columns: Sequence[str] = tuple(FEATURES)) -> list[dict]:
-    """Readable positive rules of a forest, thresholds in original units.
+    """Readable positive rules of a forest or of boosted trees, thresholds in original units.
 
     Trees are small and already on the driver; only the rules' scores touch data.
     """
@@ -187,13 +187,13 @@ def tree_rules(model: PipelineModel, columns: Sequence[str] = tuple(FEATURES)) -
 
 
 def _debug_paths(text: str) -> list[list[tuple[int, str, float]]]:
-    """Conditions of every leaf that predicts 1, from a tree's printed form."""
+    """Conditions of every leaf that speaks for class 1 (a vote of 1, or a positive step of a boosted tree)."""
     found, stack = [], []
     for line in text.splitlines()[1:]:
         depth = len(line) - len(line.lstrip())
         body = line.strip()
         if body.startswith("Predict:"):
-            if float(body.split(":")[1]) == 1.0:
+            if float(body.split(":")[1]) > 0:
                 found.append([c for d, c in stack if d < depth])
             continue
         words = body.split("(feature ")[1].rstrip(")").split()

@@ -97,6 +97,19 @@ def test_ipv4_subnets(spark, prefix):
     assert column(spark, [*addresses, "::1", None], lambda c: subnet_v4(c, prefix)) == [*want, None, None]
 
 
+@pytest.mark.parametrize("prefix", [0, 20, 64, 96, 128])
+def test_ipv6_subnets_match_address_arithmetic(spark, prefix):
+    addresses = ["2001:DB8:85a3:1234:5678:8a2e:0370:7334", "::1", "::", "1::", "1:0:0:2:0:0:0:3", "0:0:1:0:0:1:0:0", "fe80::10:0:0:1%eth0", "64:ff9b::192.0.2.33", "10:0:20:0:30:0:40:0"]
+    got = column(spark, addresses, lambda c: subnet_v6(c, prefix))
+    want = [ipaddress.IPv6Network((a.split("%")[0], prefix), strict=False).network_address for a in addresses]
+    assert got == [f"{w}_{prefix}" for w in want]
+
+
+def test_ipv6_subnets_need_no_python(spark):
+    df = spark.createDataFrame([("::1",)], "a string").select(subnet_id(F.col("a")))
+    assert "Python" not in df._jdf.queryExecution().toString()
+
+
 def test_ipv6_subnets(spark):
     got = column(spark, ["2001:db8:85a3:1234:5678:8a2e:0370:7334", "::1", "1.2.3.4", None], lambda c: subnet_v6(c, 64))
     assert got == ["2001:db8:85a3:1234::_64", "::_64", None, None]

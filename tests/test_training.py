@@ -81,9 +81,10 @@ def test_models_score_save_and_verify(spark, tmp_path):
         M.load_version(spark, root, "rf", version)
 
 
-def test_rules_hold_on_their_rows(spark):
+@pytest.mark.parametrize("name", ["rf", "gbm"])
+def test_rules_hold_on_their_rows(spark, name):
     rows = M.training_rows(labelled(spark))
-    model = M.model_pipeline(M.classifier("rf", trees=3, depth=2)).fit(rows)
+    model = M.model_pipeline(M.classifier(name, trees=3, depth=2)).fit(rows)
     rules = M.tree_rules(model)
     scored = M.score_rules(rows, rules).collect()
     assert rules and scored and max(r.precision for r in scored) > 0.9
