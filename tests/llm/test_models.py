@@ -137,6 +137,48 @@ def test_leaks_with_changed_words(spark):
     assert decontaminate.without_leaks(docs, bench.limit(0)).count() == docs.count()
 
 
+def brute_leaks(data, items, spec=decontaminate.LeakSpec()):
+    """Pairs that leak, from every piece against every passage."""
+    out = set()
+    for i, text in items:
+        for p in decontaminate.pieces_of(i, text or "", spec):
+            window = next(w for w in decontaminate.WINDOWS if len(p.words) <= w)
+            for doc_id, own, *_ in data:
+                near = decontaminate._plain(own or "").tolist()
+                for at in range(0, len(near), window // 2):
+                    part = near[max(0, at - window // 2) : at + window * 3 // 2]
+                    share = decontaminate.common_subsequence(p.masks, len(p.words), part) / len(p.words)
+                    told = len(p.answer) > 0 and decontaminate.common_subsequence(p.answer_masks, len(p.answer), part) >= spec.share * len(p.answer)
+                    if share >= spec.share or share >= spec.share_with_answer and told:
+                        out.add((doc_id, i))
+    return out
+
+
+def test_leaks_of_long_short_and_changed_items(spark):
+    rng = random.Random(16)
+    vocabulary = [f"w{i}" for i in range(4000)]
+    say = lambda n: [vocabulary[min(int(rng.paretovariate(0.6)) - 1, 3999)] if rng.random() < 0.5 else rng.choice(vocabulary) for _ in range(n)]
+    own = [say([6, 14, 30, 200, 300][i % 5]) for i in range(60)]
+    items = [(i, " ".join(w) + (f". answer is {i} n{i}" if i % 7 == 0 else "")) for i, w in enumerate(own)]
+    data = []
+    for d in range(90):
+        quote = list(own[d % 60])
+        if len(quote) > 100 and d % 2:
+            at = rng.randrange(len(quote) - 90)
+            quote = quote[at : at + 90]
+        if d % 3 == 0:
+            quote = ["new" if rng.random() < 0.12 else w for w in quote]
+        text = say(100)
+        at = rng.randrange(100)
+        data.append((d, " ".join(text[:at] + quote + text[at:]), "en", "s", "", "", "", ""))
+    data += [(500, None, "", "", "", "", "", ""), (501, " ", "", "", "", "", "", "")]
+    want = brute_leaks(data, items)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for spec in (decontaminate.LeakSpec(), decontaminate.LeakSpec(dimensions=8)):  # the second holds next to nothing of the items
+        got = [(r.doc_id, r.item_id) for r in decontaminate.leaks(frame(spark, data), bench, spec).collect()]
+        assert len(want) > 60 and set(got) == want and len(got) == len(want)
+
+
 def test_subsequence_length():
     masks = {}
     for i, w in enumerate("abcbdab"):
