@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import textwrap
 
 import pytest
 
@@ -111,3 +112,17 @@ def test_licences(spark):
     a, b = licenses.plain_bigrams(texts[2]), licenses.plain_bigrams(mit)
     assert got[2, "line", "MIT"].dice == pytest.approx(2 * len(a & b) / (len(a) + len(b)))
     assert licenses.licences(frame(spark, [])).count() == 0
+
+
+def test_wrapped_licences(spark):
+    rng = random.Random(17)
+    gpl, mpl, mit, apache = licenses.TEMPLATES["GPL-3.0"][1], licenses.TEMPLATES["MPL-2.0"][0], licenses.TEMPLATES["MIT"][2], licenses.TEMPLATES["Apache-2.0"][1]
+    wrap = lambda text, lead: "\n".join(lead + x for x in textwrap.wrap(text, 60))
+    code = "\n\nimport os\n" + "\n".join(f"x{i} = os.path.join('{prose(rng, 4)}')" for i in range(80))
+    notices = [wrap(gpl, " * ") + code, "MIT License\n\nCopyright (c) 2020\n\n" + wrap(mit, "") + "\n\nTHE SOFTWARE IS PROVIDED " + prose(rng, 90), prose(rng, 60) + " " + mpl + " " + prose(rng, 60), wrap(apache, "# ") + code,
+               code + "\n" + wrap(gpl, "// ") + code + wrap(mit, "# "), code, prose(rng, 300), gpl + code]
+    got = licenses.licences(frame(spark, [(i, x, "", "", "", "", "", "") for i, x in enumerate(notices)])).collect()
+    long = {(r.doc_id, r.level, r.licence) for r in got if r.template_bigrams > 15}
+    assert long == {(0, "run", "GPL-3.0"), (1, "run", "MIT"), (2, "run", "MPL-2.0"), (3, "run", "Apache-2.0"), (4, "run", "GPL-3.0"), (4, "run", "MIT"), (7, "line", "GPL-3.0")}
+    assert [r for r in got if r.template_bigrams > 15 and r.dice < 1] == []
+    assert {r.unit for r in got if r.doc_id == 0} == {0}
