@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from siltwatch.llm.words import mix, slices, texts_of, words_of
 
 DEFAULT_VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
-LONGEST = 12
-"""Pieces of more bytes are not used."""
+PLACES = 1 << 18
+"""Places (words by length of the longest) that one lattice holds; longer words are summed in chunks of so many bytes."""
 SLOTS_LOG = 18
 SLICE = 4 << 20
 UNKNOWN = "und"
@@ -40,7 +40,7 @@ def load_pieces(path: str) -> list[bytes]:
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     usual = [i for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
     pieces = [model.id_to_piece(i).replace("▁", " ").encode() for i in usual]
-    pieces = [p for p in pieces if len(p) <= LONGEST and b" " not in p[1:]]
+    pieces = [p for p in pieces if b" " not in p[1:]]
     return list(dict.fromkeys([*pieces, *(bytes([b]) for b in range(256))]))
 
 
@@ -51,8 +51,8 @@ class Pieces:
         self.count = len(pieces)
         self.prior = 1 / (np.arange(self.count) + 100.0)
         self.prior /= self.prior.sum()
-        self.keys, self.ids = {}, {}
-        for length in range(1, LONGEST + 1):
+        self.keys, self.ids, self.longest = {}, {}, max(map(len, pieces))
+        for length in range(1, self.longest + 1):
             own = [i for i, p in enumerate(pieces) if len(p) == length]
             if own:
                 raw = np.frombuffer(b"".join(pieces[i] for i in own), np.uint8).reshape(-1, length)
@@ -74,7 +74,7 @@ class Pieces:
     def at(self, data: np.ndarray, left: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(length, places, piece ids) of pieces that end within ``left`` bytes of their place."""
         total = np.zeros(len(data), np.uint64)
-        for length in range(1, LONGEST + 1):
+        for length in range(1, self.longest + 1):
             places = np.flatnonzero(left >= length)
             if not len(places):
                 return
@@ -184,6 +184,65 @@ class Lattice:
         return np.exp(ahead[self.start, self.word] + back[self.end, self.word] - whole[self.word]) * chance[self.piece]
 
 
+def groups(own: DistinctWords, columns: int, places: int = PLACES) -> Iterator[tuple[int, int, DistinctWords]]:
+    """Words of like length, so that a lattice of each group stays within ``places`` at four columns; a longer word is alone."""
+    low, most = 0, max(1, places * 4 // max(4, columns))
+    while low < len(own.size):
+        high = min(len(own.size), low + max(1, most // (int(own.size[low]) + 1)))
+        begin, end = own.begin[low], own.begin[high - 1] + own.size[high - 1]
+        yield low, high, DistinctWords(own.data[begin:end], own.begin[low:high] - begin, own.size[low:high], np.arange(high - low))
+        low = high
+
+
+def _found(pieces: Pieces, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    parts = [(p, p + n, i) for n, p, i in pieces.at(data, len(data) - np.arange(len(data)))]
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
+def long_forward(pieces: Pieces, data: np.ndarray, chance: np.ndarray, chunk: int = PLACES, keep: bool = False) -> np.ndarray:
+    """Log sums of the prefixes of one word by column, all of them or the last; only the last places pass from chunk to chunk."""
+    tail, kept = np.zeros((1, chance.shape[1])), [np.zeros((1, chance.shape[1]))]
+    for at in range(0, len(data), chunk):
+        low, high = at - len(tail) + 1, min(len(data), at + chunk)
+        start, end, piece = _found(pieces, data[low:high])
+        order = np.argsort(end, kind="stable")
+        start, piece, edges = start[order], piece[order], np.searchsorted(end[order], np.arange(high - low + 2))
+        logs = np.concatenate([tail, np.zeros((high - at, chance.shape[1]))])
+        for j in range(len(tail), len(logs)):
+            rows = slice(edges[j], edges[j + 1])
+            logs[j] = np.log((np.exp(logs[start[rows]] - logs[j - 1]) * chance[piece[rows]]).sum(axis=0)) + logs[j - 1]
+        if keep:
+            kept.append(logs[len(tail) :])
+        tail = logs[-pieces.longest :].copy()
+    return np.concatenate(kept) if keep else tail[-1:]
+
+
+def long_sums(pieces: Pieces, data: np.ndarray, chance: np.ndarray, chunk: int = PLACES) -> np.ndarray:
+    """Expected count of every piece in one word, under one column of chances."""
+    ahead, back, total = long_forward(pieces, data, chance[:, None], chunk, keep=True)[:, 0], np.zeros(len(data) + 1), np.zeros(pieces.count)
+    for low in reversed(range(0, len(data), chunk)):
+        high = min(len(data), low + chunk)
+        start, end, piece = _found(pieces, data[low : high + pieces.longest])
+        some = start < high - low
+        order = np.argsort(start[some], kind="stable")
+        start, end, piece = (x[some][order] for x in (start, end, piece))
+        edges, logs = np.searchsorted(start, np.arange(high - low + 1)), back[low : high + pieces.longest + 1]
+        for j in range(high - low - 1, -1, -1):
+            rows = slice(edges[j], edges[j + 1])
+            logs[j] = np.log((np.exp(logs[end[rows]] - logs[j + 1]) * chance[piece[rows]]).sum()) + logs[j + 1]
+        weight = np.exp(ahead[low + start] + logs[end] - ahead[-1]) * chance[piece]
+        total += np.bincount(piece, weights=weight, minlength=pieces.count)
+    return total
+
+
+def log_chances(pieces: Pieces, own: DistinctWords, chance: np.ndarray, places: int = PLACES) -> np.ndarray:
+    """Log chance of every word, longest first, by column."""
+    out = np.empty((len(own.size), chance.shape[1]))
+    for low, high, some in groups(own, chance.shape[1], places):
+        out[low:high] = long_forward(pieces, some.data, chance, places) if some.size[0] >= places else Lattice(pieces, some).log_chances(chance)
+    return out
+
+
 def _sums(pieces: Pieces, languages: list[str]):
     numbers = {name: i for i, name in enumerate(languages)}
 
@@ -195,12 +254,18 @@ def _sums(pieces: Pieces, languages: list[str]):
             if len(words.hash):
                 _, at, back = np.unique(words.hash, return_index=True, return_inverse=True)
                 own = distinct_words(words.start[at], words.end[at], texts.data)
-                lattice = Lattice(pieces, own)
-                weight = lattice.expected(pieces.prior)
                 number = np.array([numbers[x] for x in part.column("lang").to_pylist()])[words.row]
-                for k in np.unique(number):
-                    uses = np.bincount(own.place[back[number == k]], minlength=len(own.size))
-                    total[k] += np.bincount(lattice.piece, weights=weight * uses[lattice.word], minlength=pieces.count)
+                used = {k: np.bincount(own.place[back[number == k]], minlength=len(own.size)) for k in np.unique(number)}
+                for low, high, some in groups(own, 1):
+                    if some.size[0] >= PLACES:
+                        sums = long_sums(pieces, some.data, pieces.prior)
+                        for k, uses in used.items():
+                            total[k] += uses[low] * sums
+                        continue
+                    lattice = Lattice(pieces, some)
+                    weight = lattice.expected(pieces.prior)
+                    for k, uses in used.items():
+                        total[k] += np.bincount(lattice.piece, weights=weight * uses[low:high][lattice.word], minlength=pieces.count)
         if total.any():
             yield pa.record_batch({"lang": pa.array(languages), "sums": pa.array([t.tobytes() for t in total], pa.binary())})
 
@@ -256,7 +321,7 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
                 def compute(new: np.ndarray, begin=begin, end=end, data=texts.data) -> np.ndarray:
                     own = distinct_words(begin[new], end[new], data)
-                    return Lattice(model.pieces, own).log_chances(model.chance)[own.place]
+                    return log_chances(model.pieces, own, model.chance)[own.place]
 
                 each = seen.look_up(keys, compute)[back]
                 for k in range(len(model.languages)):

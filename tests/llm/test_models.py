@@ -137,6 +137,27 @@ def test_leaks_with_changed_words(spark):
     assert decontaminate.without_leaks(docs, bench.limit(0)).count() == docs.count()
 
 
+def test_long_words_in_chunks_equal_whole_lattice():
+    rng = random.Random(18)
+    pieces = langid.Pieces(list(dict.fromkeys([b" a", b"ab", b"abcabcabcabcabc", b"bca", *[bytes([x]) for x in range(256)]])))
+    text = " ".join(["".join(rng.choice(["abc", "b", "a"]) for _ in range(n)) for n in (300, 1, 2, 3, 40, 100)]).encode()
+    ends = [i for i, b in enumerate(text) if b == 32] + [len(text)]
+    own = langid.distinct_words(np.array([0, *[e + 1 for e in ends[:-1]]]), np.array(ends), np.frombuffer(text, np.uint8))
+    chance = np.random.default_rng(3).random((pieces.count, 2))
+    whole = langid.Lattice(pieces, own)
+    assert np.allclose(langid.log_chances(pieces, own, chance, places=50), whole.log_chances(chance))
+    first = own.data[: own.size[0]]
+    weight = whole.expected(chance[:, 0])
+    want = np.bincount(whole.piece[whole.word == 0], weights=weight[whole.word == 0], minlength=pieces.count)
+    assert np.allclose(langid.long_sums(pieces, first, chance[:, 0], chunk=37), want)
+    # A word of 1 MB beside 50,000 ordinary ones leaves lattices within bounds.
+    sizes = np.array([1_000_000, *[8] * 50_000])
+    many = langid.DistinctWords(np.zeros(sizes.sum(), np.uint8), np.cumsum(sizes) - sizes, sizes, np.arange(len(sizes)))
+    split = list(langid.groups(many, 4))
+    assert split[0][:2] == (0, 1) and sum(h - l for l, h, _ in split) == len(sizes)  # noqa: E741
+    assert all((g.size[0] + 1) * len(g.size) <= langid.PLACES for _, _, g in split[1:])
+
+
 def brute_leaks(data, items, spec=decontaminate.LeakSpec()):
     """Pairs that leak, from every piece against every passage."""
     out = set()
