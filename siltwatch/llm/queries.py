@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltwatch.llm import decontaminate, exact_dedup, langid, licenses, line_dedup, lm, merkle, minhash, mixing, pii, quality, sharding
+from siltwatch.llm import decontaminate, exact_dedup, langid, licenses, line_dedup, lm, merkle, minhash, mixing, phrases, pii, quality, sharding
 from siltwatch.llm.common import bucket, documents, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,11 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir), words=4)
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrases of every language that keep together."""
+    return phrases.collocations(documents(spark, sf_dir))
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, path and root of every document, and whether a tampered one is told."""
     return merkle.tampered_proofs(documents(spark, sf_dir))
@@ -82,7 +87,7 @@ def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OPERATORS = (
     op1_licenses, op2_pii, op3_exact_dedup, op4_lm, op5_quality, op6_mixing, op7_decontamination,
-    op8_line_dedup, op9_langid, op10_minhash, op12_merkle, op13_sharding,
+    op8_line_dedup, op9_langid, op10_minhash, op11_phrases, op12_merkle, op13_sharding,
 )
 
 
@@ -93,5 +98,5 @@ def llm_queries() -> dict[str, Query]:
 def llm_sql() -> dict[str, str]:
     return {
         "op1_licenses": licenses.sql(), "op3_exact_dedup": exact_dedup.SQL, "op8_line_dedup": line_dedup.SQL,
-        "op12_merkle": merkle.SQL, "op13_sharding": sharding.sql(),
+        "op11_phrases": phrases.sql(), "op12_merkle": merkle.SQL, "op13_sharding": sharding.sql(),
     }
