@@ -26,7 +26,7 @@ from siltwatch.llm.sharding import CRC_TABLE, crc_sql
 
 ARITY = 3
 STEPS = 6
-BLOCK = ARITY**STEPS
+"""Levels of a block above its leaves."""
 COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
 """Columns of a leaf, in the order they are hashed."""
 
@@ -54,12 +54,12 @@ def address(levels: int, depth: int, index: np.ndarray) -> np.ndarray:
     return at
 
 
-def steps_of(count: int, limit: int | None = None) -> int:
+def steps_of(count: int) -> int:
     """Levels from ``count`` leaves to one node."""
     steps = 0
     while ARITY**steps < count:
         steps += 1
-    return steps if limit is None else min(steps, limit)
+    return steps
 
 
 def digest(text: str) -> str:
@@ -94,86 +94,94 @@ def siblings(nodes: np.ndarray, steps: int, count: int) -> list[list[tuple[str,
     return out
 
 
-def _block(key: tuple, rows: pa.Table) -> pa.Table:
-    rows = rows.sort_by("i")
-    count = rows.num_rows
-    full = rows.column("n")[0].as_py() > BLOCK
-    steps = STEPS if full else steps_of(count)
-    nodes = build(rows.column("digest").to_pylist(), steps)
-    return pa.table(
-        {
-            "g": pa.array([key[0].as_py()], pa.int64()),
-            "block": pa.array([key[1].as_py()], pa.int64()),
-            "n": rows.column("n")[:1],
-            "count": pa.array([count], pa.int64()),
-            "steps": pa.array([steps], pa.int64()),
-            "nodes": pa.array([nodes.tobytes()], pa.binary()),
-            "root": pa.array([nodes[0].tobytes()], pa.binary()),
-            "rows": pa.array([rows.column("row").to_pylist()], pa.list_(rows.schema.field("row").type)),
-        }
-    )
+def _block(high: int):
+    """Node table of one block of at most ``high`` steps as one row."""
+
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("i")
+        count = rows.num_rows
+        steps = high if rows.column("n")[0].as_py() > ARITY**high else steps_of(count)
+        nodes = build(rows.column("digest").to_pylist(), steps)
+        return pa.table(
+            {
+                "g": pa.array([key[0].as_py()], pa.int64()),
+                "block": pa.array([key[1].as_py()], pa.int64()),
+                "n": rows.column("n")[:1],
+                "count": pa.array([count], pa.int64()),
+                "steps": pa.array([steps], pa.int64()),
+                "nodes": pa.array([nodes.tobytes()], pa.binary()),
+                "root": pa.array([nodes[0].tobytes()], pa.binary()),
+                "rows": pa.array([rows.column("row").to_pylist()], pa.list_(rows.schema.field("row").type)),
+            }
+        )
+
+    return run
 
 
-def _blocks(nodes: DataFrame, name: str) -> DataFrame:
+def _blocks(nodes: DataFrame, high: int, name: str) -> DataFrame:
     """One row per block of nodes (g, i, n, digest, row); n counts the nodes of g, ``row`` is carried along."""
     kind = nodes.schema["row"].dataType.simpleString()
     schema = f"g long, block long, n long, count long, steps long, nodes binary, root binary, rows array<{kind}>"
-    keyed = nodes.withColumn("block", F.floor(F.col("i") / BLOCK).cast("long"))
-    return staged(keyed.groupBy("g", "block").applyInArrow(_block, schema), name)
+    keyed = nodes.withColumn("block", F.expr(f"i div {ARITY**high}"))
+    return staged(keyed.groupBy("g", "block").applyInArrow(_block(high), schema), name)
 
 
-def _forest(nodes: DataFrame, most: int, name: str) -> list[DataFrame]:
+def _forest(nodes: DataFrame, most: int, high: int, name: str) -> list[DataFrame]:
     """Blocks of all rounds; ``most`` is the size of the largest tree."""
-    rounds = [_blocks(nodes, name)]
-    while most > BLOCK:
-        most = -(-most // BLOCK)
-        up = rounds[-1].where(F.col("n") > BLOCK)
-        up = up.select("g", F.col("block").alias("i"), F.ceil(F.col("n") / BLOCK).cast("long").alias("n"), F.col("root").alias("digest"), F.lit(0).alias("row"))
-        rounds.append(_blocks(up, f"{name}-{len(rounds)}"))
+    size = ARITY**high
+    rounds = [_blocks(nodes, high, name)]
+    while most > size:
+        most = -(-most // size)
+        up = rounds[-1].where(F.col("n") > size)
+        n = F.expr(f"(n + {size - 1}) div {size}").alias("n")
+        up = up.select("g", F.col("block").alias("i"), n, F.col("root").alias("digest"), F.lit(0).alias("row"))
+        rounds.append(_blocks(up, high, f"{name}-{len(rounds)}"))
     return rounds
 
 
-def _roots(rounds: list[DataFrame]) -> DataFrame:
+def _roots(rounds: list[DataFrame], high: int) -> DataFrame:
     """(g, root) of every tree."""
-    tops = [r.where(F.col("n") <= BLOCK).select("g", "root") for r in rounds]
+    tops = [r.where(F.col("n") <= ARITY**high).select("g", "root") for r in rounds]
     return reduce(DataFrame.unionByName, tops)
 
 
 PATH = "g long, i long, lefts array<string>, rights array<string>, subroot string, root string"
 
 
-def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _paths(high: int):
     """Path of every node of a block: its siblings inside the block, then those above."""
-    schema = pa.schema(
-        [("g", pa.int64()), ("i", pa.int64()), ("lefts", pa.list_(pa.string())), ("rights", pa.list_(pa.string())),
-         ("subroot", pa.string()), ("root", pa.string())]
-    )
-    for batch in batches:
-        for block in batch.to_pylist():
-            nodes = np.frombuffer(block["nodes"], dtype=np.uint8).reshape(-1, 32)
-            levels = siblings(nodes, block["steps"], block["count"])
-            rows = []
-            for j in range(block["count"]):
-                own = [levels[s][j // ARITY**s] for s in range(block["steps"])]
-                rows.append(
-                    {"g": block["g"], "i": block["block"] * BLOCK + j, "lefts": [x for x, _ in own] + block["lefts"],
-                     "rights": [y for _, y in own] + block["rights"], "subroot": block["subroot"], "root": block["root"]}
-                )
-            yield pa.RecordBatch.from_pylist(rows, schema)
-
 
-def _descend(rounds: list[DataFrame], tops: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts = pa.list_(pa.string())
+        schema = pa.schema(
+            [("g", pa.int64()), ("i", pa.int64()), ("lefts", texts), ("rights", texts), ("subroot", pa.string()), ("root", pa.string())]
+        )
+        for batch in batches:
+            for block in batch.to_pylist():
+                nodes = np.frombuffer(block["nodes"], dtype=np.uint8).reshape(-1, 32)
+                levels = siblings(nodes, block["steps"], block["count"])
+                rows = []
+                for j in range(block["count"]):
+                    own = [levels[s][j // ARITY**s] for s in range(block["steps"])]
+                    place = {"g": block["g"], "i": block["block"] * ARITY**high + j, "subroot": block["subroot"], "root": block["root"]}
+                    rows.append({**place, "lefts": [x for x, _ in own] + block["lefts"], "rights": [y for _, y in own] + block["rights"]})
+                yield pa.RecordBatch.from_pylist(rows, schema)
+
+    return run
+
+
+def _descend(rounds: list[DataFrame], high: int, tops: DataFrame) -> DataFrame:
     """Lowest blocks with the path above each; ``tops`` has the path above every tree."""
     above = None
     for r in range(len(rounds) - 1, -1, -1):
-        single = rounds[r].where(F.col("n") <= BLOCK).drop("root").join(tops, "g")
+        single = rounds[r].where(F.col("n") <= ARITY**high).drop("root").join(tops, "g")
         joined = single
         if above is not None:
-            inner = rounds[r].where(F.col("n") > BLOCK).drop("root").join(above.withColumnRenamed("i", "block"), ["g", "block"])
+            inner = rounds[r].where(F.col("n") > ARITY**high).drop("root").join(above.withColumnRenamed("i", "block"), ["g", "block"])
             joined = single.unionByName(inner)
         if r == 0:
             return joined
-        above = joined.drop("rows", "n").mapInArrow(_paths, PATH)
+        above = joined.drop("rows", "n").mapInArrow(_paths(high), PATH)
     raise ValueError("a forest has one round at least")
 
 
@@ -184,20 +192,21 @@ class Manifest:
     rounds: list[DataFrame]
     top: list[DataFrame]
     sources: DataFrame
+    high: int = STEPS
 
     def blocks(self) -> DataFrame:
         """Blocks that hold the rows, each with the path above it, its subroot and the root."""
         none = F.array().cast("array<string>")
-        root = _roots(self.top).select("g", F.lower(F.hex("root")).alias("root"))
+        root = _roots(self.top, self.high).select("g", F.lower(F.hex("root")).alias("root"))
         ends = root.select("g", none.alias("lefts"), none.alias("rights"), F.lit(None).cast("string").alias("subroot"), "root")
-        lowest = _descend(self.top, ends)
-        paths = lowest.drop("rows", "n").mapInArrow(_paths, PATH)
+        lowest = _descend(self.top, self.high, ends)
+        paths = lowest.drop("rows", "n").mapInArrow(_paths(self.high), PATH)
         named = self.sources.select(F.col("no").alias("i"), F.lower(F.hex("digest")).alias("name"))
         above = paths.join(named, "i").select(F.col("i").alias("g"), "lefts", "rights", F.col("name").alias("subroot"), "root")
-        return _descend(self.rounds, staged(above, "paths"))
+        return _descend(self.rounds, self.high, staged(above, "paths"))
 
 
-def manifest(leaves: DataFrame) -> Manifest:
+def manifest(leaves: DataFrame, high: int = STEPS) -> Manifest:
     """Trees over ``leaves``: source, doc_id, leaf (32 bytes) and ``row`` (carried along).
 
     Rows of a source are in the order of doc_id (null first), then of their digest;
@@ -210,11 +219,11 @@ def manifest(leaves: DataFrame) -> Manifest:
     named = sources.select(F.col("source").alias("s"), "no", "first", "n")
     nodes = placed.join(named, F.col("source").eqNullSafe(F.col("s")))
     nodes = nodes.select(F.col("no").alias("g"), (F.col("at") - F.col("first")).alias("i"), "n", F.col("leaf").alias("digest"), "row")
-    rounds = _forest(nodes, size[0] or 0, "blocks")
-    named = sources.select(F.col("no").alias("g"), "no").join(_roots(rounds).withColumnRenamed("root", "digest"), "g")
+    rounds = _forest(nodes, size[0] or 0, high, "blocks")
+    named = sources.select(F.col("no").alias("g"), "no").join(_roots(rounds, high).withColumnRenamed("root", "digest"), "g")
     named = staged(named.select("no", "digest"), "subroots")
     top = named.select(F.lit(0).cast("long").alias("g"), F.col("no").alias("i"), F.lit(size[1]).cast("long").alias("n"), "digest", F.lit(0).alias("row"))
-    return Manifest(rounds, _forest(top, size[1], "top"), named)
+    return Manifest(rounds, _forest(top, size[1], high, "top"), named, high)
 
 
 def field(name: str) -> Column:
@@ -229,7 +238,6 @@ def leaf_digest(text: str = "text") -> Column:
     return F.unhex(F.sha2(F.concat(*parts).cast("binary"), 256))
 
 
-ROW = "struct<doc_id:bigint,other:binary>"
 VERIFIED = "doc_id long, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean"
 
 
@@ -257,7 +265,7 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
 
-def tampered_proofs(docs: DataFrame) -> DataFrame:
+def tampered_proofs(docs: DataFrame, high: int = STEPS) -> DataFrame:
     """One row per row of ``docs``: doc_id, leaf, subroot, root, proof_sha256, folded_root, verified.
 
     Rows whose crc32(doc_id as text) is even are tampered with: their text loses its line
@@ -271,7 +279,8 @@ def tampered_proofs(docs: DataFrame) -> DataFrame:
     other = F.when(hit, leaf_digest("_cut"))
     row = F.struct(F.col("doc_id").cast("long").alias("doc_id"), other.alias("other"))
     leaves = cut.select("source", F.col("doc_id").cast("long").alias("doc_id"), leaf_digest().alias("leaf"), row.alias("row"))
-    return manifest(leaves).blocks().select("steps", "count", "nodes", "rows", "lefts", "rights", "subroot", "root").mapInArrow(_verified, VERIFIED)
+    blocks = manifest(leaves, high).blocks()
+    return blocks.select("steps", "count", "nodes", "rows", "lefts", "rights", "subroot", "root").mapInArrow(_verified, VERIFIED)
 
 
 def _field_sql(name: str, value: str) -> str:

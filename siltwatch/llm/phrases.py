@@ -91,15 +91,15 @@ def _grams(hashes: np.ndarray, follows: np.ndarray, n: int) -> np.ndarray:
 class _Gatherer:
     """Counts of a task, packed as filters whenever a buffer is full."""
 
-    def __init__(self, bits: int, salts: int):
-        self.bits, self.salts, self.parts, self.held, self.packed = bits, salts, {}, {}, 0
+    def __init__(self, bits: int, salts: int, buffer: int):
+        self.bits, self.salts, self.buffer, self.parts, self.held, self.packed = bits, salts, buffer, {}, {}, 0
 
     def add(self, lang: str, n: int, grams: np.ndarray) -> Iterator[pa.RecordBatch]:
         if len(grams):
             entries = summed(permute(grams), np.ones(len(grams), dtype=np.int64))
             self.parts.setdefault((lang, n), []).append(entries)
             self.held[lang, n] = self.held.get((lang, n), 0) + len(entries[0])
-            if self.held[lang, n] > BUFFER:
+            if self.held[lang, n] > self.buffer:
                 yield from self.pack(lang, n)
 
     def pack(self, lang: str, n: int) -> Iterator[pa.RecordBatch]:
@@ -151,11 +151,11 @@ def _by_language(part: pa.RecordBatch) -> Iterator[tuple[str, pa.RecordBatch]]:
         yield lang, part.filter(pa.array(codes == code))
 
 
-def _count(lengths: tuple[int, ...], bits: int, salts: int, known: np.ndarray | None, name_words: bool):
+def _count(lengths: tuple[int, ...], bits: int, salts: int, buffer: int, known: np.ndarray | None, name_words: bool):
     """Filters of the n-grams of some lengths whose words (or pairs, from three words on) are in the bitmap."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gathered, named = _Gatherer(bits, salts), np.zeros(0, dtype=np.uint64)
+        gathered, named = _Gatherer(bits, salts, buffer), np.zeros(0, dtype=np.uint64)
         for part in slices(batches):
             for lang, rows in _by_language(part):
                 texts = texts_of(rows.column("text"))
@@ -223,9 +223,10 @@ def _counted(docs: DataFrame, lengths: tuple[int, ...], least: int, bits: int, k
     route = [*range(ROUTE_BITS, bits, ROUTE_BITS), bits]
     salts = 1 if len(route) == 1 else max(1, (1 << bits) // WAYS)
     shared = spark.sparkContext.broadcast(known) if known is not None else None  # 2 ** MAP_BITS bits
+    first_salts, buffer = salts, BUFFER
 
     def count(batches):
-        return _count(lengths, route[0], salts, shared.value if shared else None, name_words)(batches)
+        return _count(lengths, route[0], first_salts, buffer, shared.value if shared else None, name_words)(batches)
 
     made = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text").mapInArrow(count, FILTERS)
     if name_words:  # two readers

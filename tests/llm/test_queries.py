@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_names():
     assert set(llm_sql()) <= set(llm_queries())
-    assert [int(f.__name__[2:].split("_")[0]) for f in OPERATORS] == list(range(1, 11))
+    assert [int(f.__name__[2:].split("_")[0]) for f in OPERATORS] == list(range(1, 14))
 
 
 def test_pipeline_stages(spark):
