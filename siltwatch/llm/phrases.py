@@ -243,9 +243,9 @@ def _counted(docs: DataFrame, lengths: tuple[int, ...], least: int, bits: int, k
 def counts(docs: DataFrame, least: int = 100, longest: int = LONGEST, block_bits: int | None = None):
     """Frequent phrases of one to ``longest`` words with their counts, totals by language, and words by id."""
     docs = docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    if block_bits is None:  # a block's filters should fit a task; a guess of the planner is enough for that
-        size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        block_bits = min(40, max(4, (size // BLOCK_BYTES).bit_length()))
+    if block_bits is None:  # a block's filters should fit a task
+        size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        block_bits = min(30, max(4, (size // BLOCK_BYTES).bit_length()))
     ones, _ = _counted(docs, (1,), least, block_bits)
     totals = ones.where("size(ids) = 0").groupBy("lang").agg(F.sum("f").alias("n"))
     ones = ones.where("size(ids) > 0")
