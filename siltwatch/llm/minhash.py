@@ -5,10 +5,14 @@ read with a circular shift of 0, 1, 2 ... for the coordinates. Bands of coordina
 propose pairs; every link is confirmed on the full shingle sets.
 
 How skew is handled: equal shingle sets collapse to one representative before
-banding; a bucket compares its members with its smallest one only (links of a star
-suffice for components); members that stay apart from the bucket's largest component
-are then compared with all members of other components. No step lists all pairs of a
-bucket of copies.
+banding; a bucket compares its members with its smallest one only, then, where it still
+holds several components, with its most typical one (links of a star suffice for
+components). What stays apart of a bucket's largest component goes through an exact
+prefix join (``prefixes``), which meets only texts that share a rare shingle early
+enough to reach the threshold. No step lists the pairs of a bucket.
+
+Texts and signatures are not shuffled: rows that a step needs are picked beside the
+scan by a bitmap of fixed size.
 """
 
 from __future__ import annotations
@@ -22,13 +26,17 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siltwatch.llm.bitmaps import bitmap, has, id_place
 from siltwatch.llm.common import staged
 from siltwatch.llm.components import components
+from siltwatch.llm.prefixes import cell_counts, near_pairs, typical
 from siltwatch.llm.words import mix, sets_of, shingles_of, slices, texts_of, words_of
 
 PLACES_LOG = 20
 BANDS, ROWS = 25, 5
 COORDINATES = BANDS * ROWS
+ID_BITS = 26
+"""Bits of the number of places of a bitmap of ids: 8 MB."""
 SLACK = 0.16
 """Pairs are confirmed if their signatures agree to the threshold less this much,
 over four standard errors of 125 coordinates at 0.8."""
@@ -87,11 +95,24 @@ def _sketch(n: int):
     return run
 
 
-def _shingle_sets(n: int):
+def _shingle_sets(n: int, wanted: np.ndarray):
+    """Shingle sets of the rows whose place is in a bitmap."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
-            sets = sets_of(*shingles_of(words_of(texts_of(part.column("text"))), n))
-            yield pa.record_batch({"id": part.column("doc_id"), "own": pa.array([s.tobytes() for s in sets], pa.binary())})
+        for batch in batches:
+            chosen = batch.filter(pa.array(has(wanted, batch.column("place").to_numpy(zero_copy_only=False))))
+            for part in slices(iter([chosen])):
+                sets = sets_of(*shingles_of(words_of(texts_of(part.column("text"))), n))
+                yield pa.record_batch({"id": part.column("doc_id"), "own": pa.array([s.tobytes() for s in sets], pa.binary())})
+
+    return run
+
+
+def _picked(wanted: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = pa.array(has(wanted, batch.column("place").to_numpy(zero_copy_only=False)))
+            yield batch.select(["id", "marks"]).filter(near)
 
     return run
 
@@ -135,18 +156,40 @@ def _confirmed(percent: int):
     return run
 
 
-def _links(pairs: DataFrame, marks: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+def _sets(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
+    """(id, own) for the documents with the given ids; a few others may be among them."""
+    wanted = bitmap(ids, id_place("id", ID_BITS), ID_BITS)
+    placed = docs.where("doc_id IS NOT NULL").select("doc_id", "text", id_place("doc_id", ID_BITS).alias("place"))
+    return staged(placed.mapInArrow(_shingle_sets(n, wanted), "id long, own binary").dropDuplicates(["id"]), "shingle-sets")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    """Ids in pairs, some of them repeated."""
+    return pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
+
+
+def _links(pairs: DataFrame, marks: DataFrame, docs: DataFrame, n: int, percent: int, sets: DataFrame | None = None) -> DataFrame:
     """Pairs (a, b) confirmed on the full shingle sets; only documents in a likely pair are read for it."""
-    side = lambda s: marks.select(F.col("id").alias(s), F.col("marks").alias(f"marks_{s}"))
+    pairs = staged(pairs, "pairs")
+    wanted = bitmap(_ends(pairs), id_place("id", ID_BITS), ID_BITS)
+    placed = marks.select("id", "marks", id_place("id", ID_BITS).alias("place"))
+    picked = staged(placed.mapInArrow(_picked(wanted), "id long, marks binary"), "pair-marks")
+    side = lambda s: picked.select(F.col("id").alias(s), F.col("marks").alias(f"marks_{s}"))
     likely = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "marks_a", "marks_b")
     likely = staged(likely.mapInArrow(_agreeing(percent / 100 - SLACK), "a long, b long"), "likely-pairs")
-    wanted = likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    chosen = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
-    sets = staged(chosen.mapInArrow(_shingle_sets(n), "id long, own binary").dropDuplicates(["id"]), "shingle-sets")
+    sets = _sets(docs, _ends(likely), n) if sets is None else sets
     own = lambda s: sets.select(F.col("id").alias(s), F.col("own").alias(f"own_{s}"))
     return likely.join(own("a"), "a").join(own("b"), "b").select("a", "b", "own_a", "own_b").mapInArrow(_confirmed(percent), "a long, b long")
 
 
+def _mixed(shared: DataFrame, near: DataFrame) -> DataFrame:
+    """Members (bucket, id, n, component, main) of buckets that hold several components; main is the largest."""
+    apart = shared.select("bucket", "id", "n").join(near, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    counts = apart.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("c"))
+    mixed = counts.groupBy("bucket").agg(F.max_by("component", F.struct("c", "component")).alias("main"), F.count(F.lit(1)).alias("k"))
+    return staged(apart.join(mixed.where("k > 1").select("bucket", "main"), "bucket"), "mixed")
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
@@ -169,29 +212,29 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         alone.select(F.col("doc_id").alias("id"), "n_shingles", "marks", "set_a", "set_b").dropDuplicates(["id"]), "marks"
     )
     buckets = marks.select("id", "n_shingles", "marks").mapInArrow(_bands, "bucket long, id long, n long")
-    buckets = staged(buckets, "buckets")
     heads = buckets.groupBy("bucket").agg(F.min(F.struct("id", "n")).alias("head"), F.count(F.lit(1)).alias("size"))
     heads = staged(heads.where("size > 1").select("bucket", "head"), "bucket-heads")
     shared = staged(buckets.join(heads, "bucket"), "shared-buckets")
     close = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * percent
+    pair = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
     star = shared.where(F.col("id") != F.col("head.id")).where(close(F.col("n"), F.col("head.n")))
-    star = star.select(F.col("head.id").alias("a"), F.col("id").alias("b")).distinct()
-    links = staged(_links(star, marks, base, words, percent), "confirmed")
+    links = staged(_links(star.select(*pair("head.id", "id")).distinct(), marks, base, words, percent), "confirmed")
     near = staged(components(links), "components")
 
-    apart = shared.select("bucket", "id", "n").join(near, "id", "left")
-    apart = apart.withColumn("component", F.coalesce("component", "id"))
-    counts = apart.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("c"))
-    mixed = counts.groupBy("bucket").agg(F.max_by("component", F.struct("c", "component")).alias("main"), F.count(F.lit(1)).alias("k"))
-    apart = staged(apart.join(mixed.where("k > 1").select("bucket", "main"), "bucket"), "apart")
-    odd = apart.where("component <> main").select("bucket", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"), "main")
-    rest = apart.select("bucket", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
-    cross = odd.join(rest, "bucket").where("c_a <> c_b").where(close(F.col("n_a"), F.col("n_b")))
-    cross = cross.where("a < b OR c_b = main").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    cross = cross.join(star, ["a", "b"], "left_anti")
-    late = staged(_links(cross, marks, base, words, percent), "late-links")
-    if not late.isEmpty():
-        near = staged(components(links.union(late)), "components")
+    mixed = _mixed(shared, near)
+    if not mixed.isEmpty():
+        sets = _sets(base, mixed.select("id"), words)
+        counts = cell_counts(sets)
+        middle = mixed.join(typical(sets, counts), "id").groupBy("bucket").agg(F.max_by(F.struct("id", "n", "component"), F.struct("typical", "id")).alias("m"))
+        star = mixed.join(middle, "bucket").where(F.col("component") != F.col("m.component")).where(close(F.col("n"), F.col("m.n")))
+        links = staged(links.union(_links(star.select(*pair("m.id", "id")).distinct(), marks, base, words, percent, sets)), "confirmed")
+        near = staged(components(links), "components")
+        apart = _mixed(mixed.select("bucket", "id", "n"), near)
+        sides = apart.groupBy("id", "component").agg(F.max(F.col("component") != F.col("main")).alias("odd"))
+        late = near_pairs(sets, staged(sides, "sides"), counts, percent)
+        late = staged(_links(late, marks, base, words, percent, sets), "late-links")
+        if not late.isEmpty():
+            near = staged(components(links.union(late)), "components")
 
     kinds = marks.select("set_a", "set_b", "id").join(near, "id", "left")
     kinds = kinds.select("set_a", "set_b", F.coalesce("component", "id").alias("component"))

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siltwatch.llm.bitmaps import bitmap, has
 from siltwatch.llm.common import staged
 from siltwatch.llm.quotient import blocks_of, merged, permute, restore, summed
 from siltwatch.llm.words import Texts, mix, slices, texts_of, words_of
@@ -52,22 +53,6 @@ def _places(ids: np.ndarray, lang: str) -> np.ndarray:
     return (out >> np.uint64(64 - MAP_BITS)).astype(np.int64)
 
 
-def _bitmap(grams: DataFrame) -> np.ndarray:
-    """The places of all n-grams of a table as bits, in the order of the places."""
-    place = F.col("place") + 1  # the functions count places from 1
-    bucket, bit = F.bitmap_bucket_number(place).alias("bucket"), F.bitmap_bit_position(place)
-    cells = grams.groupBy(bucket).agg(F.bitmap_construct_agg(bit).alias("bits")).collect()  # 2 ** MAP_BITS bits at most
-    out = np.zeros((1 << MAP_BITS) // 8, dtype=np.uint8)
-    for bucket_no, bits in cells:
-        at = (bucket_no - 1) * 4096
-        out[at : at + 4096] = np.frombuffer(bits, dtype=np.uint8)
-    return out
-
-
-def _has(bitmap: np.ndarray, places: np.ndarray) -> np.ndarray:
-    return (bitmap[places >> 3] >> (places & 7).astype(np.uint8)) & 1 == 1
-
-
 def _tokens(texts: Texts):
     """Words of a slice, and for each word whether the next one follows in the same piece."""
     breaks = _BREAK[texts.data]
@@ -163,9 +148,9 @@ def _count(lengths: tuple[int, ...], bits: int, salts: int, buffer: int, known:
                 if known is not None and len(words.hash):
                     if lengths[0] > 2:
                         pairs = np.stack([words.hash[:-1], words.hash[1:]], axis=1)
-                        follows[:-1] &= _has(known, _places(pairs, lang))
+                        follows[:-1] &= has(known, _places(pairs, lang))
                     else:
-                        good = _has(known, _places(words.hash[:, None], lang))
+                        good = has(known, _places(words.hash[:, None], lang))
                         follows[:-1] &= good[:-1] & good[1:]
                         if name_words:
                             ids, at = np.unique(words.hash[good], return_index=True)
@@ -249,11 +234,11 @@ def counts(docs: DataFrame, least: int = 100, longest: int = LONGEST, block_bits
     ones, _ = _counted(docs, (1,), least, block_bits)
     totals = ones.where("size(ids) = 0").groupBy("lang").agg(F.sum("f").alias("n"))
     ones = ones.where("size(ids) > 0")
-    pairs, words = _counted(docs, (2,), least, block_bits, _bitmap(ones), name_words=True)
+    pairs, words = _counted(docs, (2,), least, block_bits, bitmap(ones, "place", MAP_BITS), name_words=True)
     pairs = pairs.where("size(ids) > 0")
     grams = ones.unionByName(pairs)
     if longest > 2:
-        more, _ = _counted(docs, tuple(range(3, longest + 1)), least, block_bits, _bitmap(pairs))
+        more, _ = _counted(docs, tuple(range(3, longest + 1)), least, block_bits, bitmap(pairs, "place", MAP_BITS))
         grams = grams.unionByName(more.where("size(ids) > 0"))
     words = staged(words.distinct(), "words")
     twice = words.groupBy("id").count().where("count > 1")
