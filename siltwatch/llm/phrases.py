@@ -1,10 +1,11 @@
 """Collocations: phrases whose words keep together, per language.
 
-Texts are counted three times: words, pairs of frequent words, and phrases of three to
-five words all of whose pairs are frequent. A phrase that reaches the least count has
-only such parts, so nothing that counts is lost. What is frequent travels to the next
-pass as a bitmap of fixed size: a stray hit costs a counter, never a wrong result.
-Counters are counting quotient filters (``quotient``), merged block by block.
+Texts are counted in passes: words; pairs of frequent words, by shortened numbers whose
+sums can only be too high; the pairs that pass this; and phrases of three to five words
+all of whose pairs are frequent. A phrase that reaches the least count has only such
+parts, so nothing that counts is lost. What is frequent travels to the next pass as a
+bitmap of fixed size: a stray hit costs a counter, never a wrong result. Counters are
+counting quotient filters (``quotient``), merged block by block.
 
 A word's id is a 64-bit hash; no two words may share the id of a frequent one, which is
 checked on the words themselves.
@@ -28,9 +29,11 @@ from siltwatch.llm.words import Texts, mix, slices, texts_of, words_of
 LONGEST = 5
 MAP_BITS = 27
 """Bits of the number of a bitmap's places: 16 MB, whatever the input."""
-BUFFER = 400_000
+BUFFER = 200_000
 """Entries that a task gathers of a language and length before it packs them."""
 BLOCK_BYTES = 8 << 20
+SPARE_BITS = 8
+"""Bits of a shortened number beyond those that count all words."""
 ROUTE_BITS = 10
 """Blocks are told apart by so many bits at a time; more bits take one more merge."""
 WAYS = 64
@@ -53,6 +56,12 @@ def _places(ids: np.ndarray, lang: str) -> np.ndarray:
     return (out >> np.uint64(64 - MAP_BITS)).astype(np.int64)
 
 
+def _short_places(first: np.ndarray, cut: int, lang: str) -> np.ndarray:
+    """Place of shortened numbers (upper bits of ``first``) of a language in a bitmap."""
+    out = mix((first >> np.uint64(cut)) ^ (np.uint64(zlib.crc32(lang.encode())) << np.uint64(32)))
+    return (out >> np.uint64(64 - MAP_BITS)).astype(np.int64)
+
+
 def _tokens(texts: Texts):
     """Words of a slice, and for each word whether the next one follows in the same piece."""
     breaks = _BREAK[texts.data]
@@ -76,12 +85,15 @@ def _grams(hashes: np.ndarray, follows: np.ndarray, n: int) -> np.ndarray:
 class _Gatherer:
     """Counts of a task, packed as filters whenever a buffer is full."""
 
-    def __init__(self, bits: int, salts: int, buffer: int):
-        self.bits, self.salts, self.buffer, self.parts, self.held, self.packed = bits, salts, buffer, {}, {}, 0
+    def __init__(self, bits: int, salts: int, buffer: int, cut: int):
+        self.bits, self.salts, self.buffer, self.cut, self.parts, self.held, self.packed = bits, salts, buffer, cut, {}, {}, 0
 
     def add(self, lang: str, n: int, grams: np.ndarray) -> Iterator[pa.RecordBatch]:
         if len(grams):
-            entries = summed(permute(grams), np.ones(len(grams), dtype=np.int64))
+            spread = permute(grams)
+            if self.cut:
+                spread = spread[:, :1] >> np.uint64(self.cut) << np.uint64(self.cut)
+            entries = summed(spread, np.ones(len(grams), dtype=np.int64))
             self.parts.setdefault((lang, n), []).append(entries)
             self.held[lang, n] = self.held.get((lang, n), 0) + len(entries[0])
             if self.held[lang, n] > self.buffer:
@@ -92,7 +104,8 @@ class _Gatherer:
         self.held[lang, n] = 0
         entries = summed(np.concatenate([s for s, _ in parts]), np.concatenate([c for _, c in parts]))
         self.packed += 1
-        yield _filter_rows(lang, n, blocks_of(*entries, self.bits), zlib.crc32(f"{lang}/{n}/{self.packed}".encode()) % self.salts)
+        salt = zlib.crc32(f"{lang}/{n}/{self.packed}".encode()) % self.salts
+        yield _filter_rows(lang, n, blocks_of(*entries, self.bits, self.cut), salt)
 
     def rest(self) -> Iterator[pa.RecordBatch]:
         for lang, n in list(self.parts):
@@ -136,31 +149,47 @@ def _by_language(part: pa.RecordBatch) -> Iterator[tuple[str, pa.RecordBatch]]:
         yield lang, part.filter(pa.array(codes == code))
 
 
-def _count(lengths: tuple[int, ...], bits: int, salts: int, buffer: int, known: np.ndarray | None, name_words: bool):
-    """Filters of the n-grams of some lengths whose words (or pairs, from three words on) are in the bitmap."""
+def _namer():
+    """Rows (id, word) of words a task has not named yet, as far as it remembers."""
+    named = np.zeros(0, dtype=np.uint64)
+
+    def rows(texts: Texts, words, good: np.ndarray) -> Iterator[pa.RecordBatch]:
+        nonlocal named
+        ids, at = np.unique(words.hash[good], return_index=True)
+        new = ~np.isin(ids, named)
+        if new.any():
+            chosen = np.flatnonzero(good)[at[new]]
+            lower = _LOWER[texts.data]
+            cuts = zip(words.start[chosen].tolist(), words.end[chosen].tolist(), strict=True)
+            yield _word_rows(ids[new], [lower[a:b].tobytes() for a, b in cuts])
+            named = np.union1d(named, ids[new]) if len(named) < 1_000_000 else ids[new]
+
+    return rows
+
+
+def _count(lengths: tuple[int, ...], by: str, known: np.ndarray | None, bits: int, salts: int, buffer: int, cut: int, short: int):
+    """Filters of the n-grams of some lengths.
+
+    ``known`` is a bitmap of words (``by="words"``: pairs of them count, and they are
+    named), of shortened pairs (``by="short"``) or of pairs (``by="pairs"``).
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gathered, named = _Gatherer(bits, salts, buffer), np.zeros(0, dtype=np.uint64)
+        gathered, name = _Gatherer(bits, salts, buffer, cut), _namer()
         for part in slices(batches):
             for lang, rows in _by_language(part):
                 texts = texts_of(rows.column("text"))
                 words, follows = _tokens(texts)
-                if known is not None and len(words.hash):
-                    if lengths[0] > 2:
-                        pairs = np.stack([words.hash[:-1], words.hash[1:]], axis=1)
-                        follows[:-1] &= has(known, _places(pairs, lang))
-                    else:
-                        good = has(known, _places(words.hash[:, None], lang))
-                        follows[:-1] &= good[:-1] & good[1:]
-                        if name_words:
-                            ids, at = np.unique(words.hash[good], return_index=True)
-                            new = ~np.isin(ids, named)
-                            if new.any():
-                                chosen = np.flatnonzero(good)[at[new]]
-                                lower = _LOWER[texts.data]
-                                cuts = zip(words.start[chosen].tolist(), words.end[chosen].tolist(), strict=True)
-                                yield _word_rows(ids[new], [lower[a:b].tobytes() for a, b in cuts])
-                                named = np.union1d(named, ids[new]) if len(named) < 1_000_000 else ids[new]
+                if not len(words.hash):
+                    continue
+                if by == "words":
+                    good = has(known, _places(words.hash[:, None], lang))
+                    follows[:-1] &= good[:-1] & good[1:]
+                    yield from name(texts, words, good)
+                elif by:
+                    pairs = np.stack([words.hash[:-1], words.hash[1:]], axis=1)
+                    places = _places(pairs, lang) if by == "pairs" else _short_places(permute(pairs)[:, 0], short, lang)
+                    follows[:-1] &= has(known, places)
                 for n in lengths:
                     yield from gathered.add(lang, n, _grams(words.hash, follows, n))
         yield from gathered.rest()
@@ -168,25 +197,29 @@ def _count(lengths: tuple[int, ...], bits: int, salts: int, buffer: int, known:
     return run
 
 
-def _merge(bits: int, finer: int):
+def _merge(finer: int, cut: int):
     """Filters of one block made finer ones."""
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         entries = merged(rows.column("filter").to_pylist(), key[2].as_py())
         salt = key[3].as_py()
-        return pa.Table.from_batches([_filter_rows(key[0].as_py(), key[1].as_py(), blocks_of(*entries, finer), salt)])
+        return pa.Table.from_batches([_filter_rows(key[0].as_py(), key[1].as_py(), blocks_of(*entries, finer, cut), salt)])
 
     return run
 
 
-def _frequent(least: int):
-    """Entries of one block that reach the least count, and the sum over the block (no ids)."""
+def _frequent(least: int, cut: int):
+    """Entries of one block that reach the least count, and the sum over the block (no ids).
+
+    Shortened numbers have a place only.
+    """
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         lang = key[0].as_py()
         spread, counts = merged(rows.column("filter").to_pylist(), key[2].as_py())
         often = counts >= least
         ids = restore(spread[often])
+        places = _short_places(ids[:, 0], cut, lang) if cut else _places(ids, lang)
         k = len(ids)
         lists = pa.ListArray.from_arrays(pa.array(np.arange(k + 1, dtype=np.int32) * ids.shape[1]), pa.array(ids.ravel().view(np.int64)))
         lists = pa.concat_arrays([lists, pa.array([[]], pa.list_(pa.int64()))])
@@ -195,33 +228,33 @@ def _frequent(least: int):
                 "lang": pa.array([lang] * (k + 1), pa.string()),
                 "ids": lists,
                 "f": pa.array([*counts[often].tolist(), int(counts.sum())], pa.int64()),
-                "place": pa.array([*_places(ids, lang).tolist(), -1], pa.int64()),
+                "place": pa.array([*places.tolist(), -1], pa.int64()),
             }
         )
 
     return run
 
 
-def _counted(docs: DataFrame, lengths: tuple[int, ...], least: int, bits: int, known: np.ndarray | None = None, name_words: bool = False):
-    """Frequent n-grams of some lengths (and totals by block), and the words seen."""
+def _counted(docs: DataFrame, lengths: tuple[int, ...], least: int, bits: int, by: str = "", known: np.ndarray | None = None, cut: int = 0, short: int = 0):
+    """Frequent n-grams of some lengths (and totals by block), and the words named on the way."""
     spark = docs.sparkSession
     route = [*range(ROUTE_BITS, bits, ROUTE_BITS), bits]
     salts = 1 if len(route) == 1 else max(1, (1 << bits) // WAYS)
     shared = spark.sparkContext.broadcast(known) if known is not None else None  # 2 ** MAP_BITS bits
-    first_salts, buffer = salts, BUFFER
+    settings = (route[0], salts, BUFFER, cut, short)
 
     def count(batches):
-        return _count(lengths, route[0], first_salts, buffer, shared.value if shared else None, name_words)(batches)
+        return _count(lengths, by, shared.value if shared else None, *settings)(batches)
 
     made = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text").mapInArrow(count, FILTERS)
-    if name_words:  # two readers
+    if by == "words":  # two readers
         made = staged(made, "filters")
     filters = made.where("n > 0")
     for now, finer in zip(route, route[1:], strict=False):
-        filters = filters.groupBy("lang", "n", "block", "salt").applyInArrow(_merge(now, finer), FILTERS)
+        filters = filters.groupBy("lang", "n", "block", "salt").applyInArrow(_merge(finer, cut), FILTERS)
         salts = max(1, salts >> (finer - now))
         filters = filters.withColumn("salt", F.expr(f"cast(salt % {salts} AS int)"))
-    grams = staged(filters.groupBy("lang", "n", "block").applyInArrow(_frequent(least), GRAMS), "grams")
+    grams = staged(filters.groupBy("lang", "n", "block").applyInArrow(_frequent(least, cut), GRAMS), "grams")
     return grams, made.where("n = 0").select("id", "word")
 
 
@@ -232,13 +265,17 @@ def counts(docs: DataFrame, least: int = 100, longest: int = LONGEST, block_bits
         size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         block_bits = min(30, max(4, (size // BLOCK_BYTES).bit_length()))
     ones, _ = _counted(docs, (1,), least, block_bits)
-    totals = ones.where("size(ids) = 0").groupBy("lang").agg(F.sum("f").alias("n"))
+    totals = staged(ones.where("size(ids) = 0").groupBy("lang").agg(F.sum("f").alias("n")), "totals")
+    tokens = totals.agg(F.max("n")).first()[0] or 0
+    cut = max(1, 64 - max(tokens.bit_length() + SPARE_BITS, block_bits + 8))
     ones = ones.where("size(ids) > 0")
-    pairs, words = _counted(docs, (2,), least, block_bits, bitmap(ones, "place", MAP_BITS), name_words=True)
+    likely, words = _counted(docs, (2,), least, block_bits, "words", bitmap(ones, "place", MAP_BITS), cut=cut)
+    likely = bitmap(likely.where("size(ids) > 0"), "place", MAP_BITS)
+    pairs, _ = _counted(docs, (2,), least, block_bits, "short", likely, short=cut)
     pairs = pairs.where("size(ids) > 0")
     grams = ones.unionByName(pairs)
     if longest > 2:
-        more, _ = _counted(docs, tuple(range(3, longest + 1)), least, block_bits, bitmap(pairs, "place", MAP_BITS))
+        more, _ = _counted(docs, tuple(range(3, longest + 1)), least, block_bits, "pairs", bitmap(pairs, "place", MAP_BITS))
         grams = grams.unionByName(more.where("size(ids) > 0"))
     words = staged(words.distinct(), "words")
     twice = words.groupBy("id").count().where("count > 1")

@@ -3,7 +3,8 @@
 An n-gram of ``n`` word ids is a number of ``64 * n`` bits. An invertible permutation
 spreads such numbers evenly; its upper bits choose a block, the next ones are the
 quotient, and *all* others are stored as the remainder. So a filter is lossless: every
-n-gram is read back exactly. A filter keeps one bit per quotient that occurs, one bit
+n-gram is read back exactly. (With ``cut`` the lowest bits are left out, which makes a
+smaller filter of sums over n-grams alike; such sums can only be too high.) A filter keeps one bit per quotient that occurs, one bit
 per slot that ends a run, the sorted remainders, and counters as wide as the largest
 needs. Sorted filters of the same block merge by adding up equal entries.
 """
@@ -16,7 +17,7 @@ import numpy as np
 
 from siltwatch.llm.words import mix
 
-_HEAD = struct.Struct("<BBBBQ")
+_HEAD = struct.Struct("<BBBBBQ")
 _KEYS = np.random.default_rng(11).integers(1, 2**63, (3, 8), dtype=np.uint64)
 
 
@@ -67,27 +68,27 @@ def _widen(data: bytes, count: int, width: int) -> np.ndarray:
     return out.view("<u8").ravel().astype(np.uint64)
 
 
-def pack(spread: np.ndarray, counts: np.ndarray, block_bits: int) -> bytes:
-    """The filter of sorted distinct entries that share their upper ``block_bits`` bits."""
+def pack(spread: np.ndarray, counts: np.ndarray, block_bits: int, cut: int = 0) -> bytes:
+    """The filter of sorted distinct entries that share their upper ``block_bits`` bits; ``cut`` low bits are zero."""
     m, n = spread.shape
-    bits = max(1, int(m - 1).bit_length())
-    low = 64 - block_bits - bits
-    first = spread[:, 0]
+    bits = max(1, min(int(m - 1).bit_length(), 63 - block_bits - cut))
+    low = 64 - block_bits - bits - cut
+    first = spread[:, 0] >> np.uint64(cut)
     quotient = ((first >> np.uint64(low)) & np.uint64((1 << bits) - 1)).astype(np.int64)
     occupied = np.zeros(1 << bits, dtype=bool)
     occupied[quotient] = True
     run_end = np.append(quotient[1:] != quotient[:-1], True)
     width, wide = (low + 7) // 8, max(1, (int(counts.max()).bit_length() + 7) // 8)
     remainder = first & np.uint64((1 << low) - 1)
-    parts = [_HEAD.pack(n, block_bits, bits, wide, m), np.packbits(occupied).tobytes(), np.packbits(run_end).tobytes(), _narrow(remainder, width)]
+    parts = [_HEAD.pack(n, block_bits, bits, wide, cut, m), np.packbits(occupied).tobytes(), np.packbits(run_end).tobytes(), _narrow(remainder, width)]
     parts += [np.ascontiguousarray(spread[:, i]).astype("<u8").tobytes() for i in range(1, n)]
     return b"".join([*parts, _narrow(counts.astype(np.uint64), wide)])
 
 
 def unpack(data: bytes, block: int) -> tuple[np.ndarray, np.ndarray]:
     """Entries of a filter and their counts, in order."""
-    n, block_bits, bits, wide, m = _HEAD.unpack_from(data)
-    low = 64 - block_bits - bits
+    n, block_bits, bits, wide, cut, m = _HEAD.unpack_from(data)
+    low = 64 - block_bits - bits - cut
     width, at = (low + 7) // 8, _HEAD.size
 
     def take(size: int) -> bytes:
@@ -100,19 +101,20 @@ def unpack(data: bytes, block: int) -> tuple[np.ndarray, np.ndarray]:
     run = np.cumsum(run_end) - run_end
     spread = np.empty((m, n), dtype=np.uint64)
     upper = np.uint64(block << (64 - block_bits)) if block_bits else np.uint64(0)
-    spread[:, 0] = upper | (occupied[run].astype(np.uint64) << np.uint64(low)) | _widen(take(m * width), m, width)
+    lower = (occupied[run].astype(np.uint64) << np.uint64(low)) | _widen(take(m * width), m, width)
+    spread[:, 0] = upper | (lower << np.uint64(cut))
     for i in range(1, n):
         spread[:, i] = np.frombuffer(take(8 * m), dtype="<u8")
     return spread, _widen(take(m * wide), m, wide).astype(np.int64)
 
 
-def blocks_of(spread: np.ndarray, counts: np.ndarray, block_bits: int) -> list[tuple[int, bytes]]:
+def blocks_of(spread: np.ndarray, counts: np.ndarray, block_bits: int, cut: int = 0) -> list[tuple[int, bytes]]:
     """Filters of sorted distinct entries, one per block that occurs."""
     if not len(spread):
         return []
     block = (spread[:, 0] >> np.uint64(64 - block_bits)).astype(np.int64) if block_bits else np.zeros(len(spread), np.int64)
     cuts = [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1).tolist(), len(block)]
-    return [(int(block[a]), pack(spread[a:b], counts[a:b], block_bits)) for a, b in zip(cuts, cuts[1:], strict=False)]
+    return [(int(block[a]), pack(spread[a:b], counts[a:b], block_bits, cut)) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
 def merged(filters: list[bytes], block: int) -> tuple[np.ndarray, np.ndarray]:

@@ -32,6 +32,22 @@ def test_filters_lose_nothing(n):
             assert got == {k: 300 * v for k, v in Counter(map(tuple, grams.tolist())).items()}
 
 
+@pytest.mark.parametrize("cut", [1, 28, 50])
+def test_short_filters_sum_numbers_alike(cut):
+    rng = np.random.default_rng(cut)
+    first = rng.integers(0, 2**63, 2000, dtype=np.uint64) >> np.uint64(cut) << np.uint64(cut)
+    first[::3] = first[0]
+    entries = quotient.summed(first[:, None], np.arange(2000))
+    got = {}
+    for block, data in quotient.blocks_of(*entries, 4, cut):
+        spread, counts = quotient.unpack(data, block)
+        got.update(zip(spread[:, 0].tolist(), counts.tolist(), strict=True))
+    want = Counter()
+    for x, c in zip(first.tolist(), range(2000), strict=True):
+        want[x] += c
+    assert got == want
+
+
 def test_entries_that_share_their_first_word_stay_apart():
     spread, counts = quotient.summed(np.array([[5, 2], [5, 1], [5, 2], [4, 9]], np.uint64), np.array([1, 1, 1, 7]))
     assert spread.tolist() == [[4, 9], [5, 1], [5, 2]] and counts.tolist() == [7, 1, 2]
