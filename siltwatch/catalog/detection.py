@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltwatch.catalog.ingest import BATCHES, SPEC
-from siltwatch.catalog.inspection import INSPECT
+from siltwatch.catalog.inspection import INSPECT, in_pieces
 from siltwatch.catalog.registry import query
 from siltwatch.catalog.views import DNS, TUNNEL, TUNNEL_LOG, domains, entropy, series, verdicts, with_
 from siltwatch.functions import domains as D
@@ -18,7 +21,10 @@ from siltwatch.operators import routing
 from siltwatch.operators import tunnel as T
 from siltwatch.operators.inspection import suspicious_lines
 from siltwatch.plans import flow
+from siltwatch.session import checkpoint_root
 from siltwatch.sources import testbed as tb
+from siltwatch.sources.staging import staged
+from siltwatch.streaming.state import KeyedState
 
 NAMES = with_(DNS, domains())
 AT = dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc)
@@ -142,6 +148,22 @@ def window_frame(spark, sf):
     return windows(spark, sf).select("logline_id", ids.alias("window_ids"))
 
 
+@query("f10_resumed_windows", WINDOWS + " SELECT logline_id, arrival, array_to_string(ids, ',') AS window_ids FROM windows")
+def resumed_windows(spark, sf):
+    """Windows over micro-batches, each with the last queries of those before it, are those of one run."""
+    rows = staged(tb.tunnel_log(spark, sf).withColumn("second", F.unix_seconds("ts")), "tunnel-log")
+    state = KeyedState(f"{checkpoint_root(spark)}/queues-{uuid.uuid4().hex}", T.KEYS, every=2)
+    out = []
+    for k, some in enumerate(in_pieces(rows, "second")):
+        before = state.before(spark, k)
+        arrived = staged(T.arrivals(some.drop("second"), slot_seconds=86_400, before=before), "arrivals")
+        windows = T.windows_of(arrived, chunk=100, before=before).select("logline_id", "arrival", "request")
+        out.append(staged(windows, "windows"))
+        state.put(T.tunnel_state(arrived, before=before), k)
+    ids = F.array_join(F.transform("request", lambda m: m["logline_id"]), ",")
+    return reduce(DataFrame.unionByName, out).select("logline_id", "arrival", ids.alias("window_ids"))
+
+
 _JARO = ("jaro", "jaro_reversed", "jaro_winkler", "jaro_winkler_reversed")
 
 

@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltwatch.catalog.ingest import BATCHES, SPEC
 from siltwatch.catalog.registry import query
 from siltwatch.catalog.views import DNS, series, verdicts, with_
 from siltwatch.operators import inspection as I
+from siltwatch.operators.runs import per_step
 from siltwatch.operators.series import StepSpec, batch_series, dense_axis, step_totals
 from siltwatch.plans import flow
+from siltwatch.session import checkpoint_root
 from siltwatch.sources import testbed as tb
+from siltwatch.sources.staging import staged
+from siltwatch.streaming.state import KeyedState
 
 STEP = StepSpec(30, "m")
 COMPAT = StepSpec(30, "m", "compat")
@@ -27,7 +35,7 @@ def messages(spark, sf, method="no_relevance_check"):
 def scored(spark, sf, **spec):
     rows = messages(spark, sf)
     merged = flow.InspectSpec(**{**INSPECT.__dict__, **spec})
-    return flow.scored_steps(rows, flow.message_bounds(rows, merged.step), merged)
+    return per_step(flow.scored_runs(rows, flow.message_bounds(rows, merged.step), merged))
 
 
 def _series(spark, sf, step):
@@ -129,6 +137,31 @@ def suspicious(spark, sf):
     return flow.inspect(messages(spark, sf), INSPECT).select("batch_id", "n_steps", "n_anomalies", "is_suspicious")
 
 
+PIECES = 5
+
+
+def in_pieces(rows, number):
+    """Rows cut into micro-batches by a number, from low to high."""
+    low, high = rows.agg(F.min(number), F.max(number)).first()
+    for k in range(PIECES if low is not None else 0):
+        place = F.floor((F.col(number) - low) * PIECES / (high - low + 1))
+        yield rows.where(place == k)
+
+
+@query("e12_resumed_scores", ALL + " SELECT batch_id, step, round(z, 6) AS score FROM scored")
+def resumed_scores(spark, sf):
+    """Scores over micro-batches, each with the scorers' state of those before it, are those of one run."""
+    rows = messages(spark, sf)
+    state = KeyedState(f"{checkpoint_root(spark)}/scorers-{uuid.uuid4().hex}", flow.KEYS, every=2)
+    out = []
+    for k, some in enumerate(in_pieces(rows, "flush_no")):
+        before = state.before(spark, k)
+        out.append(staged(flow.scored_runs(some, flow.message_bounds(some, INSPECT.step), INSPECT, before), "runs"))
+        state.put(flow.scorer_state(some, INSPECT, before), k)
+    steps = per_step(reduce(DataFrame.unionByName, out))
+    return steps.select("batch_id", "step", F.round("score", 6).alias("score"))
+
+
 @query("e9_no_inspector", ALL + " SELECT DISTINCT batch_id, TRUE AS is_suspicious FROM messages")
 def no_inspector(spark, sf):
     return flow.inspect(messages(spark, sf), flow.InspectSpec(inspector="NoInspector", step=STEP))

@@ -22,6 +22,8 @@ WARNING_COLUMNS = (
 
 # Detector plugins: lines -> warnings.
 DETECTORS: dict[str, Callable[..., DataFrame]] = {}
+# Detectors whose windows go on over micro-batches.
+RESUMED: dict[str, type] = {}
 
 
 def detector(name: str):
@@ -80,13 +82,15 @@ def binary_warnings(
 
 
 @detector("DGADetector")
-def dga_warnings(lines: DataFrame, name: str = "dga", threshold: float = 0.5, score: Callable | None = None) -> DataFrame:
+def dga_warnings(
+    lines: DataFrame, name: str = "dga", threshold: float = 0.5, score: Callable | None = None, sha256: str = ""
+) -> DataFrame:
     """Score every line's domain; ``score`` adds ``probability`` (default: entropy rule)."""
     if score is None:
         scored = lines.withColumn("probability", entropy_probability(F.regexp_replace("domain_name", r"^\.+|\.+$", "")))
     else:
         scored = score(lines)
-    return binary_warnings(scored, name, threshold)
+    return binary_warnings(scored, name, threshold, sha256)
 
 
 def class_decision(labels: Sequence[str], probabilities: Column, threshold: float) -> dict[str, Column]:

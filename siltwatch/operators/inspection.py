@@ -22,10 +22,14 @@ def inspector(name: str):
 
 
 def batch_verdicts(scored: DataFrame, score_threshold: float = 0.5, anomaly_threshold: float = 0.1) -> DataFrame:
-    """``is_suspicious`` per batch: share of anomalous steps above the threshold."""
+    """``is_suspicious`` per batch: share of anomalous steps above the threshold.
+
+    Rows are steps, or runs of steps if they have a ``length``.
+    """
+    steps = F.col("length") if "length" in scored.columns else F.lit(1).cast("bigint")
+    anomalous = F.when(F.coalesce("score", F.lit(0.0)) >= score_threshold, steps).otherwise(F.lit(0))
     return scored.groupBy("batch_id").agg(
-        F.count(F.lit(1)).alias("n_steps"),
-        F.count_if(F.coalesce("score", F.lit(0.0)) >= score_threshold).alias("n_anomalies"),
+        F.sum(steps).alias("n_steps"), F.sum(anomalous).cast("bigint").alias("n_anomalies")
     ).withColumn("is_suspicious", F.col("n_anomalies") / F.col("n_steps") > anomaly_threshold)
 
 

@@ -55,11 +55,12 @@ def size_value(col: Column) -> Column:
     return F.replace(col, F.lit("b"), F.lit("")).try_cast("bigint")
 
 
-def dense_axis(bounds: DataFrame, spec: StepSpec) -> DataFrame:
-    """One row per batch and step; the axis is built per batch."""
-    return bounds.select(
-        "batch_id", F.explode(F.sequence(F.lit(0).cast("bigint"), step_count(spec) - 1)).alias("step")
-    )
+def dense_axis(bounds: DataFrame, spec: StepSpec, piece: int = 4096) -> DataFrame:
+    """One row per batch and step, built in pieces: no array holds a whole axis."""
+    last = step_count(spec) - 1
+    pieces = bounds.select("batch_id", last.alias("last"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(last / piece))).alias("k"))
+    inside = F.sequence(F.col("k") * piece, F.least(F.col("last"), F.col("k") * piece + (piece - 1)))
+    return pieces.select("batch_id", F.explode(inside).alias("step"))
 
 
 def step_totals(messages: DataFrame, spec: StepSpec) -> DataFrame:

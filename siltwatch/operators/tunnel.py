@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from siltwatch.functions.domains import with_domain_parts
 from siltwatch.functions.similarity import METRICS, window_similarity
-from siltwatch.operators.detection import REQUEST, binary_warnings, detector, request_entry
+from siltwatch.operators.detection import REQUEST, RESUMED, binary_warnings, detector, request_entry
 from siltwatch.operators.ranking import keyed_rank, time_slot, trailing_frames
 
 # Queue length, and the fewest queries that are scored.
@@ -17,12 +17,73 @@ WINDOW = 10
 FEWEST = 3
 
 
+KEYS = ("secondleveldomain",)
+ORDER = ("ts", "logline_id")
+
+
+def arrivals(
+    lines: DataFrame,
+    keys: Sequence[str] = KEYS,
+    order: Sequence[str] = ORDER,
+    slot_seconds: int = 60,
+    before: DataFrame | None = None,
+) -> DataFrame:
+    """Lines with their ``arrival`` number per key, and the ``entry`` a window keeps of them.
+
+    A popular label is numbered slot by slot. ``before`` (keys, arrived, tail) counts
+    what earlier micro-batches brought.
+    """
+    split = with_domain_parts(lines) if "secondleveldomain" not in lines.columns else lines
+    ranked = keyed_rank(split, list(keys), time_slot(F.col(order[0]), slot_seconds), [F.col(c) for c in order], "arrival")
+    if before is not None:
+        ranked = ranked.join(before.select(*keys, "arrived"), list(keys), "left")
+        ranked = ranked.withColumn("arrival", F.col("arrival") + F.coalesce("arrived", F.lit(0))).drop("arrived")
+    request = request_entry(lines).cast(REQUEST.removeprefix("array<").removesuffix(">"))
+    return ranked.withColumn("entry", F.struct(request.alias("request"), F.col("thirdleveldomain").alias("sub")))
+
+
+def _with_tail(arrived: DataFrame, keys: Sequence[str], before: DataFrame | None) -> DataFrame:
+    """Arrivals and, marked, the last ones of earlier micro-batches."""
+    rows = arrived.withColumn("_old", F.lit(False))
+    if before is None:
+        return rows
+    old = before.select(*keys, F.explode("tail").alias("_t")).select(*keys, "_t.arrival", "_t.entry", F.lit(True).alias("_old"))
+    return rows.unionByName(old, allowMissingColumns=True)
+
+
+def windows_of(
+    arrived: DataFrame,
+    keys: Sequence[str] = KEYS,
+    size: int = WINDOW,
+    fewest: int = FEWEST,
+    chunk: int = 20_000,
+    before: DataFrame | None = None,
+) -> DataFrame:
+    """The last ``size`` queries of the key at every arrival, framed chunk by chunk."""
+    rows = _with_tail(arrived, keys, before)
+    framed = trailing_frames(rows, list(keys), "arrival", lambda over: {"_frame": over(F.collect_list("entry"))}, size, chunk)
+    return (
+        framed.filter(~F.col("_old") & (F.size("_frame") >= fewest))
+        .withColumn("request", F.transform("_frame", lambda e: e["request"]).cast(REQUEST))
+        .withColumn("subdomains", F.transform("_frame", lambda e: e["sub"]))
+        .drop("_frame", "_old", "entry")
+    )
+
+
+def tunnel_state(arrived: DataFrame, keys: Sequence[str] = KEYS, size: int = WINDOW, before: DataFrame | None = None) -> DataFrame:
+    """State (keys, arrived, tail) for the next micro-batch, of the keys that got lines; a tail has ``size`` - 1 entries."""
+    ends = arrived.groupBy(*keys).agg(F.max("arrival").alias("arrived"))
+    rows = _with_tail(arrived, keys, before).select(*keys, "arrival", "entry").join(ends, list(keys))
+    last = rows.where(F.col("arrival") > F.col("arrived") - (size - 1))
+    return last.groupBy(*keys, "arrived").agg(F.array_sort(F.collect_list(F.struct("arrival", "entry"))).alias("tail"))
+
+
 def tunnel_windows(
     lines: DataFrame,
-    keys: Sequence[str] = ("secondleveldomain",),
+    keys: Sequence[str] = KEYS,
     size: int = WINDOW,
     fewest: int = FEWEST,
-    order: Sequence[str] = ("ts", "logline_id"),
+    order: Sequence[str] = ORDER,
     slot_seconds: int = 60,
     chunk: int = 20_000,
 ) -> DataFrame:
@@ -31,17 +92,7 @@ def tunnel_windows(
     The key is the second-level label alone; add ``src_ip`` to keep clients
     apart. A popular label is numbered slot by slot and framed chunk by chunk.
     """
-    split = with_domain_parts(lines) if "secondleveldomain" not in lines.columns else lines
-    slot = time_slot(F.col(order[0]), slot_seconds)
-    ranked = keyed_rank(split, list(keys), slot, [F.col(c) for c in order], "arrival")
-    entry = F.struct(request_entry(lines).alias("request"), F.col("thirdleveldomain").alias("sub"))
-    framed = trailing_frames(ranked, list(keys), "arrival", lambda over: {"_frame": over(F.collect_list(entry))}, size, chunk)
-    return (
-        framed.filter(F.size("_frame") >= fewest)
-        .withColumn("request", F.transform("_frame", lambda e: e["request"]).cast(REQUEST))
-        .withColumn("subdomains", F.transform("_frame", lambda e: e["sub"]))
-        .drop("_frame")
-    )
+    return windows_of(arrivals(lines, keys, order, slot_seconds), keys, size, fewest, chunk)
 
 
 def with_similarity(windows: DataFrame, subdomains: str = "subdomains") -> DataFrame:
@@ -71,9 +122,28 @@ def from_requests(warnings: DataFrame) -> DataFrame:
     ).select("suspicious_batch_id", "src_ip", *CHAINED_ORDER, "m.*")
 
 
+def _warn(windows: DataFrame, name: str, threshold: float, score, sha256: str) -> DataFrame:
+    windows = with_similarity(windows)
+    scored = score(windows) if score else windows.withColumn("probability", F.lit(1.0) - F.col("jaro"))
+    return binary_warnings(scored, name, threshold, sha256, request=F.col("request"))
+
+
 @detector("TunnelDetector")
-def tunnel_warnings(lines: DataFrame, name: str = "tunnel", threshold: float = 0.5, score=None) -> DataFrame:
+def tunnel_warnings(lines: DataFrame, name: str = "tunnel", threshold: float = 0.5, score=None, sha256: str = "") -> DataFrame:
     """Warn per window; the warning keeps a snapshot of the whole window."""
-    windows = with_similarity(tunnel_windows(lines))
-    scored = score(windows) if score else windows.withColumn("probability", F.lit(1.0) - F.col("jaro"))
-    return binary_warnings(scored, name, threshold, request=F.col("request"))
+    return _warn(tunnel_windows(lines), name, threshold, score, sha256)
+
+
+class TunnelResumed:
+    """The same over micro-batches: number the lines, warn, and keep the last queries of every label."""
+
+    keys = KEYS
+    arrivals = staticmethod(arrivals)
+    state = staticmethod(tunnel_state)
+
+    @staticmethod
+    def warnings(arrived: DataFrame, before: DataFrame | None, name: str = "tunnel", threshold: float = 0.5, score=None, sha256: str = "") -> DataFrame:
+        return _warn(windows_of(arrived, before=before), name, threshold, score, sha256)
+
+
+RESUMED["TunnelDetector"] = TunnelResumed

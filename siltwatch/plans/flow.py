@@ -13,8 +13,9 @@ from siltwatch.operators.batching import BatchSpec, assign_batches, carry_over
 from siltwatch.operators.detection import DETECTORS
 from siltwatch.operators.filtering import keep_relevant
 from siltwatch.operators.inspection import INSPECTORS, batch_verdicts, inspector, suspicious_lines
-from siltwatch.operators.scorers import check_models, score_series, with_positions
-from siltwatch.operators.series import StepSpec, batch_series, step_count
+from siltwatch.operators import runs as R
+from siltwatch.operators.scorers import check_models
+from siltwatch.operators.series import StepSpec, step_count, step_totals
 from siltwatch.sources.staging import staged
 
 
@@ -50,25 +51,48 @@ def message_bounds(messages: DataFrame, step: StepSpec) -> DataFrame:
     )
 
 
-def scored_steps(messages: DataFrame, bounds: DataFrame, spec: InspectSpec) -> DataFrame:
-    """Every step of every batch with its anomaly score."""
-    series = batch_series(messages, bounds, spec.step)
+KEYS = ("subnet_id",)
+
+
+def _placed(messages: DataFrame, bounds: DataFrame, spec: InspectSpec, before: DataFrame | None):
+    """(points, spans) of the batches, after what earlier micro-batches left."""
     slot = F.floor(F.col("flush_no") / 100).cast("bigint")
-    positioned = with_positions(series, bounds, ["subnet_id"], ["flush_no", "part"], slot)
-    return score_series(positioned, ["subnet_id"], spec.mode, spec.models, spec.ensemble, spec.window)
+    span = R.spans(bounds, KEYS, ["flush_no", "part"], slot, before)
+    return R.placed_points(step_totals(messages, spec.step), span, KEYS), span
+
+
+def scored_runs(messages: DataFrame, bounds: DataFrame, spec: InspectSpec, before: DataFrame | None = None) -> DataFrame:
+    """Runs of steps of every batch with their anomaly score."""
+    points, span = _placed(messages, bounds, spec, before)
+    return R.scored_runs(points, span, KEYS, spec.mode, spec.models, spec.ensemble, spec.window, before)
+
+
+def scorer_state(messages: DataFrame, spec: InspectSpec, before: DataFrame | None = None) -> DataFrame:
+    """What the scorers of the touched subnets need for the next micro-batch."""
+    points, span = _placed(messages, message_bounds(messages, spec.step), spec, before)
+    return R.resumed_state(points, span, KEYS, spec.window, before)
 
 
 @inspector("SeriesInspector")
-def inspect_series(messages: DataFrame, bounds: DataFrame, spec: InspectSpec) -> DataFrame:
+def inspect_series(messages: DataFrame, bounds: DataFrame, spec: InspectSpec, before: DataFrame | None = None) -> DataFrame:
     check_models(spec.mode, spec.models, spec.ensemble)
-    return batch_verdicts(scored_steps(messages, bounds, spec), spec.score_threshold, spec.anomaly_threshold)
+    return batch_verdicts(scored_runs(messages, bounds, spec, before), spec.score_threshold, spec.anomaly_threshold)
+
+
+inspect_series.resumes = True
+
+
+def resumes(spec: InspectSpec) -> bool:
+    """Whether the inspector goes on where the last micro-batch ended."""
+    return getattr(INSPECTORS.get(spec.inspector), "resumes", False)
 
 
-def inspect(messages: DataFrame, spec: InspectSpec) -> DataFrame:
-    """Verdict per batch from the configured inspector."""
+def inspect(messages: DataFrame, spec: InspectSpec, before: DataFrame | None = None) -> DataFrame:
+    """Verdict per batch from the configured inspector; ``before`` is the scorers' state so far."""
     if spec.inspector not in INSPECTORS:
         raise NotImplementedError(f"inspector {spec.inspector!r} is not registered")
-    return INSPECTORS[spec.inspector](messages, message_bounds(messages, spec.step), spec=spec)
+    state = {"before": before} if before is not None and resumes(spec) else {}
+    return INSPECTORS[spec.inspector](messages, message_bounds(messages, spec.step), spec=spec, **state)
 
 
 def detect(lines: DataFrame, detector: str, include_buffer: bool = False, **settings) -> DataFrame:

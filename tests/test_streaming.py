@@ -9,10 +9,9 @@ from pyspark.sql import functions as F
 from siltwatch.functions.rules import LogFormat
 from siltwatch.operators.batching import BatchSpec
 from siltwatch.operators.series import StepSpec
-from siltwatch.operators.tunnel import tunnel_windows
 from siltwatch.plans import flow
 from siltwatch.sources import sinks
-from siltwatch.streaming import jobs, sources, tunnel_queue
+from siltwatch.streaming import jobs, sources
 
 T0 = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
 LINE = "logline_id bigint, subnet_id string, ts timestamp"
@@ -78,27 +77,6 @@ def test_stream_of_files_drains_into_batches(spark, tmp_path):
     assert collected(spark, tmp_path / "out") == simulate(batches, 4)
 
 
-def test_tunnel_queue_equals_the_batch_windows(spark, tmp_path):
-    rng = random.Random(3)
-    rows = [(i, f"s{rng.randrange(9)}.{'dom' if rng.random() < 0.7 else 'oth'}.com", T0 + dt.timedelta(seconds=i)) for i in range(60)]
-    schema = "logline_id bigint, domain_name string, ts timestamp"
-    source = str(tmp_path / "in")
-    got = []
-    for part in (rows[:25], rows[25:]):
-        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(source)
-        stream = tunnel_queue.tunnel_window_stream(spark.readStream.schema(schema).parquet(source))
-        out = str(tmp_path / "out")
-        query = (
-            stream.writeStream.foreachBatch(lambda df, n: sinks.write_once(df, out, n))
-            .option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start()
-        )
-        assert query.awaitTermination(180)
-        got = spark.read.parquet(out).collect()
-    df = spark.createDataFrame([(*r, "c") for r in rows], schema + ", src_ip string")
-    want = tunnel_windows(df).select(F.col("logline_id").cast("string"), "subdomains").collect()
-    assert sorted((r.logline_id, r.subdomains) for r in got) == sorted(map(tuple, want))
-
-
 def test_late_lines_go_aside(spark, tmp_path):
     on_time, late = [], []
     keep = lambda store: lambda df, _: store.extend(r.logline_id for r in df.collect())
