@@ -1,11 +1,12 @@
 """Collocations: phrases whose words keep together, per language.
 
-Texts are counted in passes: words; pairs of frequent words, by shortened numbers whose
-sums can only be too high; the pairs that pass this; and phrases of three to five words
-all of whose pairs are frequent. A phrase that reaches the least count has only such
-parts, so nothing that counts is lost. What is frequent travels to the next pass as a
-bitmap of fixed size: a stray hit costs a counter, never a wrong result. Counters are
-counting quotient filters (``quotient``), merged block by block.
+Texts are counted in passes: words, then pairs of frequent words, then phrases of three
+to five words all of whose pairs are frequent. Pairs and phrases are first counted by
+shortened numbers, whose sums can only be too high, and then exactly where those reach
+the least count. A phrase that reaches it has only parts that do, so nothing that counts
+is lost. What is frequent travels to the next pass as a bitmap of fixed size: a stray
+hit costs a counter, never a wrong result. Counters are counting quotient filters
+(``quotient``), merged block by block.
 
 A word's id is a 64-bit hash; no two words may share the id of a frequent one, which is
 checked on the words themselves.
@@ -15,9 +16,11 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,7 +47,9 @@ _BREAK[[*b".,;:!?", *range(10, 14)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
-FILTERS = "lang string, n int, block long, salt int, filter binary, id long, word string"
+FILTERS = "lang string, n int, block long, salt int, filter binary"
+NAME_BITS = 6
+"""Words are named in 64 groups of ids."""
 GRAMS = "lang string, ids array<bigint>, f bigint, place bigint"
 
 
@@ -56,9 +61,9 @@ def _places(ids: np.ndarray, lang: str) -> np.ndarray:
     return (out >> np.uint64(64 - MAP_BITS)).astype(np.int64)
 
 
-def _short_places(first: np.ndarray, cut: int, lang: str) -> np.ndarray:
-    """Place of shortened numbers (upper bits of ``first``) of a language in a bitmap."""
-    out = mix((first >> np.uint64(cut)) ^ (np.uint64(zlib.crc32(lang.encode())) << np.uint64(32)))
+def _short_places(first: np.ndarray, cut: int, lang: str, n: int) -> np.ndarray:
+    """Place of shortened numbers (upper bits of ``first``) of a language and length in a bitmap."""
+    out = mix((first >> np.uint64(cut)) ^ (np.uint64(zlib.crc32(f"{n} {lang}".encode())) << np.uint64(32)))
     return (out >> np.uint64(64 - MAP_BITS)).astype(np.int64)
 
 
@@ -121,25 +126,26 @@ def _filter_rows(lang: str, n: int, blocks: list[tuple[int, bytes]], salt: int)
             "block": pa.array([b for b, _ in blocks], pa.int64()),
             "salt": pa.array([salt] * k, pa.int32()),
             "filter": pa.array([f for _, f in blocks], pa.binary()),
-            "id": pa.nulls(k, pa.int64()),
-            "word": pa.nulls(k, pa.string()),
         }
     )
 
 
-def _word_rows(ids: np.ndarray, words: list[bytes]) -> pa.RecordBatch:
-    k = len(ids)
-    return pa.record_batch(
-        {
-            "lang": pa.nulls(k, pa.string()),
-            "n": pa.array(np.zeros(k, np.int32)),
-            "block": pa.nulls(k, pa.int64()),
-            "salt": pa.nulls(k, pa.int32()),
-            "filter": pa.nulls(k, pa.binary()),
-            "id": pa.array(ids.view(np.int64)),
-            "word": pa.array([w.decode("utf-8", "replace") for w in words], pa.string()),
-        }
-    )
+def _packed_words(ids: np.ndarray, words: list[bytes]) -> bytes:
+    """Ids and words of one group."""
+    sizes = np.array([len(w) for w in words], dtype="<u4")
+    return b"".join([len(ids).to_bytes(8, "little"), ids.astype("<u8").tobytes(), sizes.tobytes(), *words])
+
+
+def _named_words(key: tuple, rows: pa.Table) -> pa.Table:
+    """Distinct (id, word) of one group."""
+    seen = set()
+    for data in rows.column("filter").to_pylist():
+        k = int.from_bytes(data[:8], "little")
+        ids = np.frombuffer(data, dtype="<u8", count=k, offset=8).astype(np.uint64).view(np.int64)
+        ends = np.cumsum(np.frombuffer(data, dtype="<u4", count=k, offset=8 + 8 * k)).astype(np.int64) + 8 + 12 * k
+        starts = np.append(8 + 12 * k, ends[:-1])
+        seen.update((i, data[a:b]) for i, a, b in zip(ids.tolist(), starts.tolist(), ends.tolist(), strict=True))
+    return pa.table({"id": pa.array([i for i, _ in seen], pa.int64()), "word": pa.array([w.decode("utf-8", "replace") for _, w in seen], pa.string())})
 
 
 def _by_language(part: pa.RecordBatch) -> Iterator[tuple[str, pa.RecordBatch]]:
@@ -149,50 +155,94 @@ def _by_language(part: pa.RecordBatch) -> Iterator[tuple[str, pa.RecordBatch]]:
         yield lang, part.filter(pa.array(codes == code))
 
 
-def _namer():
-    """Rows (id, word) of words a task has not named yet, as far as it remembers."""
-    named = np.zeros(0, dtype=np.uint64)
+def _distinct(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct rows of two columns in order, and where each occurs first."""
+    order = np.lexsort((rows[:, 1], rows[:, 0]))
+    ordered = rows[order]
+    new = np.append(True, (ordered[1:] != ordered[:-1]).any(axis=1))
+    return ordered[new], order[new]
 
-    def rows(texts: Texts, words, good: np.ndarray) -> Iterator[pa.RecordBatch]:
-        nonlocal named
-        ids, at = np.unique(words.hash[good], return_index=True)
-        new = ~np.isin(ids, named)
-        if new.any():
-            chosen = np.flatnonzero(good)[at[new]]
-            lower = _LOWER[texts.data]
-            cuts = zip(words.start[chosen].tolist(), words.end[chosen].tolist(), strict=True)
-            yield _word_rows(ids[new], [lower[a:b].tobytes() for a, b in cuts])
-            named = np.union1d(named, ids[new]) if len(named) < 1_000_000 else ids[new]
 
-    return rows
+_CHECK = np.random.default_rng(12).integers(1, 2**63, 256, dtype=np.uint64)[_LOWER]
 
 
-def _count(lengths: tuple[int, ...], by: str, known: np.ndarray | None, bits: int, salts: int, buffer: int, cut: int, short: int):
+class _Namer:
+    """Words of a task by id, packed by groups of ids.
+
+    Every occurrence of an id is compared by a second sum over its bytes; where that
+    differs, the word is told as well, so that the owner of the id sees two.
+    """
+
+    def __init__(self, limit: int = 200_000):
+        self.limit = limit
+        self.ids, self.sums, self.words = np.zeros(0, np.uint64), np.zeros(0, np.uint64), []
+
+    def add(self, texts: Texts, words, good: np.ndarray) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(texts.data) + 1, dtype=np.uint64)
+        np.cumsum(_CHECK[texts.data], out=total[1:])
+        at = np.flatnonzero(good)
+        both = np.stack([words.hash[at], total[words.end[at]] - total[words.start[at]]], axis=1)
+        entries, first = _distinct(both) if len(both) else (both, at)
+        where = np.searchsorted(self.ids, entries[:, 0])
+        near = np.minimum(where, max(0, len(self.ids) - 1))
+        old = (self.ids[near] == entries[:, 0]) & (self.sums[near] == entries[:, 1]) if len(self.ids) else np.zeros(len(entries), bool)
+        new, chosen = entries[~old], at[first[~old]]
+        if len(new):
+            lower = _LOWER[texts.data]
+            cuts = zip(words.start[chosen].tolist(), words.end[chosen].tolist(), strict=True)
+            self.words += [(i, lower[a:b].tobytes()) for i, (a, b) in zip(new[:, 0].tolist(), cuts, strict=True)]
+            ids, sums = np.concatenate([self.ids, new[:, 0]]), np.concatenate([self.sums, new[:, 1]])
+            order = np.argsort(ids, kind="stable")
+            self.ids, self.sums = ids[order], sums[order]
+        if len(self.words) > self.limit:
+            yield from self.rest()
+
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        groups: dict[int, list[tuple[int, bytes]]] = {}
+        for i, word in self.words:
+            groups.setdefault(i >> (64 - NAME_BITS), []).append((i, word))
+        for group, own in groups.items():
+            yield self._row(group, [i for i, _ in own], [w for _, w in own])
+        self.words = []
+        if len(self.ids) > self.limit:
+            self.ids, self.sums = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+
+    @staticmethod
+    def _row(group: int, ids: list[int], words: list[bytes]) -> pa.RecordBatch:
+        return _filter_rows("", 0, [(group, _packed_words(np.array(ids, dtype=np.uint64), words))], 0)
+
+
+def _count(lengths: tuple[int, ...], known: np.ndarray | None, pairs: bool, short: np.ndarray | None, short_cut: int, name: bool,
+           bits: int, salts: int, buffer: int, cut: int):
     """Filters of the n-grams of some lengths.
 
-    ``known`` is a bitmap of words (``by="words"``: pairs of them count, and they are
-    named), of shortened pairs (``by="short"``) or of pairs (``by="pairs"``).
+    ``known`` is a bitmap of words, or of ``pairs``, that an n-gram must consist of;
+    ``short`` one of the shortened numbers it must have itself.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gathered, name = _Gatherer(bits, salts, buffer, cut), _namer()
+        gathered, named = _Gatherer(bits, salts, buffer, cut), _Namer()
         for part in slices(batches):
             for lang, rows in _by_language(part):
                 texts = texts_of(rows.column("text"))
                 words, follows = _tokens(texts)
                 if not len(words.hash):
                     continue
-                if by == "words":
+                if pairs:
+                    both = np.stack([words.hash[:-1], words.hash[1:]], axis=1)
+                    follows[:-1] &= has(known, _places(both, lang))
+                elif known is not None:
                     good = has(known, _places(words.hash[:, None], lang))
                     follows[:-1] &= good[:-1] & good[1:]
-                    yield from name(texts, words, good)
-                elif by:
-                    pairs = np.stack([words.hash[:-1], words.hash[1:]], axis=1)
-                    places = _places(pairs, lang) if by == "pairs" else _short_places(permute(pairs)[:, 0], short, lang)
-                    follows[:-1] &= has(known, places)
+                    if name:
+                        yield from named.add(texts, words, good)
                 for n in lengths:
-                    yield from gathered.add(lang, n, _grams(words.hash, follows, n))
+                    grams = _grams(words.hash, follows, n)
+                    if short is not None and len(grams):
+                        grams = grams[has(short, _short_places(permute(grams)[:, 0], short_cut, lang, n))]
+                    yield from gathered.add(lang, n, grams)
         yield from gathered.rest()
+        yield from named.rest()
 
     return run
 
@@ -219,7 +269,7 @@ def _frequent(least: int, cut: int):
         spread, counts = merged(rows.column("filter").to_pylist(), key[2].as_py())
         often = counts >= least
         ids = restore(spread[often])
-        places = _short_places(ids[:, 0], cut, lang) if cut else _places(ids, lang)
+        places = _short_places(ids[:, 0], cut, lang, key[1].as_py()) if cut else _places(ids, lang)
         k = len(ids)
         lists = pa.ListArray.from_arrays(pa.array(np.arange(k + 1, dtype=np.int32) * ids.shape[1]), pa.array(ids.ravel().view(np.int64)))
         lists = pa.concat_arrays([lists, pa.array([[]], pa.list_(pa.int64()))])
@@ -235,27 +285,45 @@ def _frequent(least: int, cut: int):
     return run
 
 
-def _counted(docs: DataFrame, lengths: tuple[int, ...], least: int, bits: int, by: str = "", known: np.ndarray | None = None, cut: int = 0, short: int = 0):
-    """Frequent n-grams of some lengths (and totals by block), and the words named on the way."""
-    spark = docs.sparkSession
-    route = [*range(ROUTE_BITS, bits, ROUTE_BITS), bits]
-    salts = 1 if len(route) == 1 else max(1, (1 << bits) // WAYS)
-    shared = spark.sparkContext.broadcast(known) if known is not None else None  # 2 ** MAP_BITS bits
-    settings = (route[0], salts, BUFFER, cut, short)
+@dataclass
+class _Pass:
+    """One pass over the texts: what it counts, and what n-grams must hold."""
+
+    lengths: tuple[int, ...]
+    known: Broadcast | None = None
+    pairs: bool = False
+    short: Broadcast | None = None
+    short_cut: int = 0
+    name: bool = False
+    cut: int = 0
+
+    def counted(self, docs: DataFrame, least: int, bits: int) -> tuple[DataFrame, DataFrame]:
+        """Frequent n-grams (and totals by block), and the words named on the way."""
+        route = [*range(ROUTE_BITS, bits, ROUTE_BITS), bits]
+        salts = 1 if len(route) == 1 else max(1, (1 << bits) // WAYS)
+        settings = (route[0], salts, BUFFER, self.cut)
+        lengths, known, pairs, short, short_cut, name = self.lengths, self.known, self.pairs, self.short, self.short_cut, self.name
+
+        def count(batches):
+            maps = [b.value if b else None for b in (known, short)]
+            return _count(lengths, maps[0], pairs, maps[1], short_cut, name, *settings)(batches)
+
+        made = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text").mapInArrow(count, FILTERS)
+        if name:  # two readers
+            made = staged(made, "filters")
+        filters = made.where("n > 0")
+        for now, finer in zip(route, route[1:], strict=False):
+            filters = filters.groupBy("lang", "n", "block", "salt").applyInArrow(_merge(finer, self.cut), FILTERS)
+            salts = max(1, salts >> (finer - now))
+            filters = filters.withColumn("salt", F.expr(f"cast(salt % {salts} AS int)"))
+        grams = staged(filters.groupBy("lang", "n", "block").applyInArrow(_frequent(least, self.cut), GRAMS), "grams")
+        return grams, made.where("n = 0").groupBy("block").applyInArrow(_named_words, "id long, word string")
 
-    def count(batches):
-        return _count(lengths, by, shared.value if shared else None, *settings)(batches)
 
-    made = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text").mapInArrow(count, FILTERS)
-    if by == "words":  # two readers
-        made = staged(made, "filters")
-    filters = made.where("n > 0")
-    for now, finer in zip(route, route[1:], strict=False):
-        filters = filters.groupBy("lang", "n", "block", "salt").applyInArrow(_merge(finer, cut), FILTERS)
-        salts = max(1, salts >> (finer - now))
-        filters = filters.withColumn("salt", F.expr(f"cast(salt % {salts} AS int)"))
-    grams = staged(filters.groupBy("lang", "n", "block").applyInArrow(_frequent(least, cut), GRAMS), "grams")
-    return grams, made.where("n = 0").select("id", "word")
+def _map_of(grams: DataFrame) -> Broadcast:
+    """Bitmap of frequent n-grams, 2 ** MAP_BITS bits."""
+    found = bitmap(grams.where("size(ids) > 0"), "place", MAP_BITS)
+    return grams.sparkSession.sparkContext.broadcast(found)
 
 
 def counts(docs: DataFrame, least: int = 100, longest: int = LONGEST, block_bits: int | None = None):
@@ -264,25 +332,26 @@ def counts(docs: DataFrame, least: int = 100, longest: int = LONGEST, block_bits
     if block_bits is None:  # a block's filters should fit a task
         size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         block_bits = min(30, max(4, (size // BLOCK_BYTES).bit_length()))
-    ones, _ = _counted(docs, (1,), least, block_bits)
+    count = lambda step: step.counted(docs, least, block_bits)
+    ones, _ = count(_Pass((1,)))
     totals = staged(ones.where("size(ids) = 0").groupBy("lang").agg(F.sum("f").alias("n")), "totals")
     tokens = totals.agg(F.max("n")).first()[0] or 0
     cut = max(1, 64 - max(tokens.bit_length() + SPARE_BITS, block_bits + 8))
-    ones = ones.where("size(ids) > 0")
-    likely, words = _counted(docs, (2,), least, block_bits, "words", bitmap(ones, "place", MAP_BITS), cut=cut)
-    likely = bitmap(likely.where("size(ids) > 0"), "place", MAP_BITS)
-    pairs, _ = _counted(docs, (2,), least, block_bits, "short", likely, short=cut)
-    pairs = pairs.where("size(ids) > 0")
+    words_map = _map_of(ones)
+    likely, _ = count(_Pass((2,), words_map, cut=cut))
+    pairs, words = count(_Pass((2,), words_map, short=_map_of(likely), short_cut=cut, name=True))
     grams = ones.unionByName(pairs)
     if longest > 2:
-        more, _ = _counted(docs, tuple(range(3, longest + 1)), least, block_bits, "pairs", bitmap(pairs, "place", MAP_BITS))
-        grams = grams.unionByName(more.where("size(ids) > 0"))
-    words = staged(words.distinct(), "words")
+        more, pairs_map = tuple(range(3, longest + 1)), _map_of(pairs)
+        likely, _ = count(_Pass(more, pairs_map, pairs=True, cut=cut))
+        phrases, _ = count(_Pass(more, pairs_map, pairs=True, short=_map_of(likely), short_cut=cut))
+        grams = grams.unionByName(phrases)
+    words = staged(words, "words")
     twice = words.groupBy("id").count().where("count > 1")
-    shared = twice.join(ones.select(F.element_at("ids", 1).alias("id")), "id", "left_semi")
+    shared = twice.join(ones.where("size(ids) > 0").select(F.element_at("ids", 1).alias("id")), "id", "left_semi")
     if not shared.isEmpty():
         raise ValueError("two words share a 64-bit id that is frequent; change the seed of word hashes")
-    return staged(grams.select("lang", "ids", "f"), "phrases"), totals, words
+    return staged(grams.where("size(ids) > 0").select("lang", "ids", "f"), "phrases"), totals, words
 
 
 def _score(a: Column, n: Column, l: Column, r: Column) -> Column:  # noqa: E741
