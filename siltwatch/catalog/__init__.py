@@ -6,7 +6,7 @@ from importlib import import_module
 
 from siltwatch.catalog.registry import QUERIES, SQL, Query
 
-MODULES = ("ingest", "inspection", "detection", "monitoring", "training")
+MODULES = ("ingest", "inspection", "detection", "streams", "monitoring", "training")
 
 
 def _load() -> None:

@@ -23,7 +23,7 @@ WARNING_COLUMNS = (
 # Detector plugins: lines -> warnings.
 DETECTORS: dict[str, Callable[..., DataFrame]] = {}
 # Detectors whose windows go on over micro-batches.
-RESUMED: dict[str, type] = {}
+RESUMED: dict[str, object] = {}
 
 
 def detector(name: str):

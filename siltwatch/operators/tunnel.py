@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from siltwatch.functions.domains import with_domain_parts
 from siltwatch.functions.similarity import METRICS, window_similarity
-from siltwatch.operators.detection import REQUEST, RESUMED, binary_warnings, detector, request_entry
+from siltwatch.operators.detection import REQUEST, RESUMED, attribution_warnings, binary_warnings, detector, request_entry
 from siltwatch.operators.ranking import keyed_rank, time_slot, trailing_frames
 
 # Queue length, and the fewest queries that are scored.
@@ -122,28 +122,48 @@ def from_requests(warnings: DataFrame) -> DataFrame:
     ).select("suspicious_batch_id", "src_ip", *CHAINED_ORDER, "m.*")
 
 
-def _warn(windows: DataFrame, name: str, threshold: float, score, sha256: str) -> DataFrame:
+def _two_classes(windows: DataFrame) -> DataFrame:
+    """Transparent stand-in for a model of two classes."""
+    return windows.withColumn("probabilities", F.array("jaro", F.lit(1.0) - F.col("jaro")))
+
+
+def _warn(windows: DataFrame, name: str, threshold: float = 0.5, score=None, sha256: str = "") -> DataFrame:
     windows = with_similarity(windows)
     scored = score(windows) if score else windows.withColumn("probability", F.lit(1.0) - F.col("jaro"))
     return binary_warnings(scored, name, threshold, sha256, request=F.col("request"))
 
 
-@detector("TunnelDetector")
-def tunnel_warnings(lines: DataFrame, name: str = "tunnel", threshold: float = 0.5, score=None, sha256: str = "") -> DataFrame:
-    """Warn per window; the warning keeps a snapshot of the whole window."""
-    return _warn(tunnel_windows(lines), name, threshold, score, sha256)
+def _attribute(
+    windows: DataFrame, name: str, threshold: float = 0.5, score=None, sha256: str = "", labels: Sequence[str] = ("benign", "tunnel")
+) -> DataFrame:
+    scored = (score or _two_classes)(with_similarity(windows))
+    return attribution_warnings(scored, labels, name, threshold, sha256)
 
 
-class TunnelResumed:
-    """The same over micro-batches: number the lines, warn, and keep the last queries of every label."""
+class Windowed:
+    """A detector of windows over micro-batches: number the lines, warn, keep the last queries of every label."""
 
     keys = KEYS
     arrivals = staticmethod(arrivals)
     state = staticmethod(tunnel_state)
 
-    @staticmethod
-    def warnings(arrived: DataFrame, before: DataFrame | None, name: str = "tunnel", threshold: float = 0.5, score=None, sha256: str = "") -> DataFrame:
-        return _warn(windows_of(arrived, before=before), name, threshold, score, sha256)
+    def __init__(self, warn):
+        self._warn = warn
+
+    def warnings(self, arrived: DataFrame, before: DataFrame | None = None, **settings) -> DataFrame:
+        return self._warn(windows_of(arrived, before=before), **settings)
+
+
+@detector("TunnelDetector")
+def tunnel_warnings(lines: DataFrame, name: str = "tunnel", order: Sequence[str] = ORDER, **settings) -> DataFrame:
+    """Warn per window (``threshold``, ``score``, ``sha256``); the warning keeps a snapshot of the whole window."""
+    return _warn(tunnel_windows(lines, order=order), name, **settings)
+
+
+@detector("AttributionDetector")
+def attribution_of_windows(lines: DataFrame, name: str = "attribution", order: Sequence[str] = ORDER, **settings) -> DataFrame:
+    """Name the tool behind a window: ``labels``, and ``score`` that adds their ``probabilities``."""
+    return _attribute(tunnel_windows(lines, order=order), name, **settings)
 
 
-RESUMED["TunnelDetector"] = TunnelResumed
+RESUMED.update({"TunnelDetector": Windowed(_warn), "AttributionDetector": Windowed(_attribute)})

@@ -56,6 +56,15 @@ def valid_lines(df: DataFrame, fmt: LogFormat, raw: str = "raw") -> DataFrame:
     )
 
 
+def parsed_valid_lines(parsed: DataFrame, fmt: LogFormat) -> DataFrame:
+    """As :func:`valid_lines`, from lines that are parsed already; other columns stay."""
+    ts_rule = fmt.rule("ts")
+    ts = ts_rule.parse(F.col("fields.ts")) if isinstance(ts_rule, Timestamp) else F.try_to_timestamp("fields.ts")
+    keep = [c for c in parsed.columns if c not in (*fmt.names, "fields", "failed_fields")]
+    named = [F.col(f"fields.`{n}`").alias(n) for n in fmt.names if n != "ts"]
+    return parsed.filter(F.size("failed_fields") == 0).select(*keep, ts.alias("ts"), *named)
+
+
 def failed_lines(parsed: DataFrame, raw: str = "raw") -> DataFrame:
     """Dead letters with the reason the line failed."""
     return parsed.filter(F.size("failed_fields") > 0).select(

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,12 +12,14 @@ from pyspark.sql import functions as F
 from siltwatch.functions.rules import LogFormat
 from siltwatch.operators import alerts as A
 from siltwatch.operators.batching import BatchSpec, assign_batches, carry_over
-from siltwatch.operators.detection import DETECTORS
+from siltwatch.operators.detection import DETECTORS, RESUMED
 from siltwatch.operators.filtering import keep_relevant
 from siltwatch.operators.inspection import INSPECTORS, batch_verdicts, inspector, suspicious_lines
 from siltwatch.operators import runs as R
+from siltwatch.operators.routing import detector_edges, detector_order, reads_from_detector
 from siltwatch.operators.scorers import check_models
 from siltwatch.operators.series import StepSpec, step_count, step_totals
+from siltwatch.operators.tunnel import CHAINED_ORDER, ORDER, from_requests
 from siltwatch.sources.staging import staged
 
 
@@ -103,8 +107,53 @@ def detect(lines: DataFrame, detector: str, include_buffer: bool = False, **sett
     """
     if detector not in DETECTORS:
         raise NotImplementedError(f"detector {detector!r} is not registered")
-    rows = lines if include_buffer else lines.filter(~F.col("is_buffer"))
-    return DETECTORS[detector](rows, **settings)
+    return DETECTORS[detector](lines if include_buffer else own_lines(lines), **settings)
+
+
+def own_lines(lines: DataFrame) -> DataFrame:
+    """Lines without those carried over."""
+    return lines.filter(~F.col("is_buffer")) if "is_buffer" in lines.columns else lines
+
+
+def run_detectors(
+    lines: DataFrame,
+    entries: Sequence[Mapping],
+    keep: Callable[[DataFrame, str], DataFrame] = staged,
+    queue: Callable[[str], tuple[DataFrame | None, Callable[[DataFrame], None]]] | None = None,
+) -> dict[str, DataFrame]:
+    """Warnings of every configured detector, upstream ones first.
+
+    A detector reads the suspicious lines, or the windows of its upstream detectors,
+    each once. Its warnings are written (``keep``) before others read them. In a
+    stream ``queue`` gives the last queries a detector has seen and takes the new ones.
+    """
+    by_name, upstream, out = {e["name"]: e for e in entries}, {}, {}
+    for source, target in detector_edges(entries):
+        upstream.setdefault(target, []).append(source)
+    for name in detector_order(entries):
+        entry = by_name[name]
+        kind = entry["detector"]
+        if kind not in DETECTORS:
+            raise NotImplementedError(f"detector {kind!r} is not registered")
+        settings = {**entry.get("settings", {}), "name": name}
+        order = ORDER
+        if reads_from_detector(entry):
+            if name not in upstream:
+                raise ValueError(f"detector {name!r} listens to detectors, but none names it")
+            rows, order = reduce(DataFrame.unionByName, [from_requests(out[u]) for u in upstream[name]]), CHAINED_ORDER
+        else:
+            rows = own_lines(lines)
+        if kind not in RESUMED:
+            found = DETECTORS[kind](rows, **settings)
+        elif queue is None:
+            found = DETECTORS[kind](rows, order=order, **settings)
+        else:
+            before, put = queue(name)
+            arrived = keep(RESUMED[kind].arrivals(rows, order=order, before=before), f"arrivals-{name}")
+            found = RESUMED[kind].warnings(arrived, before, **settings)
+            put(RESUMED[kind].state(arrived, before=before))
+        out[name] = keep(found, f"warnings-{name}")
+    return out
 
 
 def alerts_of(

@@ -64,3 +64,14 @@ def forget_before(spark: SparkSession, path: str, batch_id: int) -> int:
     """
     old = [f for f in folders(spark, f"{path}/stream_batch=*") if batch_number(f) < batch_id]
     return sum(remove(spark, f) for f in old)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """Text of a small file."""
+    where, fs = _file_system(spark, path)
+    stream = fs.open(where)
+    try:
+        utf8 = spark.sparkContext._jvm.java.nio.charset.StandardCharsets.UTF_8
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, utf8)
+    finally:
+        stream.close()

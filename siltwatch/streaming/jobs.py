@@ -6,23 +6,32 @@ micro-batch number: a replay overwrites what the first try wrote.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from siltwatch.functions.network import subnet_id
-from siltwatch.functions.rules import LogFormat
+from siltwatch.functions.rules import LogFormat, relevance_predicate
 from siltwatch.operators import alerts as A
 from siltwatch.operators.batching import BatchSpec, assign_flush, carry_over
-from siltwatch.operators.filtering import filtered_out_events, keep_relevant
-from siltwatch.operators.inspection import dropped_batch_events, suspicious_lines
-from siltwatch.operators.validation import failed_lines, parse_lines, valid_lines
+from siltwatch.operators.filtering import keep_relevant
+from siltwatch.operators.inspection import client_batches, suspicious_lines
+from siltwatch.operators.routing import detector_edges, reads_from_detector
+from siltwatch.operators.tunnel import KEYS as TUNNEL_KEYS
+from siltwatch.operators.validation import additional_fields, parse_lines, parsed_valid_lines
 from siltwatch.plans import flow
 from siltwatch.plans.rollups import alert_rollup
-from siltwatch.sources.sinks import append_events, write_once
+from siltwatch.sources.event_log import EventLog, Part, StageClock
+from siltwatch.sources.folders import forget_before
+from siltwatch.sources.sinks import write_once
+from siltwatch.sources.staging import staged
+from siltwatch.streaming import events
+from siltwatch.streaming.sources import uuid_of
+from siltwatch.streaming.state import KeyedState
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -109,7 +118,13 @@ def rollup_job(root: str, minutes: int) -> Sink:
 
 @dataclass
 class DetectionJob:
-    """Raw lines to alerts for one collector, with its monitoring events."""
+    """Raw lines to alerts for one collector, with the rows of all monitoring tables.
+
+    Scorers and windows go on where the last micro-batch ended. All rows of a
+    micro-batch are committed at once; one that is committed is not done again.
+    ``detectors`` configures several detectors, chained if they name each other;
+    without it ``detector`` and ``settings`` are the only one.
+    """
 
     fmt: LogFormat
     root: str
@@ -120,39 +135,95 @@ class DetectionJob:
     settings: dict = field(default_factory=dict)
     hooks: tuple[str, ...] = ("generic",)
     alert_sinks: tuple[Sink, ...] = ()
+    detectors: tuple[Mapping, ...] = ()
+    name: str = "collector"
+
+    @property
+    def log(self) -> EventLog:
+        """The monitoring tables."""
+        return EventLog(f"{self.root}/tables")
+
+    def entries(self) -> tuple[Mapping, ...]:
+        settings = {k: v for k, v in self.settings.items() if k != "name"}
+        only = {"name": self.settings.get("name", self.detector), "detector": self.detector, "inspector_name": self.name, "settings": settings}
+        return self.detectors or (only,)
 
     def __call__(self, lines: DataFrame, batch_id: int) -> None:
-        # Read several times; a lost block is read again from the source.
-        received = lines.withColumn("raw", F.col("value")).persist()
-        try:
-            self._process(received, batch_id)
-        finally:
-            received.unpersist()
-
-    def _process(self, received: DataFrame, batch_id: int) -> None:
-        spark, tables = received.sparkSession, f"{self.root}/tables"
-        now = F.current_timestamp()
-        failed = failed_lines(parse_lines(received.select("timestamp_in", "raw"), self.fmt))
-        append_events(failed.withColumn("timestamp_failed", now), "failed_loglines", tables, batch_id, "prefilter")
-
-        valid = valid_lines(received.select(F.col("message_id").alias("logline_id"), "raw"), self.fmt).drop("raw")
-        typed = valid.withColumn("subnet_id", subnet_id(F.col("src_ip")))
-        batching = BatchingJob(self.batch, f"{self.root}/batches")
-        batching(typed, batch_id)
-        sent = spark.read.parquet(f"{self.root}/batches/sent/stream_batch={batch_id}")
-        append_events(filtered_out_events(sent, self.method, self.fmt, now), "logline_timestamps", tables, batch_id, "prefilter")
-
-        messages = keep_relevant(sent, self.method, self.fmt)
-        write_once(flow.inspect(messages, self.inspection), f"{self.root}/verdicts", batch_id)
-        verdicts = spark.read.parquet(f"{self.root}/verdicts/stream_batch={batch_id}")
-        write_once(dropped_batch_events(verdicts), f"{self.root}/dropped", batch_id)
-
-        warnings = flow.detect(suspicious_lines(messages, verdicts), self.detector, **self.settings)
-        name = self.settings.get("name", self.detector)
-        made = A.build_alerts(warnings, name, now, A.persisted_warning(name))
-        write_once(A.process_alerts(made, self.hooks), f"{self.root}/alerts", batch_id)
-        alerts = spark.read.parquet(f"{self.root}/alerts/stream_batch={batch_id}")
-        stored = A.stored_alerts(alerts).withColumn("overall_score", F.col("overall_score").cast("float"))
-        append_events(stored, "alerts", tables, batch_id, "alerter")
+        spark = lines.sparkSession
+        if self.log.committed(spark, batch_id):
+            return
+        parts, alerts = self.process(lines, batch_id)
+        self.log.write(spark, parts, batch_id)
         for sink in self.alert_sinks:
             sink(alerts, batch_id)
+        self.log.commit(spark, batch_id)
+        for path in ("parsed", "valid", "batches/assigned", "batches/sent", "messages", "verdicts", "suspicious", "warnings", "alerts", "clock"):
+            forget_before(spark, f"{self.root}/{path}", batch_id)
+
+    def process(self, lines: DataFrame, batch_id: int) -> tuple[list[Part], DataFrame]:
+        """Rows of the monitoring tables, and the alerts, of a micro-batch."""
+        spark, clock = lines.sparkSession, StageClock(self.root)
+        now = lambda mark: clock.at(spark, batch_id, mark)
+
+        def kept(df: DataFrame, name: str) -> DataFrame:
+            path = f"{self.root}/{name}"
+            write_once(df, path, batch_id)
+            return spark.read.schema(df.schema).parquet(f"{path}/stream_batch={batch_id}")
+
+        raw = lines.select("message_id", "timestamp_in", F.col("value").alias("raw"))
+        parsed = kept(parse_lines(raw, self.fmt), "parsed")
+        named = parsed_valid_lines(parsed.withColumn("additional_fields", additional_fields(F.col("raw"))), self.fmt)
+        valid = kept(
+            named.withColumns(
+                {"logline_id": uuid_of(F.concat_ws("/", "message_id", F.lit("line"))), "server_message_id": F.col("message_id"),
+                 "subnet_id": subnet_id(F.col("src_ip"))}
+            ),
+            "valid",
+        )
+        parts = events.collected(parsed, valid, now("collected"))
+
+        begin = now("batching")
+        BatchingJob(self.batch, f"{self.root}/batches")(valid.drop("raw", "message_id", "timestamp_in", "additional_fields"), batch_id)
+        sent = spark.read.parquet(f"{self.root}/batches/sent/stream_batch={batch_id}")
+        keeps = F.coalesce(relevance_predicate(self.method, self.fmt), F.lit(False))
+        counts = sent.groupBy("batch_id").agg(
+            F.count_if(~F.col("is_buffer")).alias("n_new"), F.count(F.lit(1)).alias("n_all"), F.count_if(keeps).alias("n_kept")
+        )
+        counts = staged(counts, "batch-counts")
+        parts += events.batched(sent, counts, self.name, begin, now("batched"))
+
+        begin = now("filtering")
+        messages = kept(keep_relevant(sent, self.method, self.fmt), "messages")
+        dropped = sent.filter(~keeps).select("logline_id")
+        parts += events.filtered(sent, dropped, counts, self.name, begin, now("filtered"))
+
+        begin, scorers = now("inspecting"), KeyedState(f"{self.root}/state/scorers", flow.KEYS)
+        before = scorers.before(spark, batch_id) if flow.resumes(self.inspection) else None
+        verdicts = kept(flow.inspect(messages, self.inspection, before), "verdicts")
+        if flow.resumes(self.inspection):
+            scorers.put(flow.scorer_state(messages, self.inspection, before), batch_id)
+        lines = kept(suspicious_lines(messages, verdicts), "suspicious")
+        clients = staged(client_batches(lines), "client-batches")
+        parts += events.inspected(messages, verdicts, clients, lines, counts, self.name, begin, now("inspected"))
+
+        begin, entries = now("detecting"), self.entries()
+
+        def queue(name: str):
+            state = KeyedState(f"{self.root}/state/queues-{name}", TUNNEL_KEYS)
+            return state.before(spark, batch_id), lambda rows: state.put(rows, batch_id)
+
+        found = flow.run_detectors(lines, entries, staged, queue)
+        at = now("detected")
+        listening = {e["name"] for e in entries if reads_from_detector(e)}
+        for name, warnings in found.items():
+            if name not in listening:
+                parts += events.detected(lines, clients, warnings, name, begin, at)
+        for source, name in detector_edges(entries):
+            parts += events.chained(found[source], source, name, begin, at)
+
+        alerting = [e["name"] for e in entries if e.get("send_to_alerter") is not False]
+        at = now("alerted")
+        made = [A.build_alerts(found[n], n, F.lit(at), A.persisted_warning(n)) for n in alerting]
+        none = A.build_alerts(next(iter(found.values())).limit(0), "", F.lit(at), A.persisted_warning(""))
+        alerts = kept(A.process_alerts(reduce(DataFrame.unionByName, made, none), self.hooks), "alerts")
+        return parts + events.alerted(alerts, at), alerts

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -41,6 +41,13 @@ def file_stream(spark: SparkSession, path: str, topic: str, files_per_trigger: i
     )
 
 
+def uuid_of(text: Column) -> Column:
+    """A digest of a text, shaped as a UUID."""
+    digest = F.sha2(text, 256)
+    cuts = [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)]
+    return F.concat_ws("-", *[F.substring(digest, a, n) for a, n in cuts])
+
+
 def stamped(lines: DataFrame, replay: bool = True) -> DataFrame:
     """Add ``message_id`` and ``timestamp_in``.
 
@@ -49,10 +56,8 @@ def stamped(lines: DataFrame, replay: bool = True) -> DataFrame:
     """
     if not replay:
         return lines.withColumns({"message_id": F.expr("uuid()"), "timestamp_in": F.current_timestamp()})
-    digest = F.sha2(F.concat_ws("/", "topic", F.col("partition").cast("string"), F.col("offset").cast("string")), 256)
-    cuts = [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)]
-    shaped = F.concat_ws("-", *[F.substring(digest, a, n) for a, n in cuts])
-    return lines.withColumns({"message_id": shaped, "timestamp_in": F.col("timestamp")})
+    position = F.concat_ws("/", "topic", F.col("partition").cast("string"), F.col("offset").cast("string"))
+    return lines.withColumns({"message_id": uuid_of(position), "timestamp_in": F.col("timestamp")})
 
 
 def server_log_rows(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
