@@ -177,6 +177,12 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = 6000, l
     return AttentionModel().fit(bags, rows.column("quality").to_numpy().astype(np.float32)[order])
 
 
+def learnable(docs: DataFrame, labels: DataFrame, learn: Column) -> bool:
+    """Whether rows where ``learn`` holds have labels of both kinds."""
+    known = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").where(learn).join(docs.select("doc_id"), "doc_id", "left_semi")
+    return known.agg(F.count_distinct("quality")).first()[0] > 1
+
+
 def quality_scores(docs: DataFrame, model: AttentionModel) -> DataFrame:
     """``docs`` with ``quality_score``, the chance of label 1; a null or blank text is scored as a passage of zeros."""
 
