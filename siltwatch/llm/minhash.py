@@ -36,7 +36,7 @@ PLACES_LOG = 20
 BANDS, ROWS = 25, 5
 COORDINATES = BANDS * ROWS
 ID_BITS = 26
-"""Bits of the number of places of a bitmap of ids: 8 MB."""
+"""Most bits of the number of places of a bitmap of ids: 8 MB."""
 SLACK = 0.16
 """Pairs are confirmed if their signatures agree to the threshold less this much,
 over four standard errors of 125 coordinates at 0.8."""
@@ -158,8 +158,8 @@ def _confirmed(percent: int):
 
 def _sets(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
     """(id, own) for the documents with the given ids; a few others may be among them."""
-    wanted = bitmap(ids, id_place("id", ID_BITS), ID_BITS)
-    placed = docs.where("doc_id IS NOT NULL").select("doc_id", "text", id_place("doc_id", ID_BITS).alias("place"))
+    wanted = bitmap(ids, id_place("id"), ID_BITS)
+    placed = docs.where("doc_id IS NOT NULL").select("doc_id", "text", id_place("doc_id").alias("place"))
     return staged(placed.mapInArrow(_shingle_sets(n, wanted), "id long, own binary").dropDuplicates(["id"]), "shingle-sets")
 
 
@@ -171,8 +171,8 @@ def _ends(pairs: DataFrame) -> DataFrame:
 def _links(pairs: DataFrame, marks: DataFrame, docs: DataFrame, n: int, percent: int, sets: DataFrame | None = None) -> DataFrame:
     """Pairs (a, b) confirmed on the full shingle sets; only documents in a likely pair are read for it."""
     pairs = staged(pairs, "pairs")
-    wanted = bitmap(_ends(pairs), id_place("id", ID_BITS), ID_BITS)
-    placed = marks.select("id", "marks", id_place("id", ID_BITS).alias("place"))
+    wanted = bitmap(_ends(pairs), id_place("id"), ID_BITS)
+    placed = marks.select("id", "marks", id_place("id").alias("place"))
     picked = staged(placed.mapInArrow(_picked(wanted), "id long, marks binary"), "pair-marks")
     side = lambda s: picked.select(F.col("id").alias(s), F.col("marks").alias(f"marks_{s}"))
     likely = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "marks_a", "marks_b")

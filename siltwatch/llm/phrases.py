@@ -24,14 +24,14 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltwatch.llm.bitmaps import bitmap, has
+from siltwatch.llm.bitmaps import PLACE_BITS, bitmap, has
 from siltwatch.llm.common import staged
 from siltwatch.llm.quotient import blocks_of, merged, permute, restore, summed
 from siltwatch.llm.words import Texts, mix, slices, texts_of, words_of
 
 LONGEST = 5
 MAP_BITS = 27
-"""Bits of the number of a bitmap's places: 16 MB, whatever the input."""
+"""Most bits of the number of a bitmap's places: 16 MB, whatever the input."""
 BUFFER = 200_000
 """Entries that a task gathers of a language and length before it packs them."""
 BLOCK_BYTES = 8 << 20
@@ -58,13 +58,13 @@ def _places(ids: np.ndarray, lang: str) -> np.ndarray:
     out = np.full(len(ids), zlib.crc32(lang.encode()), dtype=np.uint64)
     for i in range(ids.shape[1]):
         out = mix(out ^ (ids[:, i] + np.uint64(i + 1)))
-    return (out >> np.uint64(64 - MAP_BITS)).astype(np.int64)
+    return (out >> np.uint64(64 - PLACE_BITS)).astype(np.int64)
 
 
 def _short_places(first: np.ndarray, cut: int, lang: str, n: int) -> np.ndarray:
     """Place of shortened numbers (upper bits of ``first``) of a language and length in a bitmap."""
     out = mix((first >> np.uint64(cut)) ^ (np.uint64(zlib.crc32(f"{n} {lang}".encode())) << np.uint64(32)))
-    return (out >> np.uint64(64 - MAP_BITS)).astype(np.int64)
+    return (out >> np.uint64(64 - PLACE_BITS)).astype(np.int64)
 
 
 def _tokens(texts: Texts):
@@ -321,7 +321,7 @@ class _Pass:
 
 
 def _map_of(grams: DataFrame) -> Broadcast:
-    """Bitmap of frequent n-grams, 2 ** MAP_BITS bits."""
+    """Bitmap of frequent n-grams, 2 ** MAP_BITS bits at most."""
     found = bitmap(grams.where("size(ids) > 0"), "place", MAP_BITS)
     return grams.sparkSession.sparkContext.broadcast(found)
 

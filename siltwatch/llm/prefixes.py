@@ -16,49 +16,53 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CELL_BITS = 21
-"""Bits of the number of counters for the order of shingles: 8 MB. Shared cells only change the order."""
+"""Most bits of the number of counters for the order of shingles: 8 MB. Shared cells only change the order."""
 STEP = math.log(1.1)
 """A class of sizes spans ten percent."""
 
 
-def _cells(shingles: np.ndarray) -> np.ndarray:
-    return (shingles >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+def _cells(shingles: np.ndarray, size: int) -> np.ndarray:
+    return (shingles >> np.uint64(65 - size.bit_length())).astype(np.int64)
 
 
 def _own(batch: pa.RecordBatch) -> list[np.ndarray]:
     return [np.frombuffer(s.as_buffer(), dtype=np.uint64) for s in batch.column("own")]
 
 
-def _used(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(1 << CELL_BITS, dtype=np.int64)
-    for batch in batches:
-        for own in _own(batch):
-            total += np.bincount(_cells(own), minlength=len(total)) if len(own) > 1 << 16 else 0
-            if len(own) <= 1 << 16:
-                np.add.at(total, _cells(own), 1)
-    cells = np.flatnonzero(total)
-    yield pa.record_batch({"cell": cells, "c": total[cells]})
+def _used(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size, dtype=np.int64)
+        for batch in batches:
+            for own in _own(batch):
+                np.add.at(total, _cells(own, size), 1)
+        cells = np.flatnonzero(total)
+        yield pa.record_batch({"cell": cells, "c": total[cells]})
+
+    return run
 
 
-def cell_counts(sets: DataFrame) -> np.ndarray:
-    """How many shingles of all sets (id, own) fall in each cell."""
-    rows = sets.mapInArrow(_used, "cell long, c long").groupBy("cell").agg(F.sum("c").alias("c")).where("c > 1")
+def cell_counts(sets: DataFrame) -> Broadcast:
+    """How many shingles of all sets (id, own; a written table) fall in each cell."""
+    size = 1 << min(CELL_BITS, max(14, (512 * sets.count()).bit_length()))
+    rows = sets.mapInArrow(_used(size), "cell long, c long").groupBy("cell").agg(F.sum("c").alias("c")).where("c > 1")
     found = rows.toArrow()  # 2 ** CELL_BITS rows at most
-    out = np.ones(1 << CELL_BITS, dtype=np.int64)
-    out[found.column("cell").to_numpy()] = found.column("c").to_numpy()
-    return out
+    out = np.ones(size, dtype=np.int32)
+    out[found.column("cell").to_numpy()] = np.minimum(found.column("c").to_numpy(), 2**31 - 1)
+    return sets.sparkSession.sparkContext.broadcast(out)
 
 
-def typical(sets: DataFrame, counts: np.ndarray) -> DataFrame:
+def typical(sets: DataFrame, counts: Broadcast) -> DataFrame:
     """(id, typical): the mean count of a set's shingles; the middle of a group of copies has the most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        used = counts.value
         for batch in batches:
-            means = [float(counts[_cells(own)].mean()) if len(own) else 0.0 for own in _own(batch)]
+            means = [float(used[_cells(own, len(used))].mean()) if len(own) else 0.0 for own in _own(batch)]
             yield pa.record_batch({"id": batch.column("id"), "typical": pa.array(means, pa.float64())})
 
     return sets.mapInArrow(run, "id long, typical double")
@@ -74,7 +78,7 @@ def prefix(own: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.ndarra
     The classes run from the smallest size that reaches the threshold to the largest
     that the shingle's place allows; where that is less, the shingle is left out.
     """
-    n, used = len(own), counts[_cells(own)]
+    n, used = len(own), counts[_cells(own, len(counts))]
     order = np.lexsort((own, used))
     need = -(-percent * n // 100)
     order = order[: n - need + 1]
@@ -86,7 +90,7 @@ def prefix(own: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.ndarra
     return own[order[keep]], left[keep], low, high
 
 
-def _rows(counts: np.ndarray, percent: int, probe: bool):
+def _rows(counts: Broadcast, percent: int, probe: bool):
     own_class, other_class = ("cx", "cy") if probe else ("cy", "cx")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,7 +99,7 @@ def _rows(counts: np.ndarray, percent: int, probe: bool):
             parts = []
             for i, own in enumerate(_own(batch)):
                 if len(own):
-                    shingles, left, low, high = prefix(own, counts, percent)
+                    shingles, left, low, high = prefix(own, counts.value, percent)
                     times = high - low + 1
                     within = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
                     mine = size_class(np.array([len(own)]))[0]
@@ -110,7 +114,7 @@ def _rows(counts: np.ndarray, percent: int, probe: bool):
     return run
 
 
-def near_pairs(sets: DataFrame, sides: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
+def near_pairs(sets: DataFrame, sides: DataFrame, counts: Broadcast, percent: int) -> DataFrame:
     """Pairs (a, b), a < b, of different components that may reach the threshold, one of them odd.
 
     ``sides`` has id, component and odd. No pair that reaches it is missed.
