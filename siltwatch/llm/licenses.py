@@ -215,7 +215,7 @@ u AS (SELECT r, doc_id, 'text' AS level, 0 AS unit, 0 AS part, text AS own FROM
       UNION ALL SELECT r, doc_id, 'line', unit, 0, own FROM l
       UNION ALL SELECT r, doc_id, 'sentence', unit, generate_subscripts(parts, 1) - 1, unnest(parts) FROM s WHERE len(parts) > 1),
 w AS (SELECT *, {words('own')} AS ws FROM u),
-b AS (SELECT * EXCLUDE (own, ws), {pairs('ws')} AS ps FROM w WHERE len(ws) BETWEEN 2 AND 500),
+b AS (SELECT * EXCLUDE (own, ws), {pairs('ws')} AS ps FROM w WHERE len(ws) >= 2),
 t0(licence, k, own) AS (VALUES {values}),
 t1 AS (SELECT licence, k, {words('own')} AS ws FROM t0),
 t AS (SELECT licence, k, {pairs('ws')} AS ps FROM t1),
