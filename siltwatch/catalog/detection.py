@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from siltwatch.catalog.ingest import BATCHES, SPEC
 from siltwatch.catalog.inspection import INSPECT, in_pieces
 from siltwatch.catalog.registry import query
-from siltwatch.catalog.views import DNS, TUNNEL, TUNNEL_LOG, domains, entropy, series, verdicts, with_
+from siltwatch.catalog.views import COMMON, DNS, TUNNEL, TUNNEL_LOG, domains, entropy, series, verdicts, with_
 from siltwatch.functions import domains as D
 from siltwatch.functions.similarity import METRICS
 from siltwatch.operators import alerts as A
@@ -175,7 +175,10 @@ def jaro_family(spark, sf):
     return T.with_similarity(windows(spark, sf)).select("logline_id", *[F.round(m, 8).alias(m) for m in _JARO])
 
 
-@query("f11_common_substrings")
+@query(
+    "f11_common_substrings",
+    WINDOWS + "," + COMMON + " SELECT logline_id, round(levenshtein, 8) AS levenshtein, round(lcs_sequence, 8) AS lcs_sequence, round(lcs_string, 8) AS lcs_string FROM window_common",
+)
 def common_substrings(spark, sf):
     """Indel ratio and the two common-substring measures."""
     rest = [m for m in METRICS if m not in _JARO]

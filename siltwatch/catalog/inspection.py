@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +14,7 @@ from siltwatch.catalog.registry import query
 from siltwatch.catalog.views import DNS, series, verdicts, with_
 from siltwatch.operators import inspection as I
 from siltwatch.operators.runs import per_step
+from siltwatch.operators.scorers import directions
 from siltwatch.operators.series import StepSpec, batch_series, dense_axis, step_totals
 from siltwatch.plans import flow
 from siltwatch.session import checkpoint_root
@@ -100,12 +102,67 @@ def knn(spark, sf):
     return scored(spark, sf, models=("KNNDetector",)).select("batch_id", "step", F.round("score", 6).alias("score"))
 
 
-@query("e4d_spectral_residual")
+# Discrete Fourier transform of the ten values of a window, its residual, and back.
+_SPECTRUM = """,
+spectrum AS (
+  SELECT batch_id, step,
+    list_transform(range(10), lambda k: list_sum(list_transform(range(10), lambda j: frame[j + 1] * cos(2 * pi() * j * k / 10)))) AS re,
+    list_transform(range(10), lambda k: -list_sum(list_transform(range(10), lambda j: frame[j + 1] * sin(2 * pi() * j * k / 10)))) AS im
+  FROM framed WHERE c >= 10
+),
+sized AS (
+  SELECT *, list_transform(range(1, 11), lambda k: CASE WHEN sqrt(re[k] * re[k] + im[k] * im[k]) > 1e-9 THEN sqrt(re[k] * re[k] + im[k] * im[k]) ELSE 0.0 END) AS size
+  FROM spectrum
+),
+logged AS (
+  SELECT *, list_transform(size, lambda s: ln(s + 1e-8)) AS la,
+    list_transform(range(1, 11), lambda k: CASE WHEN size[k] > 0 THEN atan2(im[k], re[k]) ELSE 0.0 END) AS angle FROM sized
+),
+residual AS (
+  SELECT *, list_transform(range(1, 11), lambda k: exp(la[k] - (CASE WHEN k > 1 THEN la[k - 1] ELSE 0 END + la[k] + CASE WHEN k < 10 THEN la[k + 1] ELSE 0 END) / 3)) AS amp
+  FROM logged
+),
+salient AS (
+  SELECT batch_id, step, list_transform(range(10), lambda j: sqrt(
+    pow(list_sum(list_transform(range(10), lambda k: amp[k + 1] * cos(angle[k + 1] + 2 * pi() * j * k / 10))), 2)
+    + pow(list_sum(list_transform(range(10), lambda k: amp[k + 1] * sin(angle[k + 1] + 2 * pi() * j * k / 10))), 2)) / 10) AS s FROM residual
+)"""
+
+
+@query(
+    "e4d_spectral_residual",
+    ALL + _SPECTRUM + """ SELECT f.batch_id, f.step, round(abs(s[10] - list_avg(s)) / (list_avg(s) + 1e-8), 6) AS score
+FROM framed f LEFT JOIN salient t ON f.batch_id = t.batch_id AND f.step = t.step""",
+)
 def spectral(spark, sf):
     return scored(spark, sf, models=("SRDetector",)).select("batch_id", "step", F.round("score", 6).alias("score"))
 
 
-@query("e5_loda")
+_DIRECTIONS = ", ".join(
+    f"({int(np.flatnonzero(row)[0])}, {float(row[np.flatnonzero(row)[0]])!r}::DOUBLE)" for row in directions(2, 16, 108)
+)
+# Sixteen projections of the window, each on one of the two values.
+_DENSITY = f""",
+sized_frames AS (
+  SELECT batch_id, step, c, frame, list(mean_size) OVER w AS sizes FROM framed
+  WINDOW w AS (PARTITION BY subnet_id ORDER BY flush_no, part, step ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)
+),
+projected AS (
+  SELECT batch_id, step, list_transform(CASE WHEN dim = 0 THEN sizes ELSE frame END, lambda v: weight * v) AS z
+  FROM sized_frames, (VALUES {_DIRECTIONS}) d(dim, weight) WHERE c >= 10
+),
+spanned AS (SELECT *, list_min(z) AS low, list_max(z) - list_min(z) AS span FROM projected),
+cells AS (
+  SELECT batch_id, step, list_transform(z, lambda v: CASE WHEN span > 1e-12 THEN least(CAST(trunc((v - low) / span * 8) AS INTEGER), 7) ELSE 0 END) AS cell FROM spanned
+),
+densities AS (SELECT batch_id, step, -sum(ln(len(list_filter(cell, lambda x: x = cell[10])) / 10.0)) / 16 AS score FROM cells GROUP BY 1, 2)"""
+
+
+@query(
+    "e5_loda",
+    ALL + _DENSITY + """ SELECT f.batch_id, f.step, round(d.score, 6) AS score
+FROM framed f LEFT JOIN densities d ON f.batch_id = d.batch_id AND f.step = d.step""",
+)
 def loda(spark, sf):
     """Two-column series through random projections."""
     out = scored(spark, sf, mode="multivariate", models=("LodaDetector",))

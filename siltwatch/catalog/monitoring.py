@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltwatch.catalog.registry import query
@@ -11,8 +14,11 @@ from siltwatch.catalog.views import DNS, with_
 from siltwatch.plans import dashboards as P
 from siltwatch.plans import latency as L
 from siltwatch.plans import retention, rollups
+from siltwatch.plans.quantiles import described
+from siltwatch.session import checkpoint_root
 from siltwatch.sources import testbed as tb
 from siltwatch.sources.staging import staged
+from siltwatch.streaming.increments import state_tables
 
 
 def last_event(spark, sf, **plus):
@@ -80,6 +86,36 @@ def merged_states(spark, sf):
     return merged.withColumn("avg_count", F.round("avg_count", 9)).drop("median_count")
 
 
+@query(
+    "h5_stored_states",
+    f"""WITH rolled AS (
+  SELECT t.m, time_bucket(to_minutes(t.m), ts) AS time_bucket, event_type AS stage, 'total_loglines' AS entry_type,
+    min(CAST(floor(value) AS BIGINT)) AS min_count, round(avg(floor(value)), 9) AS avg_count, max(CAST(floor(value) AS BIGINT)) AS max_count, TRUE AS median_in_bound
+  FROM events, (VALUES (1), (15), (60)) t(m) GROUP BY 1, 2, 3)
+SELECT time_bucket, stage, entry_type, min_count, avg_count, max_count, median_in_bound FROM rolled, (SELECT {AS_OF} AS as_of)
+WHERE (m = 1 AND time_bucket >= as_of - INTERVAL 7 DAY)
+   OR (m = 15 AND time_bucket >= as_of - INTERVAL 30 DAY AND time_bucket < as_of - INTERVAL 7 DAY)
+   OR (m = 60 AND time_bucket >= as_of - INTERVAL 90 DAY AND time_bucket < as_of - INTERVAL 30 DAY)""",
+)
+def history_of_states(spark, sf):
+    """The tiers from stored states that came in three increments; the sketch's median lies within two percent of the ranks."""
+    as_of, levels = last_event(spark, sf, days=5), staged(tb.fill_level_rows(spark, sf), "fill-levels")
+    part = F.pmod(F.xxhash64("timestamp", "entry_count"), F.lit(3))
+    states = {}
+    for t in rollups.TIERS:
+        increments = [rollups.fill_state(levels.where(part == k), t.minutes) for k in range(3)]
+        states[t.name] = staged(reduce(DataFrame.unionByName, increments), f"states-{t.name}")
+    found = rollups.fill_history_of_states(states, as_of)
+    placed = rollups.with_tier_buckets(levels, "timestamp", as_of)
+    ranks = described(placed, ("tier", *rollups.FILL_KEYS), "entry_count", [0.48, 0.52])
+    ranks = ranks.select(*rollups.FILL_KEYS, F.floor(F.col("q")[0]).alias("lo"), F.ceil(F.col("q")[1]).alias("hi"), "low", "high", "n")
+    joined = found.join(ranks, list(rollups.FILL_KEYS))
+    few = F.col("n") < 25  # so few values that two percent is less than one of them
+    median = F.col("median_count")
+    inside = F.when(few, median.between(F.col("low"), F.col("high"))).otherwise(median.between(F.col("lo"), F.col("hi")))
+    return joined.select(*rollups.FILL_KEYS, "min_count", F.round("avg_count", 9).alias("avg_count"), "max_count", inside.alias("median_in_bound"))
+
+
 @query(
     "h3_backfill",
     with_(ALERTS) + f""" SELECT time_bucket(INTERVAL 15 MINUTE, alert_timestamp) AS time_bucket, src_ip, count(*) AS alert_count
@@ -214,6 +250,20 @@ def logline_states(spark, sf):
     return L.logline_states(tb.logline_timestamps(spark, sf))
 
 
+@query("h7_incremental_states", with_(EVENTS) + " SELECT * REPLACE (CAST(logline_id AS VARCHAR) AS logline_id) FROM (" + _STATES["logline"] + ")")
+def incremental_states(spark, sf):
+    """States that came in five increments, some of them merged on the way, are those of one run."""
+    table = state_tables(f"{checkpoint_root(spark)}/states-{uuid.uuid4().hex}")["logline"]
+    events = staged(tb.logline_timestamps(spark, sf).withColumn("logline_id", F.col("logline_id").cast("string")), "line-events")
+    months = 12 * F.year("timestamp") + F.month("timestamp")
+    for k in range(5):  # neighbouring months together, so an increment touches some days only
+        table.add(spark, L.logline_states(events.where(F.pmod(F.floor(months / 17), F.lit(5)) == k)), k)
+    half = events.where(F.pmod(F.xxhash64("logline_id"), F.lit(50)) == 0)
+    table.add(spark, L.logline_states(half), 5)  # seen again: nothing changes
+    table.compact(spark, 2)
+    return table.read(spark)
+
+
 @query("h8_batch_states", with_(EVENTS) + " " + _STATES["batch"])
 def batch_states(spark, sf):
     return L.batch_states(tb.batch_timestamps(spark, sf))
@@ -265,7 +315,7 @@ def _snapshot(resolution, minutes):
 FROM all_values WHERE end_timestamp < TIMESTAMP '2024-02-01' GROUP BY 1, 2, 3""",
     )
     def snapshot(spark, sf):
-        return _rounded(L.latency_snapshot(all_values(spark, sf), resolution, LATER, exact=True))
+        return _rounded(L.latency_snapshot(all_values(spark, sf), resolution, LATER))
 
 
 for _m, _n in ((1, "1m"), (15, "15m"), (60, "1h")):
@@ -281,7 +331,7 @@ def refresh(spark, sf):
     """One scheduled refresh of the hourly tier."""
     as_of = last_ship(spark, sf, hours=12)
     hours = dt.timedelta(hours=L.LOOK_BACK["1h"])
-    return _rounded(L.latency_snapshot(all_values(spark, sf), "1h", as_of, hours, exact=True))
+    return _rounded(L.latency_snapshot(all_values(spark, sf), "1h", as_of, hours))
 
 
 @query(
@@ -298,8 +348,8 @@ def newest(spark, sf):
     """Two overlapping versions; the newer leaves one family out."""
     as_of = last_ship(spark, sf, hours=12)
     values = all_values(spark, sf)
-    first = L.latency_snapshot(values, "15m", as_of - dt.timedelta(days=30), exact=True)
-    second = L.latency_snapshot(values.filter("family <> 'logline'"), "15m", as_of, exact=True)
+    first = L.latency_snapshot(values, "15m", as_of - dt.timedelta(days=30))
+    second = L.latency_snapshot(values.filter("family <> 'logline'"), "15m", as_of)
     return _rounded(L.newest_version(first.unionByName(second)))
 
 
@@ -319,7 +369,7 @@ latency_history AS (
 
 def history(spark, sf, values=None):
     values = values if values is not None else all_values(spark, sf)
-    return L.latency_history_from_values(values, last_ship(spark, sf, hours=12), exact=True)
+    return L.latency_history_from_values(values, last_ship(spark, sf, hours=12))
 
 
 @query("h17_stored_snapshots", with_(LATENCIES + _TIERS) + " SELECT * FROM latency_history")
@@ -327,7 +377,7 @@ def stored_snapshots(spark, sf):
     """The same history, read from stored snapshots of the three resolutions."""
     as_of = last_ship(spark, sf, hours=12)
     values = staged(all_values(spark, sf), "latency-values")
-    tables = {t.name: L.latency_snapshot(values, t.name, as_of, exact=True) for t in L.LATENCY_TIERS}
+    tables = {t.name: L.latency_snapshot(values, t.name, as_of) for t in L.LATENCY_TIERS}
     return _rounded(L.latency_history(tables, as_of))
 
 
@@ -391,6 +441,29 @@ def kept_alerts(spark, sf):
     return retention.kept_table_rows(tb.alert_rows(spark, sf, with_text=False), "alerts", last_event(spark, sf, days=45))
 
 
+_TIER_ROWS = " UNION ALL ".join(
+    f"SELECT '{t.name}' AS tier, time_bucket(INTERVAL {t.minutes} MINUTE, alert_timestamp) AS time_bucket, src_ip, count(*) AS alert_count "
+    f"FROM alerts GROUP BY 1, 2, 3 HAVING time_bucket >= {AS_OF} - INTERVAL {t.to_days} DAY"
+    for t in rollups.TIERS
+)
+
+
+@query("h20_kept_tiers", with_(ALERTS) + " " + _TIER_ROWS)
+def kept_tiers(spark, sf):
+    """What three resolutions still hold once their days have expired."""
+    tables = state_tables(f"{checkpoint_root(spark)}/tiers-{uuid.uuid4().hex}")
+    alerts = staged(tb.alert_rows(spark, sf, with_text=False).select("src_ip", "alert_timestamp"), "alerts")
+    for k in range(2):
+        part = alerts.where(F.pmod(F.xxhash64("src_ip", "alert_timestamp"), F.lit(2)) == k)
+        for t in rollups.TIERS:
+            tables[f"alerts_{t.name}"].add(spark, rollups.alert_rollup(part, t.minutes), k)
+    as_of, kept = last_event(spark, sf, days=5), []
+    for t in rollups.TIERS:
+        tables[f"alerts_{t.name}"].expire(spark, as_of, t.kept)
+        kept.append(tables[f"alerts_{t.name}"].read(spark).select(F.lit(t.name).alias("tier"), "time_bucket", "src_ip", "alert_count"))
+    return reduce(DataFrame.unionByName, kept)
+
+
 @query(
     "h20_kept_loglines",
     with_(DNS) + " SELECT CAST(logline_id AS VARCHAR) AS logline_id, ts AS timestamp FROM dns_log WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 1 DAY",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from siltwatch.catalog.registry import query
-from siltwatch.catalog.views import DNS, entropy, with_
+from siltwatch.catalog.views import COMMON, DNS, TUNNEL, entropy, with_
 from siltwatch.functions.domains import FEATURES, LETTERS, LEVELS, ENTROPY_LEVELS, feature_columns
 from siltwatch.functions.similarity import METRICS
 from siltwatch.plans import evaluation as E
@@ -104,7 +104,17 @@ def windows(spark, sf):
     return training_windows(spark, sf).select("user", "domain", "window_no", "class", F.array_join("subdomains", ",").alias("subdomains"))
 
 
-@query("i3_window_features")
+_WINDOWS = """, windows AS (
+  SELECT user || '|' || c.domain || '|' || window_no AS logline_id, subs, c.domain, k.class, window_no FROM chunks c JOIN classes k ON c.domain = k.domain),
+""" + TUNNEL[TUNNEL.index("places AS") : TUNNEL.index(",\nwindow_scores AS")] + "," + COMMON
+
+
+@query(
+    "i3_window_features",
+    with_(LINES, parts_sql("rows")) + _CHUNKS + _WINDOWS + " SELECT w.domain AS query, w.class, w.window_no, "
+    + ", ".join(f"round({m}, 8) AS {m}" for m in METRICS)
+    + " FROM windows w JOIN window_jaro j ON w.logline_id = j.logline_id JOIN window_common c ON w.logline_id = c.logline_id",
+)
 def window_features(spark, sf):
     scored = TR.tunnel_training_features(training_windows(spark, sf))
     return scored.select("query", "class", "window_no", *[F.round(m, 8).alias(m) for m in METRICS])

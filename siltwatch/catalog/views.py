@@ -208,3 +208,26 @@ window_jaro AS (
   FROM pair_jaro GROUP BY logline_id
 ),
 window_scores AS (SELECT w.*, j.* EXCLUDE (logline_id) FROM windows w JOIN window_jaro j ON w.logline_id = j.logline_id)"""
+
+
+# Common subsequences (one bit per letter) and substrings of the same pairs.
+COMMON = r"""
+text_pairs AS (SELECT DISTINCT a, b FROM window_pairs),
+pair_masks AS (
+  SELECT a, b, (1::HUGEINT << length(a)) - 1 AS ones, list_transform(string_split(b, ''), lambda c:
+    list_sum(list_transform(range(length(a)), lambda i: CASE WHEN substr(a, i + 1, 1) = c THEN 1::HUGEINT << i ELSE 0::HUGEINT END))::HUGEINT) AS masks
+  FROM text_pairs WHERE a <> '' AND b <> ''
+),
+pair_common AS (
+  SELECT a, b,
+    length(a) - bit_count(list_reduce([ones] || masks, lambda r, m: ((r + (r & m)) | (r - (r & m))) & ones)) AS sequence_length,
+    list_max(list_transform(range(1, length(a) + 1), lambda i:
+      list_max(list_transform(range(0, length(a) - i + 2), lambda l: CASE WHEN contains(b, substr(a, i, l)) THEN l ELSE 0 END)))) AS string_length
+  FROM pair_masks
+),
+pair_ratios AS (
+  SELECT p.logline_id, CASE WHEN p.a = '' AND p.b = '' THEN 1.0 ELSE coalesce(2.0 * c.sequence_length / (length(p.a) + length(p.b)), 0.0) END AS indel,
+    coalesce(2.0 * c.sequence_length / (length(p.a) + length(p.b)), 0.0) AS seq, coalesce(2.0 * c.string_length / (length(p.a) + length(p.b)), 0.0) AS run
+  FROM window_pairs p LEFT JOIN pair_common c ON p.a = c.a AND p.b = c.b
+),
+window_common AS (SELECT logline_id, avg(indel) AS levenshtein, avg(seq) AS lcs_sequence, avg(run) AS lcs_string FROM pair_ratios GROUP BY logline_id)"""

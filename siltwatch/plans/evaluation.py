@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltwatch.sources.staging import small_side
+from siltwatch.plans.quantiles import borders, described, slot_of
+from siltwatch.sources.staging import small_side, staged
 
 
 def _counts() -> list[Column]:
@@ -80,36 +81,28 @@ def long_form(df: DataFrame, side: Column, features: Sequence[str]) -> DataFrame
     return rows.filter(v.isNotNull() & ~F.isnan(v) & (F.abs(v) != F.lit(float("inf"))))
 
 
-def without_outliers(rows: DataFrame, percentile: float = 0.99, exact: bool = True) -> DataFrame:
-    """Values up to the percentile of their feature and side.
-
-    The exact percentile keeps every distinct value of a feature in one
-    aggregation buffer; for continuous features of huge tables use the sketch.
-    """
-    cut = F.percentile("value", F.lit(percentile)) if exact else F.percentile_approx("value", F.lit(percentile), 100_000)
-    cuts = small_side(rows.groupBy("feature", "side").agg(cut.alias("cut")), "cuts")
+def without_outliers(rows: DataFrame, percentile: float = 0.99) -> DataFrame:
+    """Values up to the exact percentile of their feature and side."""
+    found = described(rows, ("feature", "side"), "value", [percentile])
+    cuts = small_side(found.select("feature", "side", F.col("q")[0].alias("cut")), "cuts")
     return rows.join(cuts, ["feature", "side"]).filter(F.col("value") <= F.col("cut")).drop("cut")
 
 
-def distribution_distances(
-    rows: DataFrame, percentile: float | None = 0.99, exact: bool = True, slots: int = 4096
-) -> DataFrame:
+def distribution_distances(rows: DataFrame, percentile: float | None = 0.99, slots: int = 256) -> DataFrame:
     """Kolmogorov-Smirnov statistic, its asymptotic p-value, and earth mover's distance.
 
     ``side`` is true or false. Equal values are counted before anything is
-    ordered, and a feature's value range is cut into slots whose sums are
-    chained, so its values never all meet in one task.
+    ordered, and a feature's values are cut into slots of about as many values
+    each, whose sums are chained; so they never all meet in one task.
     """
-    kept = without_outliers(rows, percentile, exact) if percentile is not None else rows
+    kept = without_outliers(rows, percentile) if percentile is not None else rows
     hit = F.col("side").cast("boolean")
     points = kept.groupBy("feature", "value").agg(F.count_if(hit).alias("n1"), F.count_if(~hit).alias("n2"))
-    sizes = points.groupBy("feature").agg(
-        F.sum("n1").alias("size1"), F.sum("n2").alias("size2"), F.min("value").alias("lo"), F.max("value").alias("hi")
-    )
-    span = F.greatest(F.col("hi") - F.col("lo"), F.lit(1e-300))
-    slotted = points.join(small_side(sizes.filter("size1 > 0 AND size2 > 0"), "sizes"), "feature").withColumn(
-        "slot", F.floor((F.col("value") - F.col("lo")) / span * (slots - 1)).cast("bigint")
-    )
+    points = staged(points, "points")
+    sizes = points.groupBy("feature").agg(F.sum("n1").alias("size1"), F.sum("n2").alias("size2")).filter("size1 > 0 AND size2 > 0")
+    cuts = borders(points.withColumnRenamed("value", "v"), ["feature"], slots)
+    both = small_side(sizes.join(cuts, "feature"), "sizes")
+    slotted = points.join(both, "feature").withColumn("slot", slot_of(F.col("value"), F.col("cuts"))).drop("cuts")
     by_slot = slotted.groupBy("feature", "slot").agg(F.sum("n1").alias("m1"), F.sum("n2").alias("m2"), F.min("value").alias("first"))
     slot_order = Window.partitionBy("feature").orderBy("slot")
     before = slot_order.rowsBetween(Window.unboundedPreceding, -1)

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltwatch.plans.quantiles import described
 from siltwatch.plans.rollups import TIERS, Tier, age_between, bucket, tiered, with_tier_buckets
 
 # Statuses that end a stage, per kind of entity.
@@ -172,49 +173,33 @@ def latency_values(parts: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), [one(f, df) for f, df in parts.items()])
 
 
-def _statistics(exact: bool) -> list[Column]:
-    v = F.col("latency_us")
-    cuts = F.array(F.lit(0.5), F.lit(0.95), F.lit(0.99))
-    quantiles = F.percentile(v, cuts) if exact else F.percentile_approx(v, cuts, 10_000)
-    return [
-        F.count(F.lit(1)).alias("sample_count"),
-        F.min(v).alias("min_latency_us"),
-        F.avg(v).alias("avg_latency_us"),
-        quantiles.alias("_q"),
-        F.max(v).alias("max_latency_us"),
-    ]
+def _statistics(values: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Counts, extremes, mean and exact quantiles; one hot stage's values never sit in one task."""
+    found = described(values, keys, "latency_us", (0.5, 0.95, 0.99))
+    return found.select(
+        *[k for k in keys if k != "tier"],
+        F.col("n").alias("sample_count"),
+        F.col("low").alias("min_latency_us"),
+        F.col("mean").alias("avg_latency_us"),
+        F.col("q")[0].alias("p50_latency_us"),
+        F.col("q")[1].alias("p95_latency_us"),
+        F.col("q")[2].alias("p99_latency_us"),
+        F.col("high").alias("max_latency_us"),
+    )
 
 
-def latency_snapshot(
-    values: DataFrame, resolution: str, as_of: dt.datetime, look_back: dt.timedelta | None = None, exact: bool = False
-) -> DataFrame:
+def latency_snapshot(values: DataFrame, resolution: str, as_of: dt.datetime, look_back: dt.timedelta | None = None) -> DataFrame:
     """Statistics of the closed buckets of a resolution.
 
     ``look_back`` limits a regular refresh; without it the whole history is
-    computed. Quantiles are approximate unless ``exact``: one hot stage's values
-    then never sit in one task.
+    computed.
     """
     minutes = next(t.minutes for t in TIERS if t.name == resolution)
     closed = values.filter(F.col("end_timestamp") < bucket(F.lit(as_of), minutes))
     if look_back is not None:
         closed = closed.filter(F.col("end_timestamp") >= F.lit(as_of - look_back))
-    grouped = closed.groupBy(bucket("end_timestamp", minutes).alias("time_bucket"), "family", "stage").agg(*_statistics(exact))
-    return _with_quantiles(grouped).withColumn("snapshot_version", F.lit(as_of))
-
-
-def _with_quantiles(grouped: DataFrame) -> DataFrame:
-    return grouped.select(
-        "time_bucket",
-        "family",
-        "stage",
-        "sample_count",
-        "min_latency_us",
-        "avg_latency_us",
-        F.col("_q")[0].cast("double").alias("p50_latency_us"),
-        F.col("_q")[1].cast("double").alias("p95_latency_us"),
-        F.col("_q")[2].cast("double").alias("p99_latency_us"),
-        "max_latency_us",
-    )
+    placed = closed.withColumn("time_bucket", bucket("end_timestamp", minutes))
+    return _statistics(placed, ("time_bucket", "family", "stage")).withColumn("snapshot_version", F.lit(as_of))
 
 
 def newest_version(snapshots: DataFrame) -> DataFrame:
@@ -230,11 +215,10 @@ def latency_history(snapshots: Mapping[str, DataFrame], as_of: dt.datetime) -> D
     return tiered({n: newest_version(df) for n, df in snapshots.items()}, as_of, LATENCY_TIERS).drop("snapshot_version")
 
 
-def latency_history_from_values(values: DataFrame, as_of: dt.datetime, exact: bool = False) -> DataFrame:
+def latency_history_from_values(values: DataFrame, as_of: dt.datetime) -> DataFrame:
     """The tiered history straight from values, for a first fill without snapshots."""
     placed = with_tier_buckets(values, "end_timestamp", as_of, LATENCY_TIERS)
-    grouped = placed.groupBy("tier", "time_bucket", "family", "stage").agg(*_statistics(exact))
-    return _with_quantiles(grouped)
+    return _statistics(placed, ("tier", "time_bucket", "family", "stage"))
 
 
 def recent_and_typical(values: DataFrame, history: DataFrame, as_of: dt.datetime) -> DataFrame:

@@ -10,6 +10,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltwatch.plans.quantiles import described
+
 
 @dataclass(frozen=True)
 class Tier:
@@ -90,12 +92,18 @@ def finish_fill_states(states: DataFrame) -> DataFrame:
 
 def fill_rollup(levels: DataFrame, minutes: int) -> DataFrame:
     """Exact min, average, max and median per bucket, stage and entry type."""
-    return levels.groupBy(bucket("timestamp", minutes).alias("time_bucket"), "stage", "entry_type").agg(*_fill_statistics())
+    return _fill_statistics(levels.withColumn("time_bucket", bucket("timestamp", minutes)), FILL_KEYS)
 
 
-def _fill_statistics() -> list[Column]:
-    c = F.col("entry_count")
-    return [F.min(c).alias("min_count"), F.avg(c).alias("avg_count"), F.max(c).alias("max_count"), F.median(c).alias("median_count")]
+def _fill_statistics(levels: DataFrame, keys: Sequence[str]) -> DataFrame:
+    kind = levels.schema["entry_count"].dataType
+    return described(levels, keys, "entry_count", [0.5]).select(
+        *keys,
+        F.col("low").cast(kind).alias("min_count"),
+        F.col("mean").alias("avg_count"),
+        F.col("high").cast(kind).alias("max_count"),
+        F.col("q")[0].alias("median_count"),
+    )
 
 
 def age_between(time: str, as_of: dt.datetime, from_days: int, to_days: int) -> Column:
@@ -139,7 +147,12 @@ def alerts_history(alerts: DataFrame, as_of: dt.datetime) -> DataFrame:
 def fill_levels_history(levels: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Tiered history of fill levels with exact medians, straight from raw rows."""
     placed = with_tier_buckets(levels, "timestamp", as_of)
-    return placed.groupBy("tier", *FILL_KEYS).agg(*_fill_statistics()).drop("tier")
+    return _fill_statistics(placed, ("tier", *FILL_KEYS)).drop("tier")
+
+
+def fill_history_of_states(states: dict[str, DataFrame], as_of: dt.datetime) -> DataFrame:
+    """Tiered history from stored states; a state may come in several parts, as increments leave it."""
+    return tiered({name: finish_fill_states(merge_fill_states(rows)) for name, rows in states.items()}, as_of)
 
 
 def backfill_rows(raw: DataFrame, target: DataFrame | None, time: str, as_of: dt.datetime, days: int) -> DataFrame | None:

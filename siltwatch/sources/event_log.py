@@ -1,11 +1,4 @@
-"""Monitoring tables that change all at once.
-
-A micro-batch writes the rows of all tables in one go, then a manifest that lists its
-files. Readers read listed files only, so a micro-batch shows in every table or in
-none, whatever a stopped try has left behind. Expiry is such a change too: the days
-that ended go, the day that is half expired is written anew, and a new list takes the
-place of the old one.
-"""
+"""Monitoring tables of a collector, all committed at once, and the times of its stages."""
 
 from __future__ import annotations
 
@@ -19,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltwatch.sources.folders import exists, folders, read_text, remove, write_text
+from siltwatch.sources.file_log import FileLog
+from siltwatch.sources.folders import exists, read_text, write_text
 from siltwatch.sources.schemas import RETENTION_DAYS, TABLES, conform, event_time, table_schema
 
 Part = tuple[str, DataFrame]
@@ -42,108 +36,39 @@ def _wide(df: DataFrame, table: str) -> DataFrame:
     return rows.select(*columns, F.lit(table).alias("table_name"), F.to_date(event_time(table)).alias("day"))
 
 
-@dataclass(frozen=True)
-class Listed:
-    table: str
-    day: str
-    path: str
-
-
 @dataclass
-class EventLog:
-    root: str
-    every: int = 32
-    """Lists are joined to one after so many micro-batches."""
+class EventLog(FileLog):
+    """The monitoring tables of one collector; partitions are table and day."""
+
+    parts: tuple[str, ...] = ("table_name", "day")
 
     def write(self, spark: SparkSession, parts: Iterable[Part], batch_id: int) -> None:
-        """Write the rows of a micro-batch; they show once it is committed."""
-        for left in folders(spark, f"{self.root}/rows/table_name=*/day=*/stream_batch={batch_id}"):
-            remove(spark, left)
-        rows = reduce(DataFrame.unionByName, [_wide(df, table) for table, df in parts])
-        # One pass over all tables; large tables are cut, small ones share a task.
-        out = rows.withColumn("stream_batch", F.lit(batch_id)).hint("rebalance", "table_name", "day")
-        out.write.mode("append").partitionBy("table_name", "day", "stream_batch").parquet(f"{self.root}/rows")
-
-    def commit(self, spark: SparkSession, batch_id: int) -> None:
-        """List the files of a micro-batch: from here on readers see it."""
-        mine = folders(spark, f"{self.root}/rows/table_name=*/day=*/stream_batch={batch_id}/*.parquet")
-        write_text(spark, f"{self.root}/commits/{batch_id}", _lines(map(_listed, mine)))
-        if batch_id % self.every == self.every - 1:
-            self._join(spark, self.files(spark), batch_id)
-
-    def committed(self, spark: SparkSession, batch_id: int) -> bool:
-        whole = self._whole(spark)
-        return batch_id <= (whole[0] if whole else -1) or exists(spark, f"{self.root}/commits/{batch_id}")
-
-    def files(self, spark: SparkSession, table: str | None = None) -> list[Listed]:
-        """Committed files, of one table or of all."""
-        whole = self._whole(spark)
-        texts = [whole[2]] if whole else []
-        for path in folders(spark, f"{self.root}/commits/[0-9]*"):
-            if int(path.rpartition("/")[2]) > (whole[0] if whole else -1):
-                texts.append(path)
-        listed = [Listed(*line.split("\t")) for path in texts for line in read_text(spark, path).splitlines()]
-        return [x for x in listed if table in (None, x.table)]
-
-    def read(self, spark: SparkSession, table: str, first_day: dt.date | None = None) -> DataFrame:
-        """Committed rows of a table, from a day on."""
+        """Write the rows of a micro-batch in one pass over all tables; they show once it is committed."""
+        self.put(spark, reduce(DataFrame.unionByName, [_wide(df, table) for table, df in parts]), batch_id)
+
+    def read(self, spark: SparkSession, table: str, first_day: dt.date | None = None, batch_id: int | None = None) -> DataFrame:
+        """Committed rows of a table, from a day on or of one micro-batch."""
         since = str(first_day) if first_day else ""
-        paths = [f"{self.root}/rows/{x.path}" for x in self.files(spark, table) if x.day >= since]
-        if not paths:
-            return spark.createDataFrame([], table_schema(table))
-        return spark.read.schema(table_schema(table)).parquet(*paths)
+        listed = [x for x in self.files(spark, batch_id) if x.parts[0] == table and x.parts[1] >= since]
+        return self.rows(spark, listed, table_schema(table))
 
     def expire(self, spark: SparkSession, as_of: dt.datetime) -> dict[str, int]:
-        """Drop rows past their table's time to live; returns files dropped or replaced per table."""
-        listed, kept, gone = self.files(spark), [], []
-        tag = f"kept-{time.time_ns()}"
-        for table in {x.table for x in listed}:
+        """Drop rows past their table's time to live; returns files dropped or replaced per table.
+
+        Days that ended go; the day that is half expired is written anew.
+        """
+        listed, gone, new = self.files(spark), [], []
+        for table in {x.parts[0] for x in listed}:
             limit = as_of - dt.timedelta(days=RETENTION_DAYS[table])
             border = str(limit.date())
-            own = [x for x in listed if x.table == table]
-            kept += [x for x in own if x.day > border]
-            gone += [x for x in own if x.day < border]
-            half = [x for x in own if x.day == border]
+            own = [x for x in listed if x.parts[0] == table]
+            half = [x for x in own if x.parts[1] == border]
+            gone += [x for x in own if x.parts[1] <= border]
             if half:
-                place = f"table_name={table}/day={border}/{tag}"
-                rows = spark.read.schema(table_schema(table)).parquet(*[f"{self.root}/rows/{x.path}" for x in half])
-                rows.where(F.col(event_time(table)) >= F.lit(limit)).write.parquet(f"{self.root}/rows/{place}")
-                kept += map(_listed, folders(spark, f"{self.root}/rows/{place}/*.parquet"))
-                gone += half
-        numbers = [int(p.rpartition("/")[2]) for p in folders(spark, f"{self.root}/commits/[0-9]*")]
-        whole = self._whole(spark)
-        self._join(spark, kept, max([whole[0] if whole else -1, *numbers]))
-        for x in gone:
-            remove(spark, f"{self.root}/rows/{x.path}")
-        return {t: sum(x.table == t for x in gone) for t in {x.table for x in gone}}
-
-    def _whole(self, spark: SparkSession) -> tuple[int, int, str] | None:
-        """(last micro-batch, version, path) of the newest joined list."""
-        found = []
-        for path in folders(spark, f"{self.root}/commits/whole-*"):
-            number, version = path.rpartition("/whole-")[2].split("-")
-            found.append((int(number), int(version), path))
-        return max(found, default=None)
-
-    def _join(self, spark: SparkSession, listed: list[Listed], last: int) -> None:
-        before = self._whole(spark)
-        version = before[1] + 1 if before else 0
-        write_text(spark, f"{self.root}/commits/whole-{last}-{version}", _lines(listed))
-        for path in folders(spark, f"{self.root}/commits/[0-9]*"):
-            if int(path.rpartition("/")[2]) <= last:
-                remove(spark, path)
-        if before:
-            remove(spark, before[2])
-
-
-def _listed(path: str) -> Listed:
-    inner = path[path.index("/rows/table_name=") + len("/rows/") :]
-    table, day = (piece.partition("=")[2] for piece in inner.split("/")[:2])
-    return Listed(table, day, inner)
-
-
-def _lines(listed: Iterable[Listed]) -> str:
-    return "".join(f"{x.table}\t{x.day}\t{x.path}\n" for x in listed)
+                kept = self.rows(spark, half, table_schema(table)).where(F.col(event_time(table)) >= F.lit(limit))
+                new += self.rewritten(spark, kept, (table, border))
+        self.swap(spark, gone, new)
+        return {t: sum(x.parts[0] == t for x in gone) for t in {x.parts[0] for x in gone}}
 
 
 @dataclass

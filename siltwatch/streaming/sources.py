@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from siltwatch.sources.staging import staged
+
 
 def topic_source(brokers: list[str], topics: list[str], per_trigger: int | None = None) -> dict[str, str]:
     """Options of a committed-only topic source that starts at the earliest offset."""
@@ -27,20 +29,44 @@ def topic_stream(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
     )
 
 
-def file_stream(spark: SparkSession, path: str, topic: str, files_per_trigger: int | None = None) -> DataFrame:
-    """Same columns from text files; a line's place stands for its offset."""
+def file_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+    """Lines of text files as they come; :func:`file_lines` gives them their places, micro-batch by micro-batch."""
     reader = spark.readStream.format("text")
     reader = reader.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else reader
     return reader.load(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.col("_metadata.file_modification_time").alias("timestamp"),
+    )
+
+
+def file_lines(batch: DataFrame, topic: str) -> DataFrame:
+    """Records like a topic's from the files of a micro-batch; a line's number is its offset.
+
+    A file comes whole in one micro-batch. Its blocks are read by several tasks: each
+    line knows its place in its block, and the line counts of the blocks before it are
+    added. So the number does not depend on how a file was cut, and equal lines differ.
+    """
+    rows = staged(batch.withColumn("_row", F.monotonically_increasing_id()), "file-lines")
+    blocks = rows.groupBy("path", "block").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_count"))
+    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select("path", "block", "_first", F.coalesce(F.sum("_count").over(before), F.lit(0)).alias("_before"))
+    return rows.join(blocks, ["path", "block"]).select(
         F.lit(None).cast("string").alias("key"),
         "value",
         F.lit(topic).alias("topic"),
-        F.xxhash64("_metadata.file_path").alias("partition"),
-        F.xxhash64("_metadata.file_path", "_metadata.file_block_start", "value").alias("offset"),
-        F.col("_metadata.file_modification_time").alias("timestamp"),
+        F.xxhash64("path").alias("partition"),
+        (F.col("_before") + F.col("_row") - F.col("_first")).alias("offset"),
+        "timestamp",
     )
 
 
+def reading_files(job: Callable[[DataFrame, int], None], topic: str) -> Callable[[DataFrame, int], None]:
+    """A job that gets the stamped lines of a file stream's micro-batches."""
+    return lambda batch, number: job(stamped(file_lines(batch, topic)), number)
+
+
 def uuid_of(text: Column) -> Column:
     """A digest of a text, shaped as a UUID."""
     digest = F.sha2(text, 256)

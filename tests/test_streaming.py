@@ -110,6 +110,29 @@ def test_ingest_stamp_is_stable_under_replay(spark, tmp_path):
     assert options["kafka.isolation.level"] == "read_committed" and options["startingOffsets"] == "earliest"
 
 
+def test_equal_lines_are_lines_of_their_own(spark, tmp_path):
+    lines = ["same", "same", "other", "same", *[f"line {i % 4}" for i in range(3000)]]
+    (tmp_path / "in").mkdir()
+    for name in ("a.txt", "b.txt"):
+        (tmp_path / "in" / name).write_text("\n".join(lines) + "\n")
+    seen = []
+
+    def job(rows, number):
+        seen.append({(r.message_id, r.partition, r.offset): r.value for r in rows.collect()})
+
+    for k, piece in enumerate(["134217728", "4000", "4000"]):  # cut otherwise, and replayed
+        spark.conf.set("spark.sql.files.maxPartitionBytes", piece)
+        try:
+            query = jobs.run(sources.file_stream(spark, str(tmp_path / "in")), sources.reading_files(job, "dns"), str(tmp_path / f"check{k}"))
+            assert query.awaitTermination(120)
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(seen) == 3 and seen[0] == seen[1] == seen[2]
+    assert len({m for m, _, _ in seen[0]}) == 2 * len(lines)
+    for partition in {p for _, p, _ in seen[0]}:
+        assert [v for (_, p, _), v in sorted(seen[0].items(), key=lambda x: x[0][2]) if p == partition] == lines
+
+
 FORMAT = LogFormat.parse(
     [["ts", "Timestamp", "%Y-%m-%dT%H:%M:%S"], ["status_code", "ListItem", ["NOERROR", "NXDOMAIN"], ["NXDOMAIN"]], ["src_ip", "IpAddress"],
      ["domain_name", "RegEx", r"^[a-z0-9.]+$"], ["size", "RegEx", r"^\d+$"]]
@@ -133,8 +156,8 @@ def test_lines_to_alerts_in_one_stream(spark, tmp_path):
         settings={"name": "dga", "threshold": 0.6},
         alert_sinks=(lambda alerts, n: forwarded.extend(r.src_ip for r in alerts.collect()),),
     )
-    stream = sources.stamped(sources.file_stream(spark, str(tmp_path / "in"), "dns"))
-    query = jobs.run(stream, job, str(tmp_path / "check"))
+    stream = sources.file_stream(spark, str(tmp_path / "in"))
+    query = jobs.run(stream, sources.reading_files(job, "dns"), str(tmp_path / "check"))
     assert query.awaitTermination(180)
     read = lambda t: job.log.read(spark, t)
     failed = read("failed_loglines")
