@@ -266,17 +266,12 @@ def _sums(pieces: Pieces, languages: list[str]):
                     weight = lattice.expected(pieces.prior)
                     for k, uses in used.items():
                         total[k] += np.bincount(lattice.piece, weights=weight * uses[low:high][lattice.word], minlength=pieces.count)
-        if total.any():
-            yield pa.record_batch({"lang": pa.array(languages), "sums": pa.array([t.tobytes() for t in total], pa.binary())})
+        lang, piece = np.nonzero(total)
+        yield pa.record_batch({"lang": lang.astype(np.int32), "piece": piece.astype(np.int32), "uses": total[lang, piece]})
 
     return run
 
 
-def _add(rows: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(s.as_buffer()) for s in rows.column("sums"))
-    return pa.table({"lang": rows.column("lang")[:1], "sums": pa.array([total.tobytes()], pa.binary())})
-
-
 @dataclass
 class LanguageModel:
     languages: list[str]
@@ -286,7 +281,11 @@ class LanguageModel:
 
 
 def fit(docs: DataFrame, learn: Column, vocabulary: str = DEFAULT_VOCABULARY) -> LanguageModel:
-    """Piece probabilities of each ``lang`` from all rows with text and lang where ``learn`` holds."""
+    """Piece probabilities of each ``lang`` from all rows with text and lang where ``learn`` holds.
+
+    Rows that repeat count as often as they occur. More than ``MOST_LANGUAGES`` languages
+    are an error: a model of them would not fit a task.
+    """
     rows = docs.where("text IS NOT NULL AND lang IS NOT NULL").where(learn).select("text", "lang")
     languages = sorted(r[0] for r in rows.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect())
     if len(languages) > MOST_LANGUAGES:
@@ -294,9 +293,9 @@ def fit(docs: DataFrame, learn: Column, vocabulary: str = DEFAULT_VOCABULARY) ->
     pieces = Pieces(load_pieces(vocabulary))
     counts = np.full((pieces.count, len(languages)), 0.01)
     if languages:
-        sums = rows.mapInArrow(_sums(pieces, languages), "lang string, sums binary").groupBy("lang")
-        for row in sums.applyInArrow(_add, "lang string, sums binary").toArrow().to_pylist():
-            counts[:, languages.index(row["lang"])] += np.frombuffer(row["sums"])
+        sums = rows.mapInArrow(_sums(pieces, languages), "lang int, piece int, uses double").groupBy("lang", "piece")
+        found = sums.agg(F.sum("uses").alias("uses")).toArrow()  # a row per language and piece at most
+        counts[found.column("piece").to_numpy(), found.column("lang").to_numpy()] += found.column("uses").to_numpy()
     return LanguageModel(languages, pieces, counts / counts.sum(axis=0))
 
 
@@ -304,7 +303,9 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """``doc_id``, ``lang_pred`` and ``score`` (the posterior of that language among those learned).
 
     A null text, one without letters, and any text if nothing was learned get ``und``
-    with score 0. Ties go to the language that comes first. Other columns are ignored.
+    with score 0. Ties go to the language that comes first. Every row gets a result of
+    its own, also repeated ones; a null doc_id stays null. Other columns are ignored; an
+    empty table gives no rows.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
