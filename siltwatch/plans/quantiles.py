@@ -52,43 +52,44 @@ def _selected(points: DataFrame, sizes: DataFrame, keys: Sequence[str], qs: Sequ
     """(keys, q): quantiles of large groups by selection."""
     keys = list(keys)
     own = points.join(sizes.select(*keys), keys)
-    slotted = own.join(borders(own, keys, SLOTS), keys).select(*keys, "v", "f", slot_of(F.col("v"), F.col("cuts")).alias("slot"))
+    slotted = own.join(borders(own, keys, SLOTS), keys).select(*keys, "v", "f", slot_of(F.col("v"), F.col("cuts")).alias("_slot"))
     slotted = staged(slotted, "slotted-values")
-    before = Window.partitionBy(*keys).orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-    starts = slotted.groupBy(*keys, "slot").agg(F.sum("f").alias("held"))
-    starts = starts.withColumn("start", F.coalesce(F.sum("held").over(before), F.lit(0)))
+    before = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    starts = slotted.groupBy(*keys, "_slot").agg(F.sum("f").alias("_held"))
+    starts = starts.withColumn("_start", F.coalesce(F.sum("_held").over(before), F.lit(0)))
     place = lambda q: F.lit(float(q)) * (F.col("n") - 1)
     wanted = [
-        F.struct(F.lit(k).alias("k"), F.lit(up).alias("up"), place(q).alias("at"), (F.ceil(place(q)) if up else F.floor(place(q))).alias("rank"))
+        F.struct(F.lit(k).alias("_k"), F.lit(up).alias("_up"), place(q).alias("_at"), (F.ceil(place(q)) if up else F.floor(place(q))).alias("_rank"))
         for k, q in enumerate(qs)
         for up in (False, True)
     ]
     wanted = sizes.select(*keys, F.explode(F.array(*wanted)).alias("w")).select(*keys, "w.*")
-    inside = (F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("start") + F.col("held"))
-    wanted = staged(wanted.join(starts, keys).where(inside).select(*keys, "slot", "start", "k", "up", "at", "rank"), "wanted-ranks")
-    held = slotted.join(wanted.select(*keys, "slot").distinct(), [*keys, "slot"])
-    upto = F.sum("f").over(Window.partitionBy(*keys, "slot").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-    ranked = held.withColumn("upto", upto)
-    rank = F.col("rank") - F.col("start")
-    found = wanted.join(ranked, [*keys, "slot"]).where((rank < F.col("upto")) & (rank >= F.col("upto") - F.col("f")))
-    ends = found.groupBy(*keys, "k", "at").agg(
-        F.max(F.when(~F.col("up"), F.col("v"))).alias("low"), F.max(F.when(F.col("up"), F.col("v"))).alias("high")
+    inside = (F.col("_rank") >= F.col("_start")) & (F.col("_rank") < F.col("_start") + F.col("_held"))
+    wanted = staged(wanted.join(starts, keys).where(inside).select(*keys, "_slot", "_start", "_k", "_up", "_at", "_rank"), "wanted-ranks")
+    held = slotted.join(wanted.select(*keys, "_slot").distinct(), [*keys, "_slot"])
+    upto = F.sum("f").over(Window.partitionBy(*keys, "_slot").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = held.withColumn("_upto", upto)
+    rank = F.col("_rank") - F.col("_start")
+    found = wanted.join(ranked, [*keys, "_slot"]).where((rank < F.col("_upto")) & (rank >= F.col("_upto") - F.col("f")))
+    ends = found.groupBy(*keys, "_k", "_at").agg(
+        F.max(F.when(~F.col("_up"), F.col("v"))).alias("_low"), F.max(F.when(F.col("_up"), F.col("v"))).alias("_high")
     )
-    low, high, at = F.col("low"), F.col("high"), F.col("at")
+    low, high, at = F.col("_low"), F.col("_high"), F.col("_at")
     between = F.when(low == high, low).otherwise((F.ceil(at) - at) * low + (at - F.floor(at)) * high)
-    listed = ends.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("k", between.alias("v")))).alias("q"))
+    listed = ends.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_k", between.alias("v")))).alias("q"))
     return listed.select(*keys, F.transform("q", lambda e: e["v"]).alias("q"))
 
 
 def described(rows: DataFrame, keys: Sequence[str], value: str, qs: Sequence[float], limit: int = LIMIT) -> DataFrame:
     """(keys, n, low, mean, high, q): counts, extremes, mean and exact quantiles of each group.
 
-    Quantiles between two values are interpolated. Groups without a value leave.
+    Quantiles between two values are interpolated. Groups without a value leave; a null
+    in a key is a group like others.
     """
-    keys = list(keys)
-    points = staged(value_counts(rows, keys, value), "value-counts")
+    own = rows.select(F.struct(*keys).alias("_key"), value)  # one column, in which nulls are equal
+    points = staged(value_counts(own, ["_key"], value), "value-counts")
     sizes = staged(
-        points.groupBy(*keys).agg(
+        points.groupBy("_key").agg(
             F.sum("f").alias("n"), F.count(F.lit(1)).alias("m"), F.min("v").alias("low"), F.max("v").alias("high"),
             (F.sum(F.col("v") * F.col("f")) / F.sum("f")).alias("mean"),
         ),
@@ -99,8 +100,8 @@ def described(rows: DataFrame, keys: Sequence[str], value: str, qs: Sequence[flo
     small = points
     some = not large.isEmpty()
     if some:
-        small = points.join(large.select(*keys), keys, "left_anti")
-    found = small.groupBy(*keys).agg(F.percentile("v", cuts, F.col("f")).alias("q"))
+        small = points.join(large.select("_key"), "_key", "left_anti")
+    found = small.groupBy("_key").agg(F.percentile("v", cuts, F.col("f")).alias("q"))
     if some:
-        found = found.unionByName(_selected(points, large, keys, qs))
-    return sizes.drop("m").join(found, keys)
+        found = found.unionByName(_selected(points, large, ["_key"], qs))
+    return sizes.join(found, "_key").select("_key.*", "n", "low", "mean", "high", "q")

@@ -66,7 +66,7 @@ class EventLog(FileLog):
             gone += [x for x in own if x.parts[1] <= border]
             if half:
                 kept = self.rows(spark, half, table_schema(table)).where(F.col(event_time(table)) >= F.lit(limit))
-                new += self.rewritten(spark, kept, (table, border))
+                new += self.rewritten(spark, kept.withColumns({"table_name": F.lit(table), "day": F.lit(border)}))
         self.swap(spark, gone, new)
         return {t: sum(x.parts[0] == t for x in gone) for t in {x.parts[0] for x in gone}}
 

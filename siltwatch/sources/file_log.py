@@ -40,14 +40,20 @@ class FileLog:
         """Write the rows of a micro-batch; they show once it is committed."""
         for left in self._folders(spark, batch_id):
             remove(spark, left)
+        self._write(rows, batch_id)
+
+    def _write(self, rows: DataFrame, batch_id: int) -> None:
         # Large partitions are cut, small ones share a task.
         out = rows.withColumn("stream_batch", F.lit(batch_id)).hint("rebalance", *self.parts)
         out.write.mode("append").partitionBy(*self.parts, "stream_batch").parquet(f"{self.root}/rows")
 
+    def _written(self, spark: SparkSession, batch_id: int) -> list[Listed]:
+        pattern = "/".join(f"{c}=*" for c in self.parts)
+        return [self._listed(f) for f in folders(spark, f"{self.root}/rows/{pattern}/stream_batch={batch_id}/*.parquet")]
+
     def commit(self, spark: SparkSession, batch_id: int) -> None:
         """List the files of a micro-batch: from here on readers see it."""
-        mine = [f for folder in self._folders(spark, batch_id) for f in folders(spark, f"{folder}/*.parquet")]
-        write_text(spark, f"{self.root}/commits/{batch_id}", _lines(map(self._listed, mine)))
+        write_text(spark, f"{self.root}/commits/{batch_id}", _lines(self._written(spark, batch_id)))
         if batch_id % self.every == self.every - 1:
             self._join(spark, self.files(spark), batch_id)
 
@@ -70,12 +76,11 @@ class FileLog:
             return spark.createDataFrame([], schema)
         return spark.read.schema(schema).parquet(*[f"{self.root}/rows/{x.path}" for x in listed])
 
-    def rewritten(self, spark: SparkSession, rows: DataFrame, parts: tuple[str, ...]) -> list[Listed]:
-        """Files of a partition written anew, for a swap."""
-        named = "/".join(f"{c}={v}" for c, v in zip(self.parts, parts, strict=True))
-        place = f"{self.root}/rows/{named}/stream_batch=-{time.time_ns()}"
-        rows.write.parquet(place)
-        return [self._listed(f) for f in folders(spark, f"{place}/*.parquet")]
+    def rewritten(self, spark: SparkSession, rows: DataFrame) -> list[Listed]:
+        """Files of partitions written anew, for a swap; all in one write."""
+        tag = -time.time_ns()
+        self._write(rows, tag)
+        return self._written(spark, tag)
 
     def swap(self, spark: SparkSession, gone: Sequence[Listed], new: Sequence[Listed]) -> None:
         """Take files off the list and put others on it, at once; then those taken off are removed."""

@@ -51,15 +51,17 @@ class StateTable:
         return self._merged(self.log.rows(spark, [x for x in self.log.files(spark) if x.parts[0] >= since], self._schema()))
 
     def compact(self, spark: SparkSession, fewest: int = 8) -> int:
-        """Merge the days that have so many increments; returns how many were."""
-        listed, done = self.log.files(spark), 0
-        for day in sorted({x.parts[0] for x in listed}):
-            own = [x for x in listed if x.parts[0] == day]
-            if len({x.batch for x in own}) >= fewest:
-                merged = self._merged(self.log.rows(spark, own, self._schema())).select(*self._columns())
-                self.log.swap(spark, own, self.log.rewritten(spark, merged, (day,)))
-                done += 1
-        return done
+        """Merge the days that have so many increments, all in one pass; returns how many were."""
+        batches: dict[str, set[str]] = {}
+        listed = self.log.files(spark)
+        for x in listed:
+            batches.setdefault(x.parts[0], set()).add(x.batch)
+        due = {day for day, own in batches.items() if len(own) >= fewest}
+        if due:
+            old = [x for x in listed if x.parts[0] in due]
+            merged = self._merged(self.log.rows(spark, old, self._schema())).select(*self._columns(), F.to_date(self.time).alias("day"))
+            self.log.swap(spark, old, self.log.rewritten(spark, merged))
+        return len(due)
 
     def expire(self, spark: SparkSession, as_of: dt.datetime, kept: dt.timedelta) -> int:
         """Drop what is older than a tier keeps: ended days at once, the border day by writing it anew."""
@@ -70,7 +72,7 @@ class StateTable:
         new = []
         if half:
             rest = self.log.rows(spark, half, self._schema()).where(F.col(self.time) >= F.lit(limit))
-            new = self.log.rewritten(spark, rest, (border,))
+            new = self.log.rewritten(spark, rest.withColumn("day", F.to_date(self.time)))
         self.log.swap(spark, gone, new)
         return len(gone)
 
