@@ -9,11 +9,14 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltwatch.catalog.detection import CLASSES, WINDOWS
+from siltwatch.catalog.detection import AT, CLASSES, WINDOWS
+from siltwatch.catalog.ingest import SPEC
 from siltwatch.catalog.inspection import INSPECT
 from siltwatch.catalog.registry import query
-from siltwatch.catalog.views import DNS, TUNNEL, batches, entropy, series, verdicts, with_
+from siltwatch.catalog.views import DNS, TUNNEL, TUNNEL_LOG, batches, domains, entropy, series, verdicts, with_
+from siltwatch.operators import alerts as A
 from siltwatch.operators.batching import BatchSpec
+from siltwatch.operators.inspection import suspicious_lines
 from siltwatch.plans import flow
 from siltwatch.session import checkpoint_root
 from siltwatch.sources import testbed as tb
@@ -190,3 +193,21 @@ def detector_chain(spark, sf):
     named = flow.run_detectors(lines, entries)["attributor"]
     ids = F.array_join(F.transform("request", lambda m: m["logline_id"]), ",")
     return named.select(ids.alias("window_ids"), "predicted_class", F.round("probability", 10).alias("probability"))
+
+
+@query(
+    "f16_tunnel_flow",
+    with_(
+        DNS, TUNNEL_LOG, batches(40, 86_400).replace("FROM valid_log", "FROM tunnel_log"), series(), verdicts("z", 1.5, 0.1),
+        "fresh AS (SELECT * FROM suspicious WHERE NOT is_buffer)", domains("fresh"), TUNNEL,
+    )
+    + """ SELECT suspicious_batch_id, src_ip, count(*) AS n_warnings, round(median(1 - jaro), 8) AS overall_score
+FROM window_scores WHERE 1 - jaro > 0.5 GROUP BY 1, 2""",
+)
+def tunnel_flow(spark, sf):
+    """Batches, inspection, windows of suspicious lines, and one alert per client batch."""
+    messages = flow.sent_messages(tb.tunnel_log(spark, sf), SPEC, "no_relevance_check", tb.DNS_FORMAT)
+    lines = staged(suspicious_lines(messages, flow.inspect(messages, INSPECT)), "suspicious")
+    entries = ({"name": "tunnel", "detector": "TunnelDetector", "inspector_name": "dga"},)
+    alerts = A.build_alerts(flow.run_detectors(lines, entries)["tunnel"], "tunnel", F.lit(AT), A.compact_warning())
+    return alerts.select("suspicious_batch_id", "src_ip", "n_warnings", F.round("overall_score", 8).alias("overall_score"))

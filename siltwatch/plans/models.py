@@ -6,8 +6,11 @@ import hashlib
 import json
 import math
 import random
+import time
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
@@ -20,6 +23,7 @@ from pyspark.sql import functions as F
 
 from siltwatch.functions.domains import FEATURES, feature_columns, with_domain_parts
 from siltwatch.plans.training import SEED, balanced_weights, binary_label, preprocess
+from siltwatch.sources.staging import staged
 
 # Model names a configuration may use.
 MODEL_NAMES = ("rf", "xg", "gbm")
@@ -121,6 +125,79 @@ def search(
     return TrainValidationSplit(trainRatio=0.8, **shared).fit(rows)
 
 
+@dataclass
+class Searched:
+    """Outcome of a search: the best model, its settings, and (settings, folds seen, mean score) of every trial."""
+
+    bestModel: PipelineModel  # noqa: N815  (as MLlib names it)
+    best: dict
+    trials: list[tuple[dict, int, float]]
+
+
+def halving_search(
+    rows: DataFrame,
+    model: str = "rf",
+    trials: int = 50,
+    folds: int = 5,
+    space: dict | None = None,
+    parallelism: int = 8,
+    seconds: float = 600,
+    keep: int = 3,
+    key: str = "query",
+) -> Searched:
+    """Random search by successive halving over cross-validation folds.
+
+    All trials are judged on the first fold, the best ``1 / keep`` of them on the next
+    ones, and so on; those that remain have seen every fold. After ``seconds`` no fit is
+    started any more, and the best trial of those that saw most folds counts. Features
+    are scaled once per fold, on its training part.
+    """
+    estimator, evaluator = classifier(model), DiscoveryEvaluator()
+    grid = random_grid(estimator, space or (RF_SPACE if model == "rf" else GBT_SPACE), trials)
+    placed = staged(rows.withColumn("_fold", F.pmod(F.xxhash64(key, F.lit(SEED)), F.lit(folds))), "search-rows")
+    prepare = Pipeline(stages=model_pipeline(estimator).getStages()[:-1])
+    ready: dict[int, tuple[DataFrame, DataFrame]] = {}
+
+    def fold(k: int) -> tuple[DataFrame, DataFrame]:
+        if k not in ready:
+            train, test = placed.where(F.col("_fold") != k), placed.where(F.col("_fold") == k)
+            fitted = prepare.fit(train)
+            columns = ["scaled", "label", "weight"]
+            ready[k] = tuple(staged(fitted.transform(part).select(*columns), f"fold-{k}") for part in (train, test))
+        return ready[k]
+
+    ends, scores, alive = time.monotonic() + seconds, [[] for _ in grid], list(range(len(grid)))
+
+    def judge(job: tuple[int, int]) -> tuple[int, float] | None:
+        trial, k = job
+        if time.monotonic() > ends and any(scores):
+            return None
+        train, test = ready[k]
+        return trial, evaluator.evaluate(estimator.fit(train, grid[trial]).transform(test))
+
+    steps, done = [1, *range(min(2, folds), folds, 2), folds], 0
+    with ThreadPool(parallelism) as pool:
+        for step, upto in enumerate(steps):
+            for k in range(done, upto):
+                fold(k)
+                for found in pool.map(judge, [(t, k) for t in alive], chunksize=1):
+                    if found:
+                        scores[found[0]].append(found[1])
+            done = upto
+            if time.monotonic() > ends:
+                break
+            if step < len(steps) - 1:
+                alive = sorted(alive, key=lambda t: -_mean(scores[t]))[: max(1, -(-len(alive) // keep))]
+    settings = [{p.name: v for p, v in g.items()} for g in grid]
+    first = max(range(len(grid)), key=lambda t: (len(scores[t]), _mean(scores[t]), -t))
+    best = model_pipeline(estimator.copy(grid[first])).fit(rows)
+    return Searched(best, settings[first], [(s, len(x), _mean(x)) for s, x in zip(settings, scores, strict=True)])
+
+
+def _mean(values: Sequence[float]) -> float:
+    return sum(values) / len(values) if values else 0.0
+
+
 def components(rows: DataFrame, k: int, columns: Sequence[str] = tuple(FEATURES)):
     """Fitted principal components of the features."""
     assembled = VectorAssembler(inputCols=list(columns), outputCol="features").transform(rows)

@@ -162,3 +162,15 @@ def test_slots_do_not_change_distances(spark, slots):
     gaps = [abs(sum(v <= g for v in a) / len(a) - sum(v <= g for v in b) / len(b)) for g in grid]
     assert got.ks_statistic == pytest.approx(max(gaps))
     assert got.emd == pytest.approx(sum(g * (hi - lo) for g, lo, hi in zip(gaps, grid, grid[1:])))
+
+
+def test_halving_search_judges_survivors_on_every_fold(spark):
+    rows = spark.createDataFrame([(f"q{i}{'.' * (i % 3)}", "legit" if i % 2 else "dga") for i in range(40)], "query string, class string")
+    rows = M.training_rows(rows.withColumn("query", F.concat(F.when(F.col("class") == "legit", "www.shop").otherwise("x7f3k9q2z8"), "query", F.lit(".com"))))
+    found = M.halving_search(rows, "rf", trials=6, folds=3, space={"numTrees": (2, 4), "maxDepth": (1, 3)}, keep=2)
+    seen = sorted(n for _, n, _ in found.trials)
+    assert seen == [1, 1, 1, 2, 3, 3]
+    assert found.best in [s for s, n, _ in found.trials if n == 3]
+    assert found.bestModel.transform(rows).filter("prediction = label").count() >= 36
+    short = M.halving_search(rows, "rf", trials=4, folds=3, space={"numTrees": (2, 3)}, seconds=0, parallelism=1)
+    assert max(n for _, n, _ in short.trials) == 1 and short.best in [s for s, n, _ in short.trials if n == 1]
