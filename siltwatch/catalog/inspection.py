@@ -155,7 +155,7 @@ spanned AS (SELECT *, list_min(z) AS low, list_max(z) - list_min(z) AS span FROM
 cells AS (
   SELECT batch_id, step, list_transform(z, lambda v: CASE WHEN span > 1e-12 THEN least(CAST(trunc((v - low) / span * 8) AS INTEGER), 7) ELSE 0 END) AS cell FROM spanned
 ),
-densities AS (SELECT batch_id, step, -sum(ln(len(list_filter(cell, lambda x: x = cell[10])) / 10.0)) / 16 AS score FROM cells GROUP BY 1, 2)"""
+densities AS (SELECT batch_id, step, (0.0 - sum(ln(len(list_filter(cell, lambda x: x = cell[10])) / 10.0))) / 16 AS score FROM cells GROUP BY 1, 2)"""
 
 
 @query(
