@@ -8,6 +8,7 @@ import re
 import textwrap
 
 import pytest
+from pyspark.sql import functions as F
 
 from siltwatch.llm import licenses, line_dedup, pii
 from tests.llm.cases import awkward, frame, prose
@@ -98,6 +99,28 @@ def test_trees_add_disguised_spans(spark):
     assert right >= 0.9 * hidden and right >= 0.95 * added
 
 
+def test_trees_learn_from_every_labelled_candidate(spark, monkeypatch):
+    """30,000 addresses, half of which no host can have, all take part in the fit or in the thresholds."""
+    seen = {}
+
+    class Noted(pii.GBTClassifier):
+        def fit(self, rows, params=None):
+            seen["fit"] = rows.select("mark").distinct().count()
+            return super().fit(rows, params)
+
+    monkeypatch.setattr(pii, "GBTClassifier", Noted)
+    value = F.concat(F.lit("10.0.0."), (F.col("id") % 500).cast("string"))
+    span = F.struct(F.lit(0).alias("start"), F.lit(1).alias("kind"), F.length(value).alias("end"))
+    none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
+    rows = spark.range(30_000).select(
+        F.col("id").alias("row"), F.when(F.col("id") % 500 < 256, F.array(span)).otherwise(none).alias("base"),
+        span["start"].alias("start"), span["kind"].alias("kind"), span["end"].alias("end"), value.alias("value"),
+        F.lit("host ").alias("before"), F.lit("").alias("after"),
+    )
+    assert pii.added_spans(rows, pii.PiiSpec(trees=1, depth=1)) is not None
+    assert seen["fit"] == rows.where(F.pmod(F.xxhash64("row", "start", "kind", "end"), F.lit(3)) != 0).count()
+
+
 @pytest.mark.parametrize("most", [1, 30])
 def test_spread_lines(spark, most):
     rng = random.Random(14)
