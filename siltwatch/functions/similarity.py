@@ -222,8 +222,30 @@ def window_metrics(texts) -> tuple[float, ...]:
     return tuple(sum(column) / len(pairs) for column in zip(*pairs, strict=True))
 
 
+PAIRS_AT_ONCE = 1 << 15
+"""Pairs of windows that are held at once; a longer window is a piece of its own."""
+
+
+def _pieces(windows: pa.Array) -> list[tuple[int, int]]:
+    """Runs of windows (start, length) whose pairs are held together."""
+    sizes = pc.fill_null(pc.list_value_length(windows), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    upto = np.concatenate([[0], np.cumsum(sizes * (sizes - 1) // 2)])
+    out, at = [], 0
+    while at < len(sizes):
+        end = max(at + 1, int(np.searchsorted(upto, upto[at] + PAIRS_AT_ONCE, side="right")) - 1)
+        out.append((at, end - at))
+        at = end
+    return out
+
+
 def _metrics_of_windows(windows: pa.Array) -> pa.Array:
-    """Means of all windows of a batch: each distinct pair is compared once, then windows add up."""
+    """Means of all windows of a batch, some at a time, whatever the size of the batch."""
+    found = [_metrics_of_piece(windows.slice(at, n)) for at, n in _pieces(windows)]
+    return pa.concat_arrays(found) if found else _metrics_of_piece(windows)
+
+
+def _metrics_of_piece(windows: pa.Array) -> pa.Array:
+    """Means of some windows: each distinct pair is compared once, then windows add up."""
     sizes = pc.fill_null(pc.list_value_length(windows), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     words = pc.list_flatten(windows).dictionary_encode()
     codes, known = words.indices.to_numpy(zero_copy_only=False).astype(np.int64), words.dictionary.to_pylist()
@@ -248,6 +270,10 @@ def _metrics_of_windows(windows: pa.Array) -> pa.Array:
 
 
 def window_similarity(windows: Column) -> Column:
-    """Struct of the seven metrics of each window; null below two strings."""
+    """Struct of the seven metrics of each window; null below two strings.
+
+    Marked as not deterministic, so that a filter on a metric is not moved before it: the
+    optimizer would compute the metrics twice, in two Python workers a task.
+    """
     schema = ", ".join(f"{m} double" for m in METRICS)
-    return F.arrow_udf(_metrics_of_windows, schema)(windows)
+    return F.arrow_udf(_metrics_of_windows, schema).asNondeterministic()(windows)

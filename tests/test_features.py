@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 from itertools import combinations
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -120,3 +121,21 @@ def test_window_similarity_column(spark):
     pairs = [S.pair_metrics(a, b) for a, b in combinations(words, 2)]
     assert list(rows[0]) == pytest.approx([sum(c) / 6 for c in zip(*pairs)])
     assert rows[1]["jaro"] is None and rows[2]["jaro"] is None
+
+
+def test_window_metrics_run_once_and_in_pieces(spark, monkeypatch):
+    """A filter on a metric leaves one Python step, and pieces of a batch give the values of the whole."""
+    from siltwatch.functions import similarity
+
+    rows = [(i, [f"h{i % 7}", f"x{i % 5}y", "", f"h{i}"][: i % 5]) for i in range(40)]
+    scored = spark.createDataFrame(rows, "id long, w array<string>").withColumn("m", similarity.window_similarity(F.col("w")))
+    warned = scored.select("id", F.col("m.jaro").alias("jaro"), F.col("m.lcs_string").alias("run")).where("jaro < 0.9").select("id", "jaro", "run")
+    assert warned._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    whole = [tuple(r) for r in scored.orderBy("id").collect()]
+    windows = pa.array([w for _, w in rows])
+    monkeypatch.setattr(similarity, "PAIRS_AT_ONCE", 7)
+    assert len(similarity._pieces(windows)) > 5
+    assert [None if m["jaro"] is None else tuple(m.values()) for m in similarity._metrics_of_windows(windows).to_pylist()] == [
+        None if m["jaro"] is None else tuple(m) for _, _, m in whole
+    ]
+    assert len(similarity._metrics_of_windows(windows[:0])) == 0
