@@ -348,7 +348,7 @@ SELECT * FROM versions QUALIFY row_number() OVER (PARTITION BY family, stage, ti
 def newest(spark, sf):
     """Two overlapping versions; the newer leaves one family out."""
     as_of = last_ship(spark, sf, hours=12)
-    values = all_values(spark, sf)
+    values = staged(all_values(spark, sf), "latency-values")
     first = L.latency_snapshot(values, "15m", as_of - dt.timedelta(days=30))
     second = L.latency_snapshot(values.filter("family <> 'logline'"), "15m", as_of)
     return _rounded(L.newest_version(first.unionByName(second)))
@@ -393,7 +393,7 @@ def latency_history(spark, sf):
 UNION ALL SELECT family, stage, time_bucket, p50_latency_us FROM latency_history""",
 )
 def recent_and_typical(spark, sf):
-    values = all_values(spark, sf)
+    values = staged(all_values(spark, sf), "latency-values")
     out = L.recent_and_typical(values, history(spark, sf, values), last_ship(spark, sf, hours=12))
     return out.withColumn("latency_us", F.round("latency_us", 0))
 
@@ -419,10 +419,10 @@ def _view(family, name, source, ids, has_stage):
         f"UNION ALL SELECT {', '.join(stand)} FROM latency_history WHERE family = '{family}'",
     )
     def view(spark, sf):
-        every = parts(spark, sf)
+        values = staged(parts(spark, sf)[family], "family-latencies")
         # Only this family's history is needed.
-        own = L.latency_values({family: every[family]})
-        out = L.family_view(family, every[family], history(spark, sf, own), last_ship(spark, sf, hours=12))
+        own = L.latency_values({family: values})
+        out = L.family_view(family, values, history(spark, sf, own), last_ship(spark, sf, hours=12))
         return out.withColumn("latency_us", F.round("latency_us", 0))
 
 

@@ -170,3 +170,16 @@ def test_a_listener_that_nobody_names_is_an_error(spark):
         flow.run_detectors(spark.range(0), [CHAIN[1]])
     with pytest.raises(NotImplementedError):
         flow.run_detectors(spark.range(0), [{"name": "x", "detector": "Absent", "inspector_name": "i"}])
+
+
+@pytest.mark.parametrize("name", ["newest", "recent_and_typical"])
+def test_latency_values_are_computed_once(spark, monkeypatch, name):
+    """Values that a query reads twice are written, and both uses read the written table."""
+    from siltwatch.catalog import monitoring
+
+    written = []
+    real = monitoring.staged
+    monkeypatch.setattr(monitoring, "staged", lambda df, label: written.append(label) or real(df, label))
+    out = getattr(monitoring, name)(spark, "/root/testdata/sf0.001")
+    assert written == ["latency-values"]
+    assert "lineitem.parquet" not in out._jdf.queryExecution().executedPlan().toString()
