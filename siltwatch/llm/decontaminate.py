@@ -10,9 +10,9 @@ The dimensions may hold little of long or many items. So passages that share eno
 a piece's rarest words are candidates as well, whatever their cosine: a common
 subsequence long enough for a leak cannot do without these words, so none is missed.
 
-Fixed sizes: the term buckets, dimensions and the fitting sample. Document frequencies
-and the search cover all rows and whole texts; nothing but sums of fixed size is
-gathered, and items are searched in blocks of bounded size.
+Fixed sizes: the term buckets and dimensions. Document frequencies, the SVD and the
+search cover all rows and whole texts; nothing but sums of fixed size is gathered, and
+items are searched in blocks of bounded size.
 """
 
 from __future__ import annotations
@@ -35,6 +35,9 @@ BLOCK = 8
 WINDOWS = (16, 32, 64)
 SUMS = "part int, sums binary"
 PART_TERMS = 512
+RUN = 32
+"""Words of a row of the matrix that the SVD is fitted on."""
+RUNS_AT_ONCE = 16
 PAIRS = 1 << 20
 """Pairs of a word and a piece that has it, counted at once."""
 
@@ -42,8 +45,6 @@ PAIRS = 1 << 20
 @dataclass(frozen=True)
 class LeakSpec:
     dimensions: int = 128
-    fit_documents: int = 2000
-    """Documents, first by hash, whose passages the SVD is fitted on beside the items."""
     item_weight: float = 20.0
     """Weight of an item's rows in the SVD, so that its words keep their place among the dimensions."""
     cosine: float = 0.35
@@ -60,50 +61,96 @@ def _terms(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - TERMS_LOG)).astype(np.int64)
 
 
+def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Terms of each slice of texts, two bytes each, where its rows of the matrix open, and what its documents hold."""
+    for part in slices(batches, limit=1 << 18):
+        words = words_of(texts_of(part.column("text")))
+        terms = _terms(words.hash)
+        keys = np.sort(words.row * TERMS + terms)
+        keys = keys[np.append(True, keys[1:] != keys[:-1])] % TERMS if len(keys) else keys
+        counts = np.diff(words.first)
+        have = -(-counts // RUN)
+        row = np.repeat(np.arange(len(counts)), have)
+        opens = words.first[row] + (np.arange(len(row)) - np.repeat(np.cumsum(have) - have, have)) * RUN
+        yield pa.record_batch(
+            {
+                "terms": pa.array([terms.astype(np.uint16).tobytes()], pa.binary()),
+                "opens": pa.array([opens.astype(np.int32).tobytes()], pa.binary()),
+                "held": pa.array([keys.astype(np.uint16).tobytes()], pa.binary()),
+                "n": pa.array([part.num_rows], pa.int64()),
+            }
+        )
+
+
+def coded(docs: DataFrame) -> DataFrame:
+    """All texts as terms, written once; every pass of the fit reads them."""
+    return staged(docs.select("text").mapInArrow(_coded, "terms binary, opens binary, held binary, n long"), "latent-terms")
+
+
 def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total, rows = np.zeros(TERMS, dtype=np.int64), 0
-    for part in slices(batches):
-        words = words_of(texts_of(part.column("text")))
-        keys = np.sort(words.row * TERMS + _terms(words.hash))
-        keys = keys[np.append(True, keys[1:] != keys[:-1])] if len(keys) else keys
-        total += np.bincount(keys % TERMS, minlength=TERMS)
-        rows += part.num_rows
+    for batch in batches:
+        for held, n in zip(batch.column("held"), batch.column("n").to_pylist(), strict=True):
+            total += np.bincount(np.frombuffer(held.as_buffer(), np.uint16), minlength=TERMS)
+            rows += n
     if rows:
-        yield pa.record_batch({"term": pa.array(np.arange(TERMS + 1)), "n": pa.array(np.append(total, rows))})
+        yield pa.record_batch({"counts": pa.array([np.append(total, rows).tobytes()], pa.binary())})
 
 
-def _inverse_frequencies(docs: DataFrame) -> np.ndarray:
-    counts = np.zeros(TERMS + 1)
-    sums = docs.select("text").mapInArrow(_document_counts, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    for row in sums.toArrow().to_pylist():
-        counts[row["term"]] = row["n"]
+def _inverse_frequencies(codes: DataFrame) -> np.ndarray:
+    sums = codes.select("held", "n").mapInArrow(_document_counts, "counts binary").groupBy(F.lit(0).alias("part")).applyInArrow(_sum_counts, "counts binary")
+    found = [np.frombuffer(r["counts"], np.int64) for r in sums.toArrow().to_pylist()]
+    counts = found[0] if found else np.zeros(TERMS + 1)
     return np.log((counts[-1] + 1) / (counts[:-1] + 1)).astype(np.float32) + np.float32(0.01)
 
 
-def _sum_parts(parts: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(s.as_buffer(), np.float32) for s in parts.column("sums"))
-    return pa.table({"part": parts.column("part")[:1], "sums": pa.array([total.tobytes()], pa.binary())})
+def _sum_counts(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(TERMS + 1, np.int64)
+    for batch in parts:
+        for one in batch.column("counts"):
+            total += np.frombuffer(one.as_buffer(), np.int64)
+    yield pa.record_batch({"counts": pa.array([total.tobytes()], pa.binary())})
+
+
+def _sum_parts(key: tuple, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = None
+    for batch in parts:
+        for one in batch.column("sums"):
+            own = np.frombuffer(one.as_buffer(), np.float32)
+            total = own.astype(np.float64) if total is None else total + own
+    yield pa.record_batch({"part": pa.array([key[0].as_py()], pa.int32()), "sums": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
+
+
+def add_gram(total: np.ndarray, terms: np.ndarray, opens: np.ndarray, weight: float, idf: np.ndarray, basis: np.ndarray) -> None:
+    """Add AᵀA·basis for rows of A that open at ``opens``; a few rows at once are a small dense matrix over their terms."""
+    place = np.zeros(TERMS, np.int32)
+    closes = np.append(opens[1:], len(terms))
+    for at in range(0, len(opens), RUNS_AT_ONCE):
+        begin, end = opens[at : at + RUNS_AT_ONCE], closes[at : at + RUNS_AT_ONCE]
+        own = terms[begin[0] : end[-1]]
+        seen = np.zeros(TERMS, bool)
+        seen[own] = True
+        used = np.flatnonzero(seen)
+        place[used] = np.arange(len(used), dtype=np.int32)
+        row = np.repeat(np.arange(len(begin)), end - begin)
+        size = idf[own]
+        dense = np.bincount(row * len(used) + place[own], weights=size, minlength=len(begin) * len(used))
+        dense = dense.astype(np.float32).reshape(len(begin), len(used))
+        rows = dense @ basis[used]
+        rows *= (weight**2 / np.maximum(np.bincount(row, weights=size**2), 1e-6)).astype(np.float32)[:, None]
+        total[used] += dense.T @ rows
 
 
 def _gram_times(passages: DataFrame, idf: np.ndarray, basis: np.ndarray) -> np.ndarray:
-    """AᵀA·basis for the TF-IDF matrix A of ``passages``; each task adds up its own rows."""
+    """AᵀA·basis for the TF-IDF matrix A of ``passages`` (terms, opens, weight); each task adds up its own rows."""
     sent = passages.sparkSession.sparkContext.broadcast((idf, basis.astype(np.float32)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         idf, basis = sent.value
         total = np.zeros_like(basis)
-        for part in slices(batches, limit=1 << 18):
-            words = words_of(texts_of(part.column("text")))
-            if len(words.hash):
-                terms = _terms(words.hash)
-                opens = np.unique(np.concatenate([np.arange(b, e, 32) for b, e in zip(words.first[:-1], words.first[1:], strict=True)]))
-                rows = np.add.reduceat(basis[terms] * idf[terms][:, None], opens)
-                weight = part.column("weight").to_numpy()[words.row[opens]].astype(np.float32)
-                rows *= (weight**2 / np.maximum(np.add.reduceat(idf[terms] ** 2, opens), 1e-6))[:, None]
-                spread = np.repeat(rows, np.diff(np.append(opens, len(terms))), axis=0) * idf[terms][:, None]
-                order = np.argsort(terms, kind="stable")
-                starts = np.flatnonzero(np.append(True, np.diff(terms[order]) > 0))
-                total[terms[order][starts]] += np.add.reduceat(spread[order], starts)
+        for batch in batches:
+            for terms, opens, weight in zip(batch.column("terms"), batch.column("opens"), batch.column("weight").to_pylist(), strict=True):
+                add_gram(total, np.frombuffer(terms.as_buffer(), np.uint16), np.frombuffer(opens.as_buffer(), np.int32), weight, idf, basis)
         for k in range(0, TERMS, PART_TERMS):
             yield pa.record_batch({"part": pa.array([k], pa.int32()), "sums": pa.array([total[k : k + PART_TERMS].tobytes()], pa.binary())})
 
@@ -115,17 +162,25 @@ def _gram_times(passages: DataFrame, idf: np.ndarray, basis: np.ndarray) -> np.n
     return out
 
 
-def latent_basis(docs: DataFrame, items: DataFrame, idf: np.ndarray, spec: LeakSpec) -> np.ndarray:
-    """Term vectors (idf times right singular vectors) of a randomised SVD with two power steps."""
-    ids = docs.where("doc_id IS NOT NULL").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(spec.fit_documents)
-    sample = docs.join(F.broadcast(ids.distinct()), "doc_id", "left_semi").select("text")
-    weighted = sample.withColumn("weight", F.lit(1.0)).union(items.select("text", F.lit(spec.item_weight)))
-    rows = staged(weighted.repartition(8), "latent-sample")
+def latent_basis(codes: DataFrame, items: DataFrame, idf: np.ndarray, spec: LeakSpec) -> np.ndarray:
+    """Term vectors (idf times right singular vectors) of a randomised SVD of all texts and the items.
+
+    The space is that of (AᵀA)³ times a random start, two power steps. The last product
+    serves twice, as the space and, by Nyström, for the singular vectors in it.
+    """
+    own = items.select("text").mapInArrow(_coded, "terms binary, opens binary, held binary, n long")
+    rows = codes.select("terms", "opens", F.lit(1.0).alias("weight")).union(own.select("terms", "opens", F.lit(spec.item_weight)))
     basis = np.random.default_rng(7).normal(size=(TERMS, spec.dimensions + 8)).astype(np.float32)
-    for _ in range(3):
+    for _ in range(2):
         basis, _ = np.linalg.qr(_gram_times(rows, idf, basis))
-    values, turn = np.linalg.eigh(basis.T @ _gram_times(rows, idf, basis))
-    return (basis @ turn[:, np.argsort(-values)[: spec.dimensions]] * idf[:, None]).astype(np.float32)
+    image = _gram_times(rows, idf, basis).astype(np.float64)
+    inner = basis.T.astype(np.float64) @ image
+    values, turn = np.linalg.eigh((inner + inner.T) / 2)
+    some = values > max(values[-1], 0) * 1e-6
+    vectors = np.linalg.svd(image @ (turn[:, some] / np.sqrt(values[some])), full_matrices=False)[0][:, : spec.dimensions]
+    found = np.zeros((TERMS, spec.dimensions))
+    found[:, : vectors.shape[1]] = vectors
+    return (found * idf[:, None]).astype(np.float32)
 
 
 @dataclass
@@ -300,12 +355,13 @@ def searchers(docs: DataFrame, benchmark: DataFrame, spec: LeakSpec) -> list:
     items = staged(benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", "text").distinct(), "items")
     if not (n := items.count()):
         return []
-    idf = _inverse_frequencies(docs)
+    codes = coded(docs)
+    idf = _inverse_frequencies(codes)
     blocks = -(-n // spec.items_at_once)
     out = []
     for k in range(blocks):
         own = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k)
-        basis = latent_basis(docs, own, idf, spec)
+        basis = latent_basis(codes, own, idf, spec)
         pieces = [p for r in own.toArrow().to_pylist() for p in pieces_of(r["item_id"], r["text"], spec)]
         out.append(docs.sparkSession.sparkContext.broadcast(Searcher(basis, idf, pieces, spec)))
     return out

@@ -200,6 +200,31 @@ def test_leaks_of_long_short_and_changed_items(spark):
         assert len(want) > 60 and set(got) == want and len(got) == len(want)
 
 
+def test_latent_dimensions_come_from_all_documents(spark):
+    """Words that only one of 2,400 documents has take part; the dimensions are those of the whole matrix."""
+    rng = random.Random(18)
+    data = [(d, f"own{d} " + " ".join(f"w{min(int(rng.paretovariate(0.8)), 40)}" for _ in range(50)), "", "", "", "", "", "") for d in range(2400)]
+    bench = spark.createDataFrame([(0, "w1 w2 w3 w4 w5 w6")], "item_id long, text string")
+    docs = frame(spark, data)
+    codes = decontaminate.coded(docs)
+    idf = decontaminate._inverse_frequencies(codes)
+    got = decontaminate.latent_basis(codes, bench, idf, decontaminate.LeakSpec(dimensions=24))
+    lines = [(decontaminate._terms(decontaminate._plain(t)), w) for _, t, w in [(i, r[1], 1.0) for i, r in enumerate(data)] + [(0, "w1 w2 w3 w4 w5 w6", 20.0)]]
+    held = np.bincount(np.concatenate([np.unique(t) for t, _ in lines[:-1]]), minlength=decontaminate.TERMS)
+    assert np.allclose(idf, np.log(2401 / (held + 1)) + 0.01, atol=1e-5)
+    used = np.unique(np.concatenate([t for t, _ in lines]))
+    assert np.all(np.linalg.norm(got[used], axis=1) > 0)
+    matrix = []
+    for terms, weight in lines:
+        for at in range(0, len(terms), 32):
+            own = terms[at : at + 32]
+            row = np.bincount(own, weights=idf[own], minlength=decontaminate.TERMS)[used]
+            matrix.append(row * weight / np.sqrt((idf[own] ** 2).sum()))
+    _, _, true = np.linalg.svd(np.array(matrix), full_matrices=False)
+    mine = got[used, :8] / idf[used, None]
+    assert np.linalg.norm(true[:8] @ mine) ** 2 > 7.9
+
+
 def test_subsequence_length():
     masks = {}
     for i, w in enumerate("abcbdab"):
