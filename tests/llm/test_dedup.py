@@ -81,6 +81,32 @@ def test_near_components(spark):
     assert near_duplicates(frame(spark, [])).count() == 0
 
 
+def test_prefix_rows_only_where_another_component_meets(spark, monkeypatch):
+    """400 sets that share nothing and 40 that come in pairs, with counters too few to tell single shingles."""
+    import numpy as np
+
+    from siltwatch.llm import prefixes
+
+    monkeypatch.setattr(prefixes, "CELL_BITS", 6)
+    rng = np.random.default_rng(19)
+    sets = [np.sort(rng.integers(0, 2**64, 100, dtype=np.uint64)) for _ in range(420)]
+    for own in sets[400:]:
+        sets.append(np.sort(np.concatenate([own[5:], rng.integers(0, 2**64, 3, dtype=np.uint64)])))
+    made = spark.createDataFrame([(i, bytearray(own.tobytes())) for i, own in enumerate(sets)], "id long, own binary").repartition(3)
+    sides = spark.createDataFrame([(i, i, True) for i in range(len(sets))], "id long, component long, odd boolean")
+    counts = prefixes.cell_counts(made)
+    pairs = sorted(tuple(r) for r in prefixes.near_pairs(made, sides, counts, 80).collect())
+    assert pairs == [(400 + i, 420 + i) for i in range(20)]
+    members = made.join(sides, "id")
+    shared = prefixes.shared_keys(members, counts, 80)
+    columns = "s long, cx long, cy long, id long, n long, left long"
+    rows = members.select("id", "own").mapInArrow(prefixes._rows(counts, shared, 80, True), columns).groupBy("id").count().collect()
+    assert {r.id for r in rows if r["count"] > 3} == set(range(400, 440)) and len(rows) < 60
+    same = sides.withColumn("component", F.lit(7))  # what is linked already meets nobody
+    linked = prefixes.shared_keys(made.join(same, "id"), counts, 80)
+    assert made.mapInArrow(prefixes._rows(counts, linked, 80, True), columns).count() == 0
+
+
 def test_circulant_signature_estimates_jaccard():
     import numpy as np
 
