@@ -17,7 +17,7 @@ items are searched in blocks of bounded size.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltwatch.llm.common import staged
-from siltwatch.llm.words import Texts, Words, slices, texts_of, words_of
+from siltwatch.llm.words import Texts, Words, mix, slices, texts_of, words_of
 
 TERMS_LOG = 14
 TERMS = 1 << TERMS_LOG
@@ -37,9 +37,23 @@ SUMS = "part int, sums binary"
 PART_TERMS = 512
 RUN = 32
 """Words of a row of the matrix that the SVD is fitted on."""
-RUNS_AT_ONCE = 16
+RUNS_AT_ONCE = 12
+"""Rows that are one dense matrix."""
+ROWS_AT_ONCE = 16 * RUNS_AT_ONCE
+PARTS_AT_ONCE = 32
+PRODUCTS = 2
+"""Products by the matrix that the SVD takes, after its start."""
 PAIRS = 1 << 20
 """Pairs of a word and a piece that has it, counted at once."""
+BLOCKS_AT_ONCE = 512
+STARTS_AT_ONCE = 4096
+MARKS_LOG = 18
+"""Bits of a hash that tell most words from those of a list."""
+PLACES_LOG = 12
+"""Bits of a hash that words of a passage and of a piece are told by at first."""
+PLACES = 1 << PLACES_LOG
+PASSAGES_AT_ONCE = 128
+SEARCHED_BYTES = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -57,6 +71,10 @@ class LeakSpec:
     """Items that share one SVD; recall does not rest on how much of them its dimensions hold."""
 
 
+def _places(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - PLACES_LOG)).astype(np.int64)
+
+
 def _terms(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - TERMS_LOG)).astype(np.int64)
 
@@ -66,7 +84,8 @@ def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in slices(batches, limit=1 << 18):
         words = words_of(texts_of(part.column("text")))
         terms = _terms(words.hash)
-        keys = np.sort(words.row * TERMS + terms)
+        keys = words.row * TERMS + terms
+        keys = np.sort(keys.astype(np.int32) if part.num_rows * TERMS < 1 << 31 else keys)
         keys = keys[np.append(True, keys[1:] != keys[:-1])] % TERMS if len(keys) else keys
         counts = np.diff(words.first)
         have = -(-counts // RUN)
@@ -121,41 +140,80 @@ def _sum_parts(key: tuple, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
     yield pa.record_batch({"part": pa.array([key[0].as_py()], pa.int32()), "sums": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
 
 
+def _row_of(terms: np.ndarray, opens: np.ndarray) -> np.ndarray:
+    return np.repeat(np.arange(len(opens)), np.diff(np.append(opens, len(terms))))
+
+
+def _entries(terms: np.ndarray, row: np.ndarray, weight: float, idf: np.ndarray) -> np.ndarray:
+    """Entries of rows of A, one for each word: its idf, by the length of its row and times the weight."""
+    size = idf[terms]
+    return size * (weight / np.sqrt(np.maximum(np.bincount(row, weights=size**2), 1e-6))).astype(np.float32)[row]
+
+
+def add_signed(total: np.ndarray, terms: np.ndarray, opens: np.ndarray, weight: float, idf: np.ndarray) -> None:
+    """Add AᵀS for rows of A that open at ``opens``; S has a 1 or -1 for each row, in a column, both by a hash of its terms."""
+    if not len(opens):
+        return
+    row = _row_of(terms, opens)
+    hashes = mix(np.add.reduceat(mix(terms.astype(np.uint64) + np.uint64(1)), opens))
+    column = (hashes % np.uint64(total.shape[1])).astype(np.int64)
+    sign = np.where(hashes >> np.uint64(63), np.float32(1), np.float32(-1))
+    signed = (_entries(terms, row, weight, idf) * sign[row]).astype(total.dtype)  # the type of a sent array is a copy, with which add.at is slow
+    np.add.at(total.reshape(-1), terms.astype(np.int64) * total.shape[1] + column[row], signed)
+
+
 def add_gram(total: np.ndarray, terms: np.ndarray, opens: np.ndarray, weight: float, idf: np.ndarray, basis: np.ndarray) -> None:
     """Add AᵀA·basis for rows of A that open at ``opens``; a few rows at once are a small dense matrix over their terms."""
-    place = np.zeros(TERMS, np.int32)
-    closes = np.append(opens[1:], len(terms))
-    for at in range(0, len(opens), RUNS_AT_ONCE):
-        begin, end = opens[at : at + RUNS_AT_ONCE], closes[at : at + RUNS_AT_ONCE]
-        own = terms[begin[0] : end[-1]]
-        seen = np.zeros(TERMS, bool)
-        seen[own] = True
+    ends = np.append(opens, len(terms))
+    for at in range(0, len(opens), ROWS_AT_ONCE):
+        some = ends[at : at + ROWS_AT_ONCE + 1]
+        own = terms[some[0] : some[-1]].astype(np.int64)
+        row = _row_of(own, some[:-1] - some[0])
+        group = row // RUNS_AT_ONCE
+        lines = np.bincount(np.arange(len(some) - 1) // RUNS_AT_ONCE)
+        keys = group * TERMS + own
+        seen = np.zeros(len(lines) * TERMS, bool)
+        seen[keys] = True
         used = np.flatnonzero(seen)
+        bound = np.searchsorted(used, np.arange(len(lines) + 1) * TERMS)
+        place = np.empty(len(seen), np.int32)
         place[used] = np.arange(len(used), dtype=np.int32)
-        row = np.repeat(np.arange(len(begin)), end - begin)
-        size = idf[own]
-        dense = np.bincount(row * len(used) + place[own], weights=size, minlength=len(begin) * len(used))
-        dense = dense.astype(np.float32).reshape(len(begin), len(used))
-        rows = dense @ basis[used]
-        rows *= (weight**2 / np.maximum(np.bincount(row, weights=size**2), 1e-6)).astype(np.float32)[:, None]
-        total[used] += dense.T @ rows
-
-
-def _gram_times(passages: DataFrame, idf: np.ndarray, basis: np.ndarray) -> np.ndarray:
-    """AᵀA·basis for the TF-IDF matrix A of ``passages`` (terms, opens, weight); each task adds up its own rows."""
-    sent = passages.sparkSession.sparkContext.broadcast((idf, basis.astype(np.float32)))
+        wide = np.diff(bound)
+        begin = np.concatenate([[0], np.cumsum(lines * wide)])
+        cell = (begin[:-1] - bound[:-1])[group] + (row % RUNS_AT_ONCE) * wide[group] + place[keys]
+        cells = np.bincount(cell, weights=_entries(own, row, weight, idf), minlength=begin[-1]).astype(np.float32)
+        used %= TERMS
+        for k in range(len(lines)):
+            held = used[bound[k] : bound[k + 1]]
+            dense = cells[begin[k] : begin[k + 1]].reshape(lines[k], wide[k])
+            product = dense.T @ (dense @ basis.take(held, axis=0))
+            product += total.take(held, axis=0)
+            total[held] = product
+
+
+def _summed(passages: DataFrame, width: int, add: Callable, idf: np.ndarray, *more: np.ndarray) -> np.ndarray:
+    """What ``add`` adds up over all rows of ``passages`` (terms, opens, weight), for each term ``width`` numbers.
+
+    Each task adds up its own rows and sends a matrix of fixed size. So there are about as
+    many tasks as cores, whatever the number of partitions, and one for every
+    PARTS_AT_ONCE partitions of larger inputs.
+    """
+    context = passages.sparkSession.sparkContext
+    sent = context.broadcast((idf, *more))
+    tasks = max(context.defaultParallelism, passages.rdd.getNumPartitions() // PARTS_AT_ONCE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        idf, basis = sent.value
-        total = np.zeros_like(basis)
+        given = sent.value
+        total = np.zeros((TERMS, width), np.float32)
         for batch in batches:
             for terms, opens, weight in zip(batch.column("terms"), batch.column("opens"), batch.column("weight").to_pylist(), strict=True):
-                add_gram(total, np.frombuffer(terms.as_buffer(), np.uint16), np.frombuffer(opens.as_buffer(), np.int32), weight, idf, basis)
+                add(total, np.frombuffer(terms.as_buffer(), np.uint16), np.frombuffer(opens.as_buffer(), np.int32), weight, *given)
         for k in range(0, TERMS, PART_TERMS):
-            yield pa.record_batch({"part": pa.array([k], pa.int32()), "sums": pa.array([total[k : k + PART_TERMS].tobytes()], pa.binary())})
+            if (part := total[k : k + PART_TERMS]).any():
+                yield pa.record_batch({"part": pa.array([k], pa.int32()), "sums": pa.array([part.tobytes()], pa.binary())})
 
-    sums = passages.mapInArrow(run, SUMS).groupBy("part").applyInArrow(_sum_parts, SUMS)
-    out = np.zeros_like(basis, dtype=np.float32)
+    sums = passages.coalesce(tasks).mapInArrow(run, SUMS).groupBy("part").applyInArrow(_sum_parts, SUMS)
+    out = np.zeros((TERMS, width), np.float32)
     for row in sums.toArrow().to_pylist():
         out[row["part"] : row["part"] + PART_TERMS] = np.frombuffer(row["sums"], np.float32).reshape(PART_TERMS, -1)
     sent.unpersist()
@@ -165,16 +223,23 @@ def _gram_times(passages: DataFrame, idf: np.ndarray, basis: np.ndarray) -> np.n
 def latent_basis(codes: DataFrame, items: DataFrame, idf: np.ndarray, spec: LeakSpec) -> np.ndarray:
     """Term vectors (idf times right singular vectors) of a randomised SVD of all texts and the items.
 
-    The space is that of (AᵀA)³ times a random start, two power steps. The last product
-    serves twice, as the space and, by Nyström, for the singular vectors in it.
+    The space starts with AᵀS, random sums of the rows, and takes in its product by AᵀA
+    (block Krylov). The products serve twice, for the space and, by Nyström, for the
+    singular vectors in it.
     """
-    own = items.select("text").mapInArrow(_coded, "terms binary, opens binary, held binary, n long")
+    own = coded(items)
     rows = codes.select("terms", "opens", F.lit(1.0).alias("weight")).union(own.select("terms", "opens", F.lit(spec.item_weight)))
-    basis = np.random.default_rng(7).normal(size=(TERMS, spec.dimensions + 8)).astype(np.float32)
-    for _ in range(2):
-        basis, _ = np.linalg.qr(_gram_times(rows, idf, basis))
-    image = _gram_times(rows, idf, basis).astype(np.float64)
-    inner = basis.T.astype(np.float64) @ image
+    width = spec.dimensions + 8
+    space = np.zeros((TERMS, 0))
+    image = np.zeros((TERMS, 0))
+    more = _summed(rows, width, add_signed, idf).astype(np.float64)
+    for _ in range(PRODUCTS):
+        for _ in range(2):  # once more for what rounding left
+            more = np.linalg.qr(more - space @ (space.T @ more))[0]
+        space = np.hstack([space, more])
+        more = _summed(rows, width, add_gram, idf, more.astype(np.float32)).astype(np.float64)
+        image = np.hstack([image, more])
+    inner = space.T @ image
     values, turn = np.linalg.eigh((inner + inner.T) / 2)
     some = values > max(values[-1], 0) * 1e-6
     vectors = np.linalg.svd(image @ (turn[:, some] / np.sqrt(values[some])), full_matrices=False)[0][:, : spec.dimensions]
@@ -247,11 +312,15 @@ class RareWords:
         self.words, begin = np.unique(words[order], return_index=True)
         self.begin = np.append(begin, len(words))
 
-    def passages(self, words: Words, step: int, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(passage, piece) with enough of the words; passage c of a row spans the steps c - 1 to c + 2, ``first`` is each row's first."""
-        at = np.minimum(np.searchsorted(self.words, words.hash), len(self.words) - 1)
-        known = np.flatnonzero(self.words[at] == words.hash)
-        at, row = at[known], words.row[known]
+    def passages(self, words: Words, known: np.ndarray, step: int, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(passage, piece) with enough of the words, all of them among the ``known``.
+
+        Passage c of a row spans the steps c - 1 to c + 2, ``first`` is each row's first.
+        """
+        at = np.minimum(np.searchsorted(self.words, words.hash[known]), len(self.words) - 1)
+        same = self.words[at] == words.hash[known]
+        known, at = known[same], at[same]
+        row = words.row[known]
         chunk = first[row] + (known - words.first[row]) // step
         many = self.begin[at + 1] - self.begin[at]
         ends = np.cumsum(many)
@@ -282,63 +351,122 @@ class RareWords:
         return chunk[enough][order], piece[enough][order]
 
 
+class HeldWords:
+    """How many of each piece's words have their place among a passage's: no common subsequence is longer.
+
+    Words are told by a few bits of their hashes, so the number may be too high, never too low.
+    """
+
+    def __init__(self, pieces: list[Piece], window: int) -> None:
+        self.window = window
+        self.sizes = np.array([len(p.words) for p in pieces])
+        self.places = np.full((len(pieces), window), PLACES + 1, np.uint16)  # a place that no passage has
+        for i, p in enumerate(pieces):
+            self.places[i, : len(p.words)] = _places(p.words)
+
+    def share(self, places: np.ndarray, lo: np.ndarray, hi: np.ndarray, passage: np.ndarray, piece: np.ndarray) -> np.ndarray:
+        """The number as a part of the piece, for pairs in the order of their passages; those have the ``places`` from ``lo`` to ``hi``."""
+        out = np.empty(len(passage), np.int64)
+        for k in range(0, len(lo), PASSAGES_AT_ONCE):
+            at = lo[k : k + PASSAGES_AT_ONCE, None] + np.arange(2 * self.window)
+            near = np.where(at < hi[k : k + PASSAGES_AT_ONCE, None], places.take(at, mode="clip"), PLACES)
+            has = np.zeros((len(near), PLACES + 2), bool)
+            has[np.arange(len(near))[:, None], near] = True
+            own = slice(*np.searchsorted(passage, [k, k + PASSAGES_AT_ONCE]))
+            where = self.places[piece[own]] + ((passage[own] - k) * (PLACES + 2))[:, None]
+            out[own] = np.count_nonzero(has.reshape(-1).take(where), axis=1)
+        return out / self.sizes[piece]
+
+
+def _paired(sums: np.ndarray, weights: np.ndarray, begin: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Sums, weights, first words and offsets by row, of every two neighbours in a row together; an odd last one stays alone."""
+    have = np.diff(first)
+    many = -(-have // 2)
+    ends = np.concatenate([[0], np.cumsum(many)])
+    left = np.arange(ends[-1]) * 2 - np.repeat(2 * ends[:-1] - first[:-1], many)
+    alone = ends[1:][have % 2 == 1] - 1
+    right = left + 1
+    right[alone] = left[alone]
+    total, size = sums.take(left, axis=0), weights[left]
+    total += sums.take(right, axis=0)
+    size += weights[right]
+    total[alone], size[alone] = sums[left[alone]], weights[left[alone]]
+    return total, size, begin[left], ends
+
+
 class Searcher:
     """Items of one block, with the term vectors; finds them in slices of documents."""
 
     def __init__(self, basis: np.ndarray, idf: np.ndarray, pieces: list[Piece], spec: LeakSpec) -> None:
         self.weight = np.append(idf**2, np.float32(0))
         self.basis, self.spec = np.vstack([basis, np.zeros((1, basis.shape[1]), np.float32)]), spec
-        self.by_window: dict[int, tuple[list[Piece], np.ndarray, RareWords]] = {}
+        self.by_window: dict[int, tuple[list[Piece], np.ndarray, RareWords, HeldWords]] = {}
+        self.marks = np.zeros(1 << MARKS_LOG, np.uint8)  # a bit for each window that has rare words there
         for window in WINDOWS:
             own = [p for p in pieces if next(w for w in WINDOWS if len(p.words) <= w) == window]
             if own:
                 vectors = np.stack([basis[_terms(p.words)].sum(axis=0) for p in own])
                 vectors = (vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)).T
-                self.by_window[window] = own, vectors, RareWords(idf, own, min(spec.share, spec.share_with_answer))
+                rare = RareWords(idf, own, min(spec.share, spec.share_with_answer))
+                self.marks[rare.words >> np.uint64(64 - MARKS_LOG)] |= window
+                self.by_window[window] = own, vectors, rare, HeldWords(own, window)
 
     def find(self, column: pa.Array) -> dict[tuple[int, int], tuple[float, float, bool]]:
         """(row, item) of each leak, with its common share, cosine and whether the answer is there."""
         words = words_of(texts_of(column))
         found: dict[tuple[int, int], tuple[float, float, bool]] = {}
-        counts = np.diff(words.first)
-        have = -(-counts // BLOCK)
+        have = -(-np.diff(words.first) // BLOCK)
         first = np.concatenate([[0], np.cumsum(have)])
         if not first[-1]:
             return found
-        row = np.repeat(np.arange(len(counts)), have)
+        row = np.repeat(np.arange(len(have)), have)
         begin = words.first[row] + (np.arange(first[-1]) - first[row]) * BLOCK
         end = np.minimum(begin + BLOCK, words.first[row + 1])
         terms = np.append(_terms(words.hash), TERMS)
-        blocks = np.empty((len(begin), self.basis.shape[1]), np.float32)
-        for at in range(0, len(begin), 4096):
-            b, e = begin[at : at + 4096], end[at : at + 4096]
-            total = self.basis[terms[b]]
+        sums = np.empty((len(begin), self.basis.shape[1]), np.float32)
+        for at in range(0, len(begin), BLOCKS_AT_ONCE):
+            own = begin[at : at + BLOCKS_AT_ONCE, None] + np.arange(BLOCK)
+            own = np.where(own < end[at : at + BLOCKS_AT_ONCE, None], terms.take(own, mode="clip"), TERMS)
+            total, one = sums[at : at + len(own)], np.empty((len(own), sums.shape[1]), np.float32)
+            self.basis.take(own[:, 0], axis=0, out=total, mode="clip")
             for j in range(1, BLOCK):
-                total += self.basis[np.where(b + j < e, terms[np.minimum(b + j, len(terms) - 1)], TERMS)]
-            blocks[at : at + 4096] = total
+                total += self.basis.take(own[:, j], axis=0, out=one, mode="clip")
         weights = np.add.reduceat(self.weight[terms[:-1]], begin)
-        for window, (pieces, vectors, rare) in self.by_window.items():
-            step, span = window // BLOCK // 2, window // BLOCK
-            starts = np.flatnonzero((np.arange(first[-1]) - first[row]) % step == 0)
-            alike, whose = rare.passages(words, window // 2, np.concatenate([[0], np.cumsum(-(-have // step))]))
-            for at in range(0, len(starts), 8192):
-                some = starts[at : at + 8192]
-                sums, lengths = blocks[some], weights[some]
-                for j in range(1, span):
-                    inside = some + j < first[row[some] + 1]
-                    sums[inside] += blocks[some[inside] + j]
-                    lengths[inside] += weights[some[inside] + j]
-                cosines = (sums @ vectors) / np.sqrt(lengths)[:, None]
+        marks, places = self.marks[words.hash >> np.uint64(64 - MARKS_LOG)], _places(words.hash)
+        least = min(self.spec.share, self.spec.share_with_answer)
+        for window in WINDOWS:
+            # ``sums`` and ``weights`` are of half a window each; a passage is two that follow each other in a row.
+            if window > WINDOWS[0]:
+                sums, weights, begin, first = _paired(sums, weights, begin, first)
+                row = np.repeat(np.arange(len(have)), np.diff(first))
+            if window not in self.by_window:
+                continue
+            pieces, vectors, rare, held = self.by_window[window]
+            alike, whose = rare.passages(words, np.flatnonzero(marks & window), window // 2, first)
+            alone = np.zeros(len(begin), bool)
+            alone[first[1:][np.diff(first) > 0] - 1] = True
+            for at in range(0, len(begin), STARTS_AT_ONCE):
+                some = slice(at, at + STARTS_AT_ONCE)
+                passages, lengths = sums[some].copy(), weights[some].copy()
+                last = alone[some]
+                after, more = sums[at + 1 : at + 1 + len(last)], weights[at + 1 : at + 1 + len(last)]
+                passages[: len(after)] += after
+                lengths[: len(after)] += more
+                passages[last], lengths[last] = sums[some][last], weights[some][last]
+                cosines = (passages @ vectors) / np.sqrt(lengths)[:, None]
                 chosen = cosines >= self.spec.cosine
-                own = slice(*np.searchsorted(alike, [at, at + len(some)]))
+                own = slice(*np.searchsorted(alike, [at, at + len(last)]))
                 chosen[alike[own] - at, whose[own]] = True
-                for s, p in zip(*np.nonzero(chosen), strict=True):
-                    self._check(words, int(row[some[s]]), int(begin[some[s]]), window, pieces[p], float(cosines[s, p]), found)
+                passage, piece = np.divmod(np.flatnonzero(chosen), len(pieces))
+                listed, passage = np.unique(passage, return_inverse=True)
+                own, opens = row[some][listed], begin[some][listed]
+                lo, hi = np.maximum(words.first[own], opens - window // 2), np.minimum(words.first[own + 1], opens + window * 3 // 2)
+                likely = np.flatnonzero(held.share(places, lo, hi, passage, piece) >= least)
+                for s, p in zip(passage[likely].tolist(), piece[likely].tolist(), strict=True):
+                    self._check(words.hash[lo[s] : hi[s]].tolist(), int(own[s]), pieces[p], float(cosines[listed[s], p]), found)
         return found
 
-    def _check(self, words, row: int, begin: int, window: int, piece: Piece, cosine: float, found: dict) -> None:
-        lo, hi = max(int(words.first[row]), begin - window // 2), min(int(words.first[row + 1]), begin + window * 3 // 2)
-        near = words.hash[lo:hi].tolist()
+    def _check(self, near: list[int], row: int, piece: Piece, cosine: float, found: dict) -> None:
         share = common_subsequence(piece.masks, len(piece.words), near) / len(piece.words)
         if share < self.spec.share_with_answer:
             return
@@ -380,7 +508,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, spec: LeakSpec = LeakSpec()) ->
     sent = searchers(docs, benchmark, spec)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, limit=SEARCHED_BYTES):
             ids = part.column("doc_id")
             for one in sent:
                 found = one.value.find(part.column("text"))
@@ -403,7 +531,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, spec: LeakSpec = LeakSp
     sent = searchers(docs, benchmark, spec)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, limit=SEARCHED_BYTES):
             keep = np.ones(part.num_rows, dtype=bool)
             for one in sent:
                 keep[[r for r, _ in one.value.find(part.column("text"))]] = False

@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import math
+import pickle
 import random
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from siltwatch.llm import decontaminate, langid, quality
 from siltwatch.llm.common import bucket
 from siltwatch.llm.lm import LmSpec, lm_scores
 from siltwatch.llm.trie import BigramTrie, EliasFano, elias_fano
-from tests.llm.cases import awkward, fold, frame, prose, words
+from tests.llm.cases import awkward, fold, frame, prose, rows, words
 
 
 def test_elias_fano_round_trip():
@@ -225,6 +227,54 @@ def test_latent_dimensions_come_from_all_documents(spark):
     assert np.linalg.norm(true[:8] @ mine) ** 2 > 7.9
 
 
+def test_sums_of_the_fit_come_from_a_bounded_number_of_tasks(spark):
+    """Each task sends a matrix of fixed size, so many small partitions share a task."""
+    codes = decontaminate.coded(frame(spark, rows([f"a{i} b c" for i in range(128)])).repartition(64))
+    passages = codes.select("terms", "opens", F.lit(1.0).alias("weight")).repartition(64)
+
+    def mark(total, terms, opens, weight, idf):
+        total[0, 0] = 1
+        total[1, 0] += len(opens)
+
+    got = decontaminate._summed(passages, 1, mark, np.zeros(1, np.float32))
+    assert got[1, 0] == 128 and 1 <= got[0, 0] <= spark.sparkContext.defaultParallelism < 64
+
+
+def test_products_of_rows_equal_dense_ones():
+    rng = np.random.default_rng(4)
+    idf = pickle.loads(pickle.dumps(rng.random(decontaminate.TERMS).astype(np.float32) + 1))  # as workers get it
+    terms = rng.choice(decontaminate.TERMS, 9000).astype(np.uint16) % 700
+    opens = np.unique(np.append(0, rng.choice(9000, 400))).astype(np.int32)
+    row = np.repeat(np.arange(len(opens)), np.diff(np.append(opens, len(terms))))
+    matrix = np.zeros((len(opens), decontaminate.TERMS))
+    np.add.at(matrix, (row, terms.astype(int)), idf[terms])
+    matrix *= 3 / np.sqrt(np.bincount(row, weights=idf[terms] ** 2))[:, None]
+    basis = rng.normal(size=(decontaminate.TERMS, 9)).astype(np.float32)
+    total = np.zeros_like(basis)
+    decontaminate.add_gram(total, terms, opens, 3.0, idf, basis)
+    assert np.allclose(total, matrix.T @ (matrix @ basis), atol=2e-3)
+    total = np.zeros_like(basis)
+    decontaminate.add_signed(total, terms, opens, 3.0, idf)
+    signs = np.linalg.lstsq(matrix.T, total, rcond=None)[0]  # one 1 or -1 in each row
+    assert np.allclose(np.abs(signs).max(axis=1), 1, atol=1e-2) and np.allclose(np.abs(signs).sum(axis=1), 1, atol=0.1)
+
+
+def test_held_words_are_no_fewer_than_a_common_subsequence():
+    rng = random.Random(5)
+    say = lambda n: " ".join(rng.choice("abcdefghijklmnopqrstuvwxyz") * rng.randint(1, 3) for _ in range(n))
+    pieces = [p for i in range(20) for p in decontaminate.pieces_of(i, say(rng.choice([40, 64, 50])), decontaminate.LeakSpec())]
+    near = [decontaminate._plain(say(rng.choice([20, 90, 128])) + (" " + " ".join(["a"] * 30))) [:128] for _ in range(300)]
+    hi = np.cumsum([len(n) for n in near])
+    lo = hi - [len(n) for n in near]
+    passage, piece = np.divmod(np.arange(300 * len(pieces)), len(pieces))
+    share = decontaminate.HeldWords(pieces, 64).share(decontaminate._places(np.concatenate(near)), lo, hi, passage, piece)
+    for s, p, got in zip(passage.tolist(), piece.tolist(), share.tolist(), strict=True):
+        own, held = pieces[p], set(near[s].tolist())
+        exact = sum(w in held for w in own.words.tolist()) / len(own.words)
+        assert exact <= got <= exact + 0.2
+        assert decontaminate.common_subsequence(own.masks, len(own.words), near[s].tolist()) / len(own.words) <= got
+
+
 def test_subsequence_length():
     masks = {}
     for i, w in enumerate("abcbdab"):
