@@ -230,22 +230,39 @@ def latent_basis(codes: DataFrame, items: DataFrame, idf: np.ndarray, spec: Leak
     own = coded(items)
     rows = codes.select("terms", "opens", F.lit(1.0).alias("weight")).union(own.select("terms", "opens", F.lit(spec.item_weight)))
     width = spec.dimensions + 8
-    space = np.zeros((TERMS, 0))
-    image = np.zeros((TERMS, 0))
-    more = _summed(rows, width, add_signed, idf).astype(np.float64)
+    spaces, images = [], []
+    more = _summed(rows, width, add_signed, idf)
     for _ in range(PRODUCTS):
         for _ in range(2):  # once more for what rounding left
-            more = np.linalg.qr(more - space @ (space.T @ more))[0]
-        space = np.hstack([space, more])
-        more = _summed(rows, width, add_gram, idf, more.astype(np.float32)).astype(np.float64)
-        image = np.hstack([image, more])
-    inner = space.T @ image
+            for one in spaces:
+                more = more - one @ (one.T @ more)
+            more = np.linalg.qr(more)[0]
+        spaces.append(more)
+        more = _summed(rows, width, add_gram, idf, more)
+        images.append(more)
+    return _singular_vectors(spaces, images, spec.dimensions) * idf[:, None]
+
+
+def _singular_vectors(spaces: list[np.ndarray], images: list[np.ndarray], dimensions: int) -> np.ndarray:
+    """First eigenvectors of the Nyström matrix of a space and its image, with double sums over a few terms at once."""
+    size = sum(s.shape[1] for s in spaces)
+    blocks = [slice(k, k + PART_TERMS) for k in range(0, TERMS, PART_TERMS)]
+    part = lambda of, some: np.hstack([one[some] for one in of]).astype(np.float64)
+    inner, square = np.zeros((size, size)), np.zeros((size, size))
+    for some in blocks:
+        image = part(images, some)
+        inner += part(spaces, some).T @ image
+        square += image.T @ image
     values, turn = np.linalg.eigh((inner + inner.T) / 2)
-    some = values > max(values[-1], 0) * 1e-6
-    vectors = np.linalg.svd(image @ (turn[:, some] / np.sqrt(values[some])), full_matrices=False)[0][:, : spec.dimensions]
-    found = np.zeros((TERMS, spec.dimensions))
-    found[:, : vectors.shape[1]] = vectors
-    return (found * idf[:, None]).astype(np.float32)
+    kept = values > max(values[-1], 0) * 1e-6
+    turn = turn[:, kept] / np.sqrt(values[kept])
+    values, own = np.linalg.eigh(turn.T @ square @ turn)
+    first = [k for k in np.argsort(-values)[:dimensions] if values[k] > values[-1] * 1e-12]
+    turn = turn @ (own[:, first] / np.sqrt(values[first]))
+    found = np.zeros((TERMS, dimensions), np.float32)
+    for some in blocks:
+        found[some, : len(first)] = part(images, some) @ turn
+    return found
 
 
 @dataclass
